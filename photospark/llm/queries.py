@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from photospark.llm import bpe_codec, token_counts
+from photospark.llm import bpe_codec, license_scans, packing, quality_rules, token_counts, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,9 +21,26 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, sf_dir, "documents"), _tokenizer())
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.best_fit_packing(_table(spark, sf_dir, "documents"), _tokenizer())
+
+
 def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.codec_digests(_table(spark, sf_dir, "documents"), _tokenizer())
 
 
-QUERIES = {f.__name__: f for f in (op2_token_counts, op4_bpe_codec)}
-ORACLES: dict[str, str] = {}
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_verdicts(_table(spark, sf_dir, "documents"))
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's record as it is read back through the index."""
+    return warc.write_captures(_table(spark, sf_dir, "pages")).records(payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op8_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scans.license_scan(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op2_token_counts, op3_best_fit_packing, op4_bpe_codec, op5_quality_rules, op7_warc, op8_license_scans)}
+ORACLES: dict[str, str] = {"op5_quality_rules": quality_rules.SQL}
