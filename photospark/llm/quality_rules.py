@@ -61,7 +61,8 @@ def cascade_order(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str =
     """The rules with their rejection share and seconds over ``sample_rows`` documents (a bounded sample), most rejection per second first.
 
     Order changes only the time taken, never a verdict, so the sample need not be fair."""
-    sample = _prepared(docs.limit(sample_rows), text).persist()
+    spark = docs.sparkSession  # take() reads as few files as it needs
+    sample = _prepared(spark.createDataFrame(docs.select(F.col(text).alias("text")).take(sample_rows), "text string"), "text").persist()
     try:
         n = max(1, sample.count())
         found = []

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from photospark.llm import bpe_codec, license_scans, packing, quality_rules, token_counts, warc
+from photospark.llm import bpe_codec, class_lm, embedding_join, license_scans, minhash, packing, quality_rules, token_counts, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +18,10 @@ def _tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_join.embedding_links(_table(spark, sf_dir, "embeddings"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, sf_dir, "documents"), _tokenizer())
 
@@ -42,5 +47,19 @@ def op8_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scans.license_scan(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_counts, op3_best_fit_packing, op4_bpe_codec, op5_quality_rules, op7_warc, op8_license_scans)}
-ORACLES: dict[str, str] = {"op5_quality_rules": quality_rules.SQL}
+def op9_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return class_lm.class_scores(docs, F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 7 != 2)
+
+
+def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_embedding_near_dedup, op2_token_counts, op3_best_fit_packing, op4_bpe_codec, op5_quality_rules, op7_warc, op8_license_scans, op9_class_lm, op10_minhash_near_dedup
+    )
+}
+ORACLES: dict[str, str] = {"op1_embedding_near_dedup": embedding_join.SQL, "op5_quality_rules": quality_rules.SQL}
