@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from photospark.llm import bpe_codec, class_lm, embedding_join, license_scans, minhash, packing, quality_rules, token_counts, warc
+from photospark.llm import bpe_codec, class_lm, embedding_join, license_scans, minhash, packing, passages, quality_rules, token_counts, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +38,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_verdicts(_table(spark, sf_dir, "documents"))
 
 
+def op6_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(_table(spark, sf_dir, "documents"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's record as it is read back through the index."""
     return warc.write_captures(_table(spark, sf_dir, "pages")).records(payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -59,7 +63,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_embedding_near_dedup, op2_token_counts, op3_best_fit_packing, op4_bpe_codec, op5_quality_rules, op7_warc, op8_license_scans, op9_class_lm, op10_minhash_near_dedup
+        op1_embedding_near_dedup, op2_token_counts, op3_best_fit_packing, op4_bpe_codec, op5_quality_rules, op6_repeated_passages, op7_warc, op8_license_scans, op9_class_lm, op10_minhash_near_dedup
     )
 }
 ORACLES: dict[str, str] = {"op1_embedding_near_dedup": embedding_join.SQL, "op5_quality_rules": quality_rules.SQL}
