@@ -1,6 +1,35 @@
-"""Named queries and their SQL twins."""
+"""Named queries and their SQL twins. A query is declared with the columns of its result; starred ones are doubles, rounded to six places on both sides."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(name: str, columns: str, sql: str | None = None) -> Callable[[Query], Query]:
+    """Register a function as a query that returns ``columns``, with DuckDB SQL that gives the same."""
+    names = columns.split()
+
+    def add(f: Query) -> Query:
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            df = f(spark, sf_dir)
+            return df.select(*[F.round(F.col(c[:-1]).cast("double"), 6).alias(c[:-1]) if c.endswith("*") else F.col(c) for c in names])
+
+        run.__name__, run.__doc__ = name, f.__doc__
+        QUERIES[name] = run
+        if sql:
+            # Adding zero turns a negative zero, which only one engine's rounding makes, into zero.
+            shown = ", ".join(f"round(CAST({c[:-1]} AS DOUBLE), 6) + 0.0 AS {c[:-1]}" if c.endswith("*") else c for c in names)
+            ORACLES[name] = f"SELECT {shown} FROM ({sql}) AS result"
+        return f
+
+    return add
+
+
+from photospark.plans import cleaning, core  # noqa: E402, F401
