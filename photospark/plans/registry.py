@@ -32,4 +32,4 @@ def query(name: str, columns: str, sql: str | None = None) -> Callable[[Query],
     return add
 
 
-from photospark.plans import cleaning, core  # noqa: E402, F401
+from photospark.plans import cleaning, core, spatial, transforms  # noqa: E402, F401
