@@ -158,10 +158,12 @@ def fits_header(data: bytes) -> tuple[dict[str, object], int]:
         if card.startswith("END") and not card[3:].strip():
             return cards, -(-(i + 80) // 2880) * 2880
         if card[8:10] == "= ":
-            raw = card[10:].split("/")[0].strip() if "'" not in card[10:12] else card[10:].split("'")[1].rstrip()
-            if "'" in card[10:12]:
-                cards[card[:8].strip()] = raw
-            elif raw in ("T", "F"):
+            raw = card[10:].strip()
+            if raw.startswith("'"):
+                cards[card[:8].strip()] = raw.split("'")[1].rstrip()
+                continue
+            raw = raw.split("/")[0].strip()
+            if raw in ("T", "F"):
                 cards[card[:8].strip()] = raw == "T"
             elif raw:
                 cards[card[:8].strip()] = float(raw.replace("D", "E")) if any(c in raw for c in ".EDed") else int(raw)
