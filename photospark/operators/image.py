@@ -211,7 +211,7 @@ def fits_metadata(files: DataFrame) -> DataFrame:
                 except (ValueError, KeyError, IndexError) as e:
                     row |= {"valid": False, "error": str(e)}
                 rows.append(row)
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in META.split(", ")]).astype({c: "Int64" for c in ("sector", "camera", "ccd")})
+            yield pd.DataFrame({n: pd.Series([r.get(n) for r in rows], dtype=object) for n in (c.split()[0] for c in META.split(", "))})
 
     return files.select("path", "content").mapInPandas(run, META)
 
