@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -31,6 +31,11 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def whole_row(docs: DataFrame) -> Column:
+    """All columns, whatever their names, as one struct."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def portions(texts: list[str | None], chars: int = 1_000_000) -> Iterator[tuple[int, list[str]]]:
     """Runs of consecutive texts of about ``chars`` characters (a longer text stands alone), with the place of the first; null is empty."""
     first, held, size = 0, [], 0
@@ -51,21 +56,21 @@ def connected_components(edges: DataFrame, name: str = "components", max_rounds:
 
     Alternating large-star and small-star steps over an edge table in the shared folder: each step is a minimum per id (combined
     before the shuffle) and an equi-join that Spark can split where one id has many edges. No neighbourhood is gathered anywhere."""
-    now = stage(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), name)
-    sums = None
+    now, sums = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b"), None
     for _ in range(max_rounds):
         # Large star: every larger neighbour of an id is tied to the smallest of the id's neighbourhood.
         both = now.union(now.select("b", "a"))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
         # Small star: the smaller neighbours of an id, and the id, are tied to the smallest of them. In these rows a > b.
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
-        now = stage(small.select("e.*").where("a <> b").distinct(), name)
-        seen = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if seen == sums:
+        seen = Observation()
+        now = stage(small.select("e.*").where("a <> b").distinct().observe(seen, F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")), name)
+        found = (seen.get["n"], seen.get["h"])
+        if found == sums:
             break
-        sums = seen
+        sums = found
     else:
         raise RuntimeError(f"no fixed point after {max_rounds} rounds")
     ends = now.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("component"))

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from photospark.llm.bytepair import mix64
-from photospark.llm.common import connected_components, portions, stage
+from photospark.llm.common import connected_components, portions, stage, whole_row
 from photospark.llm.shingles import weighted, windows, word_hashes
 
 REGISTERS, BANDS = 128, 32
@@ -86,55 +86,130 @@ def _verify(batches: Iterator[pa.RecordBatch], k: int, least: float) -> Iterator
         yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(keep)), batch.column(1).take(pa.array(keep)), pa.array(np.array(found)[keep], pa.float64())], ["a", "b", "similarity"])
 
 
+def _shared_counts(sets: list[np.ndarray], columns: int = 20_000) -> np.ndarray:
+    """Sizes of all pairwise intersections of sorted arrays of distinct elements, by products of incidence matrices, ``columns`` elements at a time; elements of
+    one set alone are left out."""
+    flat, of = np.concatenate(sets), np.repeat(np.arange(len(sets)), [s.size for s in sets])
+    kinds, at, n = np.unique(flat, return_inverse=True, return_counts=True)
+    often = n > 1
+    number = np.cumsum(often) - 1
+    keep = often[at]
+    at, of = number[at[keep]], of[keep]
+    order = np.argsort(at, kind="stable")
+    at, of = at[order], of[order]
+    out = np.zeros((len(sets), len(sets)), np.float32)
+    for first in range(0, int(often.sum()), columns):
+        a, b = np.searchsorted(at, [first, first + columns])
+        m = np.zeros((len(sets), columns), np.float32)
+        m[of[a:b], at[a:b] - first] = 1
+        out += m @ m.T
+    return np.rint(out).astype(np.int64)
+
+
+def _block(table: pa.Table, k: int, least: float) -> pa.Table:
+    """Verified links (a, b, similarity) between different parts inside one pair of blocks, enough to connect what the block connects. Likely pairs come
+    first, and pairs that are connected by then are passed over."""
+    t = table.combine_chunks()
+    cid, part, side, one = t["cid"].to_pylist(), np.asarray(t["part"]), np.asarray(t["side"]), t["i"][0].as_py() == t["j"][0].as_py()
+    sig = np.asarray(t["sig"].chunk(0).flatten()).reshape(len(cid), -1)
+    text = t["text"].to_pylist()
+    left = np.arange(len(cid)) if one else np.flatnonzero(side == 0)
+    right = left if one else np.flatnonzero(side == 1)
+    found = []
+    for x in left.tolist():
+        others = right[(part[right] != part[x]) & ((right > x) if one else True)]
+        alike = (sig[others] == sig[x]).sum(axis=1)
+        near = alike >= 0.64 * REGISTERS
+        found += [(-n, x, y) for n, y in zip(alike[near].tolist(), others[near].tolist(), strict=True)]
+    root = {p: p for p in part.tolist()}
+
+    def top(p: int) -> int:
+        while root[p] != p:
+            root[p] = root[root[p]]
+            p = root[p]
+        return p
+
+    out: list[tuple] = []
+    if found:
+        used = sorted({i for f in found for i in f[1:]})
+        place = {i: n for n, i in enumerate(used)}
+        sets = []
+        for i in used:
+            elements, _, weight = weighted(*windows(*word_hashes([text[i]]), k))
+            sets.append((elements, weight))
+        shared = _shared_counts([e for e, _ in sets])
+        plain = [bool((w == w[0]).all()) for _, w in sets]  # with equal weights it is the plain Jaccard similarity
+        for _, x, y in sorted(found):
+            p, q = top(int(part[x])), top(int(part[y]))
+            if p == q:
+                continue
+            u, v = place[x], place[y]
+            both = shared[u, v]
+            j = both / (sets[u][0].size + sets[v][0].size - both) if plain[u] and plain[v] else probability_jaccard(sets[u], sets[v])
+            if j >= least:
+                root[p] = q
+                out.append((cid[x], cid[y], float(j)))
+    return pa.table({n: pa.array([o[i] for o in out], kind) for i, (n, kind) in enumerate((("a", pa.int64()), ("b", pa.int64()), ("similarity", pa.float64())))})
+
+
 def _keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
     """key, text (null: empty) and 128 bits of hash that stand for the text."""
     t = F.coalesce(F.col(text), F.lit(""))
     return docs.select(F.col(key).cast("long").alias("key"), t.alias("text"), F.xxhash64(t).alias("h1"), F.xxhash64(F.lit("second"), t).alias("h2"))
 
 
-def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, least: float = 0.8) -> tuple[DataFrame, DataFrame]:
+def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, least: float = 0.8, block_texts: int = 300) -> tuple[DataFrame, DataFrame]:
     """(classes, links). classes: one row per distinct text, (h1, h2, cid, component, component_key): its number, the number of its near-duplicate class, and
     the smallest key in that. links: verified pairs (a, b, similarity) of different texts by number, enough to connect each class.
 
     1. A signature per text; texts that are equal count once. 2. Bands of 4 registers: a pair of probability Jaccard 0.8 shares none of the 32 with
-    probability 5e-8. 3. In each bucket every text is verified against the first, on whole texts: linear in the bucket, however hot. 4. Where a bucket
-    still holds texts of different components, the texts outside its largest component meet the others, by whole pairs that aren't yet tied;
-    pairs whose signatures agree in less than 0.55 of the registers (5.5 standard deviations under 0.8) go before verification."""
+    probability 5e-8. 3. In each bucket every text is verified, on whole texts, against the first and against one that the bucket's hash picks: linear in
+    the bucket, however hot, and as buckets pick different ones, nearly all links of a hot group are found. 4. Texts of buckets that still hold several
+    components meet, by the largest component of the bucket, in blocks of ``block_texts``: tasks compare signatures block by block and verify the
+    pairs that aren't yet connected, so that no list of pairs is ever made. Pairs whose signatures agree in less than 0.64 of the registers (4.5
+    standard deviations under 0.8) aren't verified there."""
     keyed = _keyed(docs, key, text)
     signed = keyed.select("key", "h1", "h2", "text").mapInArrow(partial(_sign, k=k, m=REGISTERS), "key long, h1 long, h2 long, n long, sig array<int>")
     classes = stage(signed.groupBy("h1", "h2").agg(F.min("key").alias("key"), F.first("n").alias("n"), F.first("sig").alias("sig")).withColumn("cid", F.monotonically_increasing_id()), "classes")
     rows = REGISTERS // BANDS
     band = F.array(*[F.xxhash64(F.lit(b), *[F.get("sig", b * rows + j) for j in range(rows)]) for b in range(BANDS)])
     bands = classes.where("n > 0").select("cid", F.explode(band).alias("bucket"))
-    buckets = bands.groupBy("bucket").agg(F.min("cid").alias("head"), F.count("*").alias("size")).where("size > 1")
-    shared = stage(bands.join(buckets, "bucket").select("bucket", "cid", "head"), "buckets")  # only buckets of two and more
-    star = shared.where("cid <> head").select(F.col("cid").alias("a"), F.col("head").alias("b")).distinct()
+    buckets = bands.groupBy("bucket").agg(F.min("cid").alias("head"), F.min_by("cid", F.xxhash64("bucket", "cid")).alias("other"), F.count("*").alias("size")).where("size > 1")
+    shared = stage(bands.join(buckets, "bucket").select("bucket", "cid", "head", "other"), "buckets")  # only buckets of two and more
+    ends = F.explode(F.array("head", "other"))
+    star = shared.select("cid", ends.alias("end")).where("cid <> end").select(F.greatest("cid", "end").alias("a"), F.least("cid", "end").alias("b")).distinct()
+
+    def fetch(named: DataFrame) -> DataFrame:
+        """Rows with a number, with its text. Of equal texts, the row with the class's smallest key stands for all; repeated rows of that key count once."""
+        named = named.join(classes.select("cid", "h1", "h2", "key"), "cid")
+        own = [c for c in named.columns if c not in ("h1", "h2", "key")]
+        return keyed.join(named, (keyed.h1 == named.h1) & (keyed.h2 == named.h2) & keyed.key.eqNullSafe(named.key)).select(*own, "text").dropDuplicates(["cid"])
 
     def verified(pairs: DataFrame) -> DataFrame:
-        """pairs (a, b), with the texts fetched by number."""
+        """Those of the pairs (a, b) that are similar enough, on whole texts."""
         pairs = stage(pairs, "pairs")
-        named = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct().join(classes.select("cid", "h1", "h2", "key"), "cid")
-        # Of equal texts, the row with the class's smallest key stands for all; repeated rows of that key count once.
-        texts = keyed.join(named, (keyed.h1 == named.h1) & (keyed.h2 == named.h2) & keyed.key.eqNullSafe(named.key)).select("cid", "text").dropDuplicates(["cid"])
-        texts = stage(texts, "texts")
+        texts = stage(fetch(pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()), "texts")
         both = pairs.join(texts.select(F.col("cid").alias("a"), F.col("text").alias("text_a")), "a").join(texts.select(F.col("cid").alias("b"), F.col("text").alias("text_b")), "b")
         return stage(both.select("a", "b", "text_a", "text_b").mapInArrow(partial(_verify, k=k, least=least), "a long, b long, similarity double"), "links")
 
     links = verified(star)
     parts = stage(connected_components(links), "components")
-    here = shared.join(parts.withColumnRenamed("id", "cid"), "cid", "left").select("bucket", "cid", "head", F.coalesce("component", "cid").alias("component"))
-    sizes = here.groupBy("bucket", "component").agg(F.count("*").alias("n")).groupBy("bucket").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("parts")).where("parts > 1").select("bucket", "main")
-    open_rows = stage(here.join(sizes, "bucket"), "open")
-    sides = open_rows.select("bucket", "cid", "component", "main")
-    few = sides.where("component <> main").select("bucket", F.col("cid").alias("a"), F.col("component").alias("part_a"))
-    met = few.join(sides.select("bucket", F.col("cid").alias("b"), F.col("component").alias("part_b"), "main"), "bucket").where("part_a <> part_b and (a < b or part_b = main)")
-    left = met.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct().join(star, ["a", "b"], "left_anti")
-    sig = classes.select("cid", "sig")
-    left = left.join(sig.select(F.col("cid").alias("a"), F.col("sig").alias("sig_a")), "a").join(sig.select(F.col("cid").alias("b"), F.col("sig").alias("sig_b")), "b")
-    alike = F.size(F.filter(F.zip_with("sig_a", "sig_b", lambda x, y: x == y), lambda x: x))
-    more = verified(left.where(alike >= int(0.55 * REGISTERS)).select("a", "b"))
-    links = links.union(more)
-    parts = stage(connected_components(links), "components")
+    here = shared.join(parts.withColumnRenamed("id", "cid"), "cid", "left").select("bucket", "cid", F.coalesce("component", "cid").alias("part"))
+    sizes = here.groupBy("bucket", "part").agg(F.count("*").alias("n")).groupBy("bucket").agg(F.max(F.struct("n", "part")).alias("main"), F.count("*").alias("parts")).where("parts > 1")
+    # Texts of buckets with several components, under the largest component there: texts that share a bucket share that.
+    opened = stage(here.join(sizes, "bucket").select("cid", "part", F.col("main.part").alias("group")).distinct(), "open")
+    if not opened.isEmpty():
+        texts = fetch(opened.select("cid").distinct()).join(classes.select("cid", "sig"), "cid")
+        rest = stage(opened.join(texts, "cid"), "rest")
+        blocks = rest.groupBy("group").agg(F.ceil(F.count("*") / F.lit(block_texts)).cast("int").alias("blocks"))
+        dealt = rest.join(blocks, "group").withColumn("own", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        dealt = dealt.select("group", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"), "cid", "part", "sig", "text")
+
+        def block(table: pa.Table) -> pa.Table:
+            return _block(table, k, least)
+
+        links = links.union(stage(dealt.repartition("group", "i", "j").groupBy("group", "i", "j").applyInArrow(block, "a long, b long, similarity double"), "links"))
+        parts = stage(connected_components(links), "components")
     found = classes.join(parts.withColumnRenamed("id", "cid"), "cid", "left").select("h1", "h2", "cid", "key", F.coalesce("component", "cid").alias("component"))
     keys = found.groupBy("component").agg(F.min("key").alias("component_key"))
     return stage(found.join(keys, "component").select("h1", "h2", "cid", "component", "component_key"), "decided"), links
@@ -157,7 +232,7 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int =
     and text, one; of a class without keys, one)."""
     classes, _ = near_classes(docs, key, text, k, least)
     t = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[key].cast("long").alias("key"), F.xxhash64(t).alias("h1"), F.xxhash64(F.lit("second"), t).alias("h2"))
+    rows = docs.select(whole_row(docs).alias("row"), docs[key].cast("long").alias("key"), F.xxhash64(t).alias("h1"), F.xxhash64(F.lit("second"), t).alias("h2"))
     # The class's own text is the one whose number the smallest key has: other texts with that key (repeated keys) go as well.
     heads = _keyed(docs, key, text).drop("text").join(classes, ["h1", "h2"]).where(F.col("key").eqNullSafe(F.col("component_key")))
     heads = heads.groupBy("component").agg(F.min(F.struct("cid", "key", "h1", "h2")).alias("head")).select("head.*").drop("cid")

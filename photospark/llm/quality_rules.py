@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from photospark.llm.common import whole_row
+
 #: The six characters that part words.
 WHITE = " \t\n\x0b\x0c\r"
 BREAKS = r"[ \t\n\x0B\f\r]+"
@@ -48,7 +50,7 @@ _REPEATS = f"get(transform(array({_WORDS}), s -> get(transform(array({_KEYS}), k
 
 def _prepared(docs: DataFrame, text: str) -> DataFrame:
     """All columns of docs as the struct ``row``, and text (null: empty), words, lines with a word."""
-    out = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.coalesce(docs[text], F.lit("")).alias("text"))
+    out = docs.select(whole_row(docs).alias("row"), F.coalesce(docs[text], F.lit("")).alias("text"))
     bare = F.btrim("text", F.lit(WHITE))
     return out.withColumn("words", F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, BREAKS))).withColumn("lines", F.expr("filter(split(text, '\\n'), x -> x rlike '[^ \\\\t\\\\n\\\\x0B\\\\f\\\\r]')"))
 

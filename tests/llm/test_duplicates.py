@@ -88,11 +88,10 @@ def test_probability_jaccard_and_signatures():
         assert abs((sig[i] == sig[j]).mean() - exact) < 6 * (exact * (1 - exact) / 128) ** 0.5 + 0.03
 
 
-@pytest.mark.parametrize("rounds", [0, 2])
-def test_near_duplicates(spark, odd_docs, odd_texts, no_docs, rounds, monkeypatch):
+def test_near_duplicates(spark):
     rows = families()
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    classes, _ = minhash.near_classes(docs, rounds=rounds, block_texts=3)
+    classes, _ = minhash.near_classes(docs, block_texts=3)
     sets = [shingles(t) for _, t in rows]
     links = [(i, j) for i, j in itertools.combinations(range(len(rows)), 2) if rows[i][1] == rows[j][1] or sets[i] and sets[j] and probability(sets[i], sets[j]) >= 0.8]
     of = components(range(len(rows)), links)
