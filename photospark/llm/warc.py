@@ -81,9 +81,11 @@ def _open(path: str):
 
 
 def _write(batches: Iterator[pa.RecordBatch], folder: str, block_lines: int) -> Iterator[pa.RecordBatch]:
-    """Rows (key, page_id, url, html, refers_to, revisit), sorted by key, to one archive and one index of this task; its directory rows. Each attempt
-    has file names of its own, and only rows of attempts that succeed reach the directory."""
+    """Rows (key, page_id, mark, url, html, sha, refers_to), sorted by the first three, to one archive and one index of this task; its directory rows. A
+    mark (0) says that the page that follows is a revisit if its payload has this SHA-1. Each attempt has file names of its own, and only rows of
+    attempts that succeed reach the directory."""
     name, out, index, lines, rows, at, index_at = uuid.uuid4().hex, None, None, [], [], 0, 0
+    marked, marks = None, {}
     files, place = _open(folder)
 
     def close_block() -> None:
@@ -96,12 +98,19 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, block_lines: int) ->
 
     for batch in batches:
         for i in range(batch.num_rows):
-            key, page_id, url, html, refers_to, revisit = (c[i].as_py() for c in batch.columns)
+            key, page_id, mark, url, html, sha, refers_to = (c[i].as_py() for c in batch.columns)
+            if marked != (key, page_id):
+                marked, marks = (key, page_id), {}
+            if mark == 0:
+                marks[sha] = refers_to
+                continue
             if out is None:
                 files.create_dir(place, recursive=True)
                 out, index = (files.open_output_stream(f"{place}/{name}.{x}.gz", compression=None) for x in ("warc", "cdx"))
             payload = (html or "").encode()
-            member = gzip.compress(_record(page_id, url, payload, sha1_base32(payload), refers_to, revisit), 3)
+            digest = hashlib.sha1(payload)
+            refers_to = marks.get(digest.hexdigest())
+            member = gzip.compress(_record(page_id, url, payload, base64.b32encode(digest.digest()).decode(), refers_to, refers_to is not None), 3)
             out.write(member)
             lines.append([key, page_id, f"{name}.warc.gz", at, len(member)])
             at += len(member)
@@ -247,17 +256,18 @@ def write_captures(pages: DataFrame, page_id: str = "page_id", url: str = "url",
 
     A null html is an empty payload and a null url an empty key. Rows without an id revisit the smallest id there is, and are responses where
     none of their group has one; rows that repeat id and payload of a response are responses too. Other columns are not read.
-    Equal payloads are known by SHA-1 and length; counts are combined before the shuffle, and only payloads that occur more than once are joined."""
+    Equal payloads are known by SHA-1 and length; counts are combined before the shuffle. Payloads are shuffled once, into the order of their keys;
+    revisits are marked by small rows that sort before their pages."""
     spark = pages.sparkSession
     folder = new_path(spark, "warc")
+    to_key = F.udf(url_key, T.StringType(), useArrow=True)
     rows = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html"))
     payload = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
-    known = rows.select("page_id", F.sha1(payload).alias("sha"), F.octet_length(payload).alias("size"))
-    groups = known.where(F.col("size") >= least_bytes).groupBy("sha", "size").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1 and first is not null").select("sha", "size", "first")
-    rows = rows.withColumns({"sha": F.sha1(payload), "size": F.octet_length(payload)}).join(groups, ["sha", "size"], "left")
-    revisit = F.coalesce(~F.col("page_id").eqNullSafe(F.col("first")) & F.col("first").isNotNull(), F.lit(False))
-    key = F.udf(url_key, T.StringType(), useArrow=True)(F.col("url"))
-    rows = rows.select(key.alias("key"), "page_id", "url", "html", F.when(revisit, F.col("first")).alias("refers_to"), revisit.alias("revisit"))
+    known = rows.select("page_id", "url", F.sha1(payload).alias("sha"), F.octet_length(payload).alias("size")).where(F.col("size") >= least_bytes)
+    groups = known.groupBy("sha", "size").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1 and first is not null")
+    marks = known.join(groups, ["sha", "size"]).where(~F.col("page_id").eqNullSafe(F.col("first"))).select("page_id", F.lit(0).alias("mark"), "url", F.lit(None).cast("string").alias("html"), "sha", F.col("first").alias("refers_to"))
+    both = marks.union(rows.select("page_id", F.lit(1), "url", "html", F.lit(None).cast("string"), F.lit(None).cast("long")))
+    both = both.select(to_key("url").alias("key"), *both.columns)
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    rows.repartitionByRange(parts, "key", "page_id").sortWithinPartitions("key", "page_id").mapInArrow(partial(_write, folder=folder, block_lines=block_lines), DIRECTORY).write.parquet(f"{folder}/directory")
+    both.repartitionByRange(parts, "key", "page_id").sortWithinPartitions("key", "page_id", "mark").mapInArrow(partial(_write, folder=folder, block_lines=block_lines), DIRECTORY).write.parquet(f"{folder}/directory")
     return Captures(spark, folder)
