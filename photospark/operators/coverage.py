@@ -102,3 +102,18 @@ def spectral_class(teff: Column) -> Column:
     for limit, name in ((10000, "B"), (7500, "A"), (6000, "F"), (5200, "G"), (3700, "K")):
         c = c.when(teff > limit, name)
     return c.when(teff.isNotNull(), "M")
+
+
+def archive_urls(files: DataFrame, base: str) -> DataFrame:
+    """Address of each file (sector, camera, ccd, filename) below an archive's root."""
+    return files.withColumn("url", F.format_string(base.rstrip("/") + "/s%04d/%d-%d/%s", "sector", "camera", "ccd", "filename"))
+
+
+def fixed_sample(df: DataFrame, n: int, key: str = "star_id", seed: str = "42") -> DataFrame:
+    """The n rows whose hashed key comes first: the same ones every time (a report, not a filter)."""
+    return df.orderBy(F.md5(F.concat(F.lit(seed + ":"), F.col(key).cast("string"))), key).limit(n)
+
+
+def review_list(candidates: DataFrame, address: str) -> DataFrame:
+    """Candidates with the page of a viewer for their position."""
+    return candidates.withColumn("review_url", F.format_string(address + "?coord=%.5f,%.5f", "ra", "dec"))

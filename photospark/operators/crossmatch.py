@@ -135,3 +135,13 @@ def mutual_nearest(left: DataFrame, right: DataFrame, tol_arcsec: float) -> Data
     return a.join(b, ["star_id", "match_id"])
 
 
+
+
+def closest_source(sources: DataFrame, x: float, y: float) -> DataFrame:
+    """The source (star_id, x, y) nearest to a pixel, with its distance, as one row."""
+    return sources.withColumn("distance", F.hypot(F.col("x") - x, F.col("y") - y)).orderBy("distance", "star_id").limit(1)
+
+
+def zone_counts(stars: DataFrame, height: float = 10.0) -> DataFrame:
+    """Stars per declination zone: a look at how evenly a join by zones is dealt."""
+    return stars.groupBy(_zone(F.col("dec"), height).alias("zone")).agg(F.count("*").alias("n"))

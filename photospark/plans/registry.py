@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 Query = Callable[[SparkSession, str], DataFrame]
+#: Added before rounding on both sides: exact ties (means of few decimals over 64 values) then round alike everywhere.
+NUDGE = 3.7e-8
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
@@ -19,13 +21,13 @@ def query(name: str, columns: str, sql: str | None = None) -> Callable[[Query],
     def add(f: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             df = f(spark, sf_dir)
-            return df.select(*[F.round(F.col(c[:-1]).cast("double"), 6).alias(c[:-1]) if c.endswith("*") else F.col(c) for c in names])
+            return df.select(*[F.round(F.col(c[:-1]).cast("double") + F.lit(NUDGE), 6).alias(c[:-1]) if c.endswith("*") else F.col(c) for c in names])
 
         run.__name__, run.__doc__ = name, f.__doc__
         QUERIES[name] = run
         if sql:
             # Adding zero turns a negative zero, which only one engine's rounding makes, into zero.
-            shown = ", ".join(f"round(CAST({c[:-1]} AS DOUBLE), 6) + 0.0 AS {c[:-1]}" if c.endswith("*") else c for c in names)
+            shown = ", ".join(f"round(CAST({c[:-1]} AS DOUBLE) + {NUDGE}, 6) + 0.0 AS {c[:-1]}" if c.endswith("*") else c for c in names)
             ORACLES[name] = f"SELECT {shown} FROM ({sql}) AS result"
         return f
 

@@ -106,3 +106,28 @@ def _(spark, d):
        f"{_SKY}{_PAIRS}, x AS (SELECT bid, arg_min(aid, {{'s': sep, 'i': aid}}) AS aid, min(sep) AS sep FROM j WHERE sep <= 3 GROUP BY bid), y AS (SELECT aid, arg_min(bid, {{'s': sep, 'i': bid}}) AS bid FROM j WHERE sep <= 3 GROUP BY aid) SELECT x.bid AS star_id, x.aid AS match_id, sep FROM x JOIN y ON x.aid = y.aid AND x.bid = y.bid")
 def _(spark, d):
     return X.mutual_nearest(_b(spark, d), _a(spark, d), 3.0)
+
+
+@query("closest_source", "star_id distance*", f"WITH s AS ({_PIX}) SELECT star_id, sqrt((x - 100.2)**2 + (y - 55.7)**2) AS distance FROM s ORDER BY distance, star_id LIMIT 1")
+def _(spark, d):
+    k = F.col("c_custkey")
+    return X.closest_source(views.table(spark, d, "customer").select(k.alias("star_id"), (k * 37 % 211).cast("double").alias("x"), (k * 53 % 197).cast("double").alias("y")), 100.2, 55.7)
+
+
+@query("zone_counts", "zone n", f"WITH a AS ({Q.SKY_A}) SELECT CAST(floor((dec + 90) / 10) AS BIGINT) AS zone, count(*) AS n FROM a GROUP BY 1")
+def _(spark, d):
+    return X.zone_counts(_a(spark, d))
+
+
+@query("review_list", "star_id review_url", f"WITH a AS ({Q.SKY_A}) SELECT star_id, printf('https://viewer.example.org/?coord=%.5f,%.5f', ra, dec) AS review_url FROM a WHERE star_id <= 50")
+def _(spark, d):
+    from photospark.operators.coverage import review_list
+
+    return review_list(_a(spark, d).where("star_id <= 50"), "https://viewer.example.org/")
+
+
+@query("fixed_sample", "star_id", f"WITH a AS ({Q.SKY_A}) SELECT star_id FROM a ORDER BY md5('42:' || CAST(star_id AS VARCHAR)), star_id LIMIT 9")
+def _(spark, d):
+    from photospark.operators.coverage import fixed_sample
+
+    return fixed_sample(_a(spark, d), 9)

@@ -273,3 +273,9 @@ def _local(spark) -> str:
     at = "file://" + tempfile.mkdtemp(prefix="photospark-")
     spark.conf.set("spark.checkpoint.dir", at)
     return at
+
+
+@query("archive_urls", "filename url", Q.with_p(f", f AS (SELECT DISTINCT epoch, printf('ffic_%05d.fits', epoch) AS filename FROM p) SELECT filename, printf('https://archive.example.org/s%04d/%d-%d/%s', 70, 1, 2, filename) AS url FROM f"))
+def _(spark, d):
+    files = views.phot_events(spark, d).select(F.lit(70).alias("sector"), F.lit(1).alias("camera"), F.lit(2).alias("ccd"), F.format_string("ffic_%05d.fits", "epoch").alias("filename")).distinct()
+    return C.archive_urls(files, "https://archive.example.org")
