@@ -149,6 +149,49 @@ def test_chains_are_best():
         assert abs(score - best_chain(runs.tolist(), 0.5)) < 1e-9
 
 
+def in_passages(runs, a, b, setting):
+    """Words of a in any passage: every collinear choice of runs is tried."""
+    told, runs = set(), sorted(runs.tolist())
+    for r in range(1, len(runs) + 1):
+        for chosen in itertools.combinations(runs, r):
+            steps = [*zip(chosen, chosen[1:])]
+            if all(p[0] + p[2] <= q[0] and p[1] + p[2] <= q[1] for p, q in steps):
+                same = sum(n for _, _, n in chosen) + sum(passages._common(a[p[0] + p[2] : q[0]], b[p[1] + p[2] : q[1]]) for p, q in steps)
+                x, y = (chosen[-1][k] + chosen[-1][2] - chosen[0][k] for k in (0, 1))
+                if min(x, y) >= setting.least_words and same >= setting.identity * max(x, y):
+                    told |= {*range(chosen[0][0], chosen[0][0] + x)}
+    return told
+
+
+def test_parts_of_failing_chains():
+    s = passages.Settings()
+    for n, between in ((60, 80), (100, 150)):
+        w = np.random.default_rng(n).integers(1, 1 << 60, 2 * n + between).astype(np.uint64)
+        a, b = np.append(w[:n], w[n : 2 * n]), np.concatenate([w[:n], w[2 * n :], w[n : 2 * n]])
+        assert sorted(p[:4] for p in passages.passages(a, b, s)) == [(0, n, 0, n), (n, n, n + between, n)]
+        assert sorted(p[:4] for p in passages.passages(b, a, s)) == [(0, n, 0, n), (n + between, n, n, n)]
+
+
+def test_passages_cover_what_brute_force_finds():
+    r, s, several = random.Random(8), passages.Settings(), 0
+    for _ in range(400):
+        blocks = [[r.getrandbits(60) + 1 for _ in range(r.choice((8, 20, 30, 45, 55, 60, 90)))] for _ in range(r.randrange(1, 6))]
+        junk = lambda: [r.getrandbits(60) + 1 for _ in range(r.choice((0, 1, 3, 10, 20, 40, 80)))]  # noqa: B023, E731
+        order = [*range(len(blocks))]
+        if r.random() < 0.3:
+            r.shuffle(order)
+        if r.random() < 0.3:
+            order.insert(r.randrange(len(order) + 1), r.choice(order))
+        a, b = (np.array([w for i in o for w in blocks[i] + junk()] + [1], np.uint64) for o in (range(len(blocks)), order))
+        got = passages.passages(a, b, s)
+        told = {w for x, n, *_ in got for w in range(x, x + n)}
+        runs = passages.anchors(a, b, s.anchor)
+        want, shared = in_passages(runs, a, b, s), {w for x, _, n in runs.tolist() for w in range(x, x + n)}
+        assert want & shared <= told <= want  # odd words between two passages aside, which a third spans
+        several += len(got) > 1
+    assert several > 50
+
+
 def test_passages(spark, odd_docs, no_docs):
     shared, fuzzy = prose(50, 55), prose(51, 80).split()
     worn = [*fuzzy]
