@@ -47,11 +47,11 @@ def mahalanobis(df: DataFrame, columns: list[str], ridge: float = 1e-6, percenti
     return out.crossJoin(F.broadcast(limit)).withColumn("is_outlier", F.col("distance") > F.col("limit")).drop("limit")
 
 
-def neighbours(df: DataFrame, columns: list[str], k: int, blocks: int = 16) -> DataFrame:
+def neighbours(df: DataFrame, columns: list[str], k: int, block_rows: int = 500) -> DataFrame:
     """(star_id, other, distance, rank): the k nearest other rows, ties by id. Exact: all pairs, block by block, with numpy inside the tasks; each task
     holds two blocks and gives k rows for each of its first, so nothing of size n * n is shuffled. The number of blocks grows with the table."""
     spark = df.sparkSession
-    blocks = max(1, min(blocks, -(-df.count() // 500)))
+    blocks = max(1, -(-df.count() // block_rows))
     rows = df.select("star_id", F.array(*[F.col(c).cast("double") for c in columns]).alias("v")).withColumn("b", F.pmod(F.xxhash64("star_id"), F.lit(blocks)).cast("int"))
     other = spark.range(blocks).select(F.col("id").cast("int").alias("o"))
     left = rows.crossJoin(F.broadcast(other)).select(F.col("b").alias("i"), F.col("o").alias("j"), F.lit(0).alias("side"), "star_id", "v")
@@ -84,9 +84,10 @@ def local_outlier_factor(df: DataFrame, columns: list[str], k: int = 20) -> Data
     return both.groupBy("star_id").agg((F.avg("other_lrd") / F.max("lrd")).alias("lof"))
 
 
-def dbscan(df: DataFrame, columns: list[str], eps: float, least: int = 5, rounds: int = 50) -> DataFrame:
+def dbscan(df: DataFrame, columns: list[str], eps: float, least: int = 5) -> DataFrame:
     """(star_id, cluster): the smallest core id of the cluster, null for noise. Links within ``eps`` come from cells of that width in the first two columns;
-    a point counts itself; border points go to the smallest core cluster. Labels spread along links until none changes."""
+    a point counts itself; border points go to the smallest core cluster. Labels spread along links, and each
+    takes the label of the core it names, so that long ways take few rounds, until none changes (they only fall, so they end)."""
     at = lambda c, k=0: (F.floor(F.col(c) / F.lit(eps)) + k).cast("long")
     two = columns[:2]
     right = df.select(F.col("star_id").alias("o"), *[F.col(c).alias(f"o_{c}") for c in columns], *[at(c).alias(f"cell_{c}") for c in two])
@@ -101,8 +102,10 @@ def dbscan(df: DataFrame, columns: list[str], eps: float, least: int = 5, rounds
         df.sparkSession.sparkContext.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="photospark-"))
     label = core.withColumn("label", F.col("star_id"))
     seen = None
-    for _ in range(rounds):
+    while True:
         label = edges.join(label.withColumnRenamed("star_id", "o"), "o").groupBy("star_id").agg(F.min("label").alias("label")).join(core, "star_id", "left_semi").checkpoint()
+        named = label.select(F.col("star_id").alias("label"), F.col("label").alias("further"))
+        label = label.join(named, "label").select("star_id", F.col("further").alias("label")).checkpoint()
         total = label.agg(F.sum(F.col("label").cast("decimal(38,0)"))).first()[0]
         if total == seen:
             break

@@ -206,3 +206,17 @@ def test_readers_and_sinks(spark, odd, tmp_path):
         io.first_existing(spark, [f"{at}/none.json"])
     io.write_photometry(back.selectExpr("*", "70 as sector", "1 as camera", "2 as ccd").selectExpr("cast(star_id as string) as star_id", "epoch", "btjd", "flux", "flux_error", "quality", "sector", "camera", "ccd"), f"{at}/phot")
     assert io.read_photometry(spark, f"{at}/phot", 70).count() == odd.count() and io.read_photometry(spark, f"{at}/phot", 71).count() == 0
+
+
+def test_dbscan_of_a_long_chain(spark):
+    stars = spark.createDataFrame([(i, 0.9 * i, 0.0) for i in range(150)] + [(500, 0.0, 50.0)], "star_id long, x double, y double")
+    got = {r.star_id: r.cluster for r in ml.dbscan(stars, ["x", "y"], 1.0, 2).collect()}
+    assert got == {i: 0 for i in range(150)} | {500: None}
+
+
+def test_neighbour_blocks_grow_with_the_table(spark, monkeypatch):
+    asked, of = [], type(spark).range
+    monkeypatch.setattr(type(spark), "range", lambda self, n, *rest: asked.append(n) or of(self, n, *rest))
+    stars = of(spark, 9001).select(F.col("id").alias("star_id"), F.col("id").cast("double").alias("x"))
+    ml.neighbours(stars, ["x"], 2)
+    assert asked == [19]
