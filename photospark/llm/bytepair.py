@@ -25,39 +25,32 @@ def _classes() -> np.ndarray:
     return table
 
 
-class _Powers:
-    """Powers of an odd base modulo 2^64, and of its inverse, as far as any batch has asked for."""
-
-    base = 0x9E3779B97F4A7C15
-    up = down = np.ones(1, np.uint64)
-
-    @classmethod
-    def of(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if cls.up.size <= n:
-            def powers(x: int) -> np.ndarray:
-                out = np.full(n + 1, x, np.uint64)
-                out[0] = 1
-                return np.cumprod(out, dtype=np.uint64)
-
-            cls.up, cls.down = powers(cls.base), powers(pow(cls.base, -1, 1 << 64))
-        return cls.up, cls.down
-
-
 def mix64(h: np.ndarray) -> np.ndarray:
     """A bijective finish that spreads every bit (splitmix)."""
     h = h ^ (h >> np.uint64(30))
-    h = h * np.uint64(0xBF58476D1CE4E5B9)
-    h = h ^ (h >> np.uint64(27))
-    h = h * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    h ^= h >> np.uint64(27)
+    h *= np.uint64(0x94D049BB133111EB)
+    h ^= h >> np.uint64(31)
+    return h
 
 
 def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of values[start:end] for many spans at once, equal for equal spans wherever they stand."""
-    up, down = _Powers.of(values.size)
-    sums = np.zeros(values.size + 1, np.uint64)
-    np.cumsum((values.astype(np.uint64) + np.uint64(0x51ED27)) * up[: values.size], out=sums[1:])
-    return mix64((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)) | np.uint64(1)
+    """64-bit hashes of values[start:end] for many spans that aren't empty, equal for equal spans wherever they stand.
+
+    Each value and its place in the span give a mixed number, and a span has their sum: no pattern of values cancels out, as
+    patterns do in polynomials modulo 2^64."""
+    size = ends - starts
+    if not size.size:
+        return np.zeros(0, np.uint64)
+    first = np.cumsum(size) - size
+    n = int(size.sum())
+    held = values[starts[0] : ends[-1]] if ends[-1] - starts[0] == n else values[_spread(starts, size)]
+    mixed = np.arange(1, n + 1, dtype=np.uint64) - np.repeat(first.astype(np.uint64), size)
+    mixed <<= np.uint64(21)
+    mixed += held
+    mixed = mix64(mixed)
+    return mix64(np.add.reduceat(mixed, first) + size.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)) | np.uint64(1)
 
 
 class PreTokens:
@@ -65,7 +58,7 @@ class PreTokens:
 
     def __init__(self, parts: list[str]):
         self.joined = "".join(parts)
-        cp = np.frombuffer(self.joined.encode("utf-32-le"), np.uint32)
+        self.cp = cp = np.frombuffer(self.joined.encode("utf-32-le"), np.uint32)
         size = np.fromiter(map(len, parts), np.int64, len(parts))
         begin = np.cumsum(size) - size
         self.starts = self._starts(cp, begin[size > 0])
@@ -105,33 +98,75 @@ class PreTokens:
 
 
 class Cache:
-    """From pre-token hash to a number, bounded: a direct-mapped table before a dict that starts anew beyond ``keep`` entries."""
-
-    def __init__(self, make: Callable[[list[str]], list[int]], reset: Callable[[], None] = lambda: None, bits: int = 21, keep: int = 700_000):
-        self.make, self.reset, self.keep, self.shift = make, reset, keep, np.uint64(64 - bits)
-        self.keys, self.values, self.more = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits, np.int32), {}
+    """From pre-token to a number, bounded: a direct-mapped table before a dict, both by hash. The code points of every entry are kept and compared with
+    those of each pre-token that finds it; one that differs (a collision) gets its number by itself. All starts anew beyond ``keep`` entries or
+    ``most`` code points."""
+
+    def __init__(self, make: Callable[[list[str]], list[int]], reset: Callable[[], None] = lambda: None, bits: int = 21, keep: int = 700_000, most: int = 30_000_000):
+        self.make, self.reset, self.keep, self.most, self.shift = make, reset, keep, most, np.uint64(64 - bits)
+        self.keys, self.entry, self.more = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits, np.int32), {}
+        self.clear()
+
+    def clear(self) -> None:
+        self.keys[:] = 0
+        self.more.clear()
+        self.held, self.at = np.zeros(1 << 16, np.uint32), np.zeros(1, np.int64)
+        self.values = np.zeros(0, np.int64)
+        self.reset()
+
+    def _add(self, pre: PreTokens, at: np.ndarray) -> None:
+        """New entries for the pre-tokens at these places."""
+        made = self.make([pre.piece(i) for i in at.tolist()])
+        size = pre.ends[at] - pre.starts[at]
+        ends = self.at[-1] + np.cumsum(size)
+        if ends[-1] > self.held.size:
+            self.held = np.append(self.held, np.zeros(max(self.held.size, int(ends[-1])), np.uint32))
+        self.held[self.at[-1] : ends[-1]] = pre.cp[_spread(pre.starts[at], size)]
+        self.more.update(zip(pre.hashes[at].tolist(), range(self.at.size - 1, self.at.size - 1 + at.size), strict=True))
+        self.at = np.append(self.at, ends)
+        self.values = np.append(self.values, np.array(made, np.int64))
+
+    def _differs(self, pre: PreTokens, entry: np.ndarray) -> np.ndarray:
+        """Places of pre-tokens that aren't what their entry holds."""
+        size, own = pre.ends - pre.starts, self.at[entry + 1] - self.at[entry]
+        wrong = size != own
+        same = np.flatnonzero(~wrong)
+        if same.size:
+            n = size[same]
+            own = pre.cp if same.size == size.size else pre.cp[_spread(pre.starts[same], n)]
+            unequal = own != self.held[_spread(self.at[entry[same]], n)]
+            wrong[same] = np.logical_or.reduceat(unequal, np.cumsum(n) - n)
+        return np.flatnonzero(wrong)
 
     def __call__(self, pre: PreTokens) -> np.ndarray:
-        if len(self.more) > self.keep:
-            self.keys[:] = 0
-            self.more.clear()
-            self.reset()
+        if len(self.more) > self.keep or self.at[-1] > self.most:
+            self.clear()
         h = pre.hashes
         slot = (h >> self.shift).astype(np.int64)
-        out = self.values[slot]
+        entry = self.entry[slot]
         miss = np.flatnonzero(self.keys[slot] != h)
         if miss.size:
             u, at, inverse = np.unique(h[miss], return_index=True, return_inverse=True)
             keys = u.tolist()
-            new = [i for i, k in enumerate(keys) if k not in self.more]
-            self.more.update(zip([keys[i] for i in new], self.make([pre.piece(miss[at[i]]) for i in new]), strict=True))
+            if (new := np.array([i for i, k in enumerate(keys) if k not in self.more], np.int64)).size:
+                self._add(pre, miss[at[new]])
             found = np.fromiter(map(self.more.__getitem__, keys), np.int32, len(keys))
-            out[miss] = found[inverse]
+            entry[miss] = found[inverse]
             place = slot[miss[at]]
-            self.keys[place], self.values[place] = u, found
+            self.keys[place], self.entry[place] = u, found
+        out = self.values[entry]
+        if (wrong := self._differs(pre, entry)).size:
+            out[wrong] = self.make([pre.piece(i) for i in wrong.tolist()])
         return out
 
 
+def _spread(starts: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """All places of spans, one after another."""
+    out = np.repeat(starts - (np.cumsum(size) - size), size)
+    out += np.arange(out.size)
+    return out
+
+
 def byte_letters() -> dict[str, int]:
     """The letters that stand for bytes in the vocabulary file: printable ones for themselves, the others counted up from 256."""
     own = [*range(33, 127), *range(161, 173), *range(174, 256)]

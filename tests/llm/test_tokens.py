@@ -34,6 +34,31 @@ def test_counts_and_ids_of_strange_texts(tokenizer, library):
     assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == want
 
 
+def thue_morse(a, b, n):
+    """Words of two letters whose patterns cancel out in polynomials modulo 2^64."""
+    word = a
+    while len(word) < n:
+        word += word.translate(str.maketrans({a: b, b: a}))
+    return word
+
+
+def test_patterns_that_cancel_out(tokenizer, library):
+    texts = [thue_morse("e", "r", 2048), thue_morse("r", "e", 2048), thue_morse("a", "b", 1024), thue_morse("b", "a", 1024)]
+    texts.append(" ".join(texts))
+    want = [library[0](t) for t in texts]
+    assert token_counts.counts(texts, tokenizer).tolist() == [len(x) for x in want]
+    for store in (bpe_codec.pieces(tokenizer), packing._library(tokenizer)):
+        ids, at = store.encode_texts(texts, vocabulary(tokenizer))
+        assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == want
+
+
+def test_colliding_pre_tokens_get_their_own_number():
+    cache = Cache(lambda words: [len(w) for w in words])
+    pre = PreTokens(["a bb ccc dddd bb"])
+    pre.hashes[:] = 7
+    assert cache(pre).tolist() == [1, 3, 4, 5, 3] and cache(pre).tolist() == [1, 3, 4, 5, 3]
+
+
 def test_cache_starts_anew(tokenizer):
     calls = []
     cache = Cache(lambda words: calls.append(len(words)) or [len(w) for w in words], keep=5, bits=4)
