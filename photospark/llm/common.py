@@ -31,9 +31,14 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def quoted(name: str) -> str:
+    """A column name as Spark's expressions take it, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def whole_row(docs: DataFrame) -> Column:
     """All columns, whatever their names, as one struct."""
-    return F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    return F.struct(*[F.col(quoted(c)) for c in docs.columns])
 
 
 def portions(texts: list[str | None], chars: int = 1_000_000) -> Iterator[tuple[int, list[str]]]:

@@ -10,15 +10,21 @@ from photospark.llm.bytepair import mix64, span_hashes
 _FACTORS = np.cumprod(np.full(64, 0xD1342543DE82EF95, np.uint64), dtype=np.uint64)
 
 
+def word_places(data: bytes, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of all words of texts of these sizes, each followed by one byte of white space, and the first word of each text, with the end."""
+    raw = np.frombuffer(data, np.uint8)
+    white = np.ones(raw.size + 2, bool)
+    white[1:-1] = (raw == 32) | ((raw >= 9) & (raw <= 13))
+    starts, ends = np.flatnonzero(white[:-1] & ~white[1:])[: raw.size + 1], np.flatnonzero(~white[:-1] & white[1:])
+    return starts, ends, np.append(np.searchsorted(starts, np.cumsum(size + 1) - size - 1), starts.size)
+
+
 def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of all words in order, and the first word of each text, with the end."""
     coded = [t.encode() for t in texts]
-    data = np.frombuffer(b"\n".join(coded), np.uint8)
-    size = np.fromiter(map(len, coded), np.int64, len(coded)) + 1
-    white = np.ones(data.size + 2, bool)
-    white[1:-1] = (data == 32) | ((data >= 9) & (data <= 13))
-    starts, ends = np.flatnonzero(white[:-1] & ~white[1:])[: data.size + 1], np.flatnonzero(~white[:-1] & white[1:])
-    return span_hashes(data, starts, ends), np.append(np.searchsorted(starts, np.cumsum(size) - size), starts.size)
+    data = b"\n".join([*coded, b""])
+    starts, ends, first = word_places(data, np.fromiter(map(len, coded), np.int64, len(coded)))
+    return span_hashes(np.frombuffer(data, np.uint8), starts, ends), first
 
 
 def windows(words: np.ndarray, first: np.ndarray, k: int, short: bool = True) -> tuple[np.ndarray, np.ndarray]:

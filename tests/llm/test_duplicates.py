@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from texts import prose
 
-from photospark.llm import embedding_join, minhash, passages
+from photospark.llm import embedding_join, minhash
 from photospark.llm.common import connected_components
 from photospark.llm.shingles import weighted, windows, word_hashes
 
@@ -115,102 +115,3 @@ def test_near_duplicates_of_odd_rows(odd_docs, odd_texts, no_docs):
 def test_one_row_stays_where_no_row_has_a_key(spark):
     docs = spark.createDataFrame([(None, "a b c d e f"), (None, "a b c d e f"), (None, None), (3, "x"), (3, "x"), (3, "y")], "doc_id long, text string")
     assert sorted(map(tuple, minhash.keep_one(docs).collect()), key=str) == sorted([(None, "a b c d e f"), (None, None), (3, "x"), (3, "y")], key=str)
-
-
-def test_minimizers():
-    rng = np.random.default_rng(0)
-    for _ in range(100):
-        n, w = [int(x) for x in rng.integers(0, 50, 3)], int(rng.integers(1, 20))
-        h, text = rng.integers(1, 1000, sum(n)).astype(np.uint64), np.repeat(np.arange(3), n)
-        want = []
-        for t in range(3):
-            x, keep = h[text == t], set()
-            for i in range(max(1, len(x) - w + 1)) if len(x) else []:
-                keep |= {i + j for j, v in enumerate(x[i : i + w]) if v == x[i : i + w].min()}
-            want += [(int(x[i]), t) for i in sorted(keep)]
-        assert [*zip(*(v.tolist() for v in passages.minimizers(h, text, w)))] == want
-
-
-def best_chain(runs, gap):
-    """Quadratic dynamic programming."""
-    order, score = sorted(range(len(runs)), key=lambda i: runs[i][0]), {}
-    for i in order:
-        x, y, n = runs[i]
-        score[i] = n + max([0.0, *(score[j] - gap * (x - runs[j][0] - runs[j][2] + y - runs[j][1] - runs[j][2]) for j in score if runs[j][0] + runs[j][2] <= x and runs[j][1] + runs[j][2] <= y)])
-    return max(score.values())
-
-
-def test_chains_are_best():
-    r = random.Random(6)
-    for _ in range(200):
-        runs = np.array([(r.randrange(60), r.randrange(60), r.randrange(3, 12)) for _ in range(r.randrange(1, 12))])
-        first = passages.chains(runs, 0.5)[0]
-        score = sum(runs[i][2] for i in first) - 0.5 * sum(runs[b][0] - runs[a][0] - runs[a][2] + runs[b][1] - runs[a][1] - runs[a][2] for a, b in zip(first, first[1:]))
-        assert abs(score - best_chain(runs.tolist(), 0.5)) < 1e-9
-
-
-def in_passages(runs, a, b, setting):
-    """Words of a in any passage: every collinear choice of runs is tried."""
-    told, runs = set(), sorted(runs.tolist())
-    for r in range(1, len(runs) + 1):
-        for chosen in itertools.combinations(runs, r):
-            steps = [*zip(chosen, chosen[1:])]
-            if all(p[0] + p[2] <= q[0] and p[1] + p[2] <= q[1] for p, q in steps):
-                same = sum(n for _, _, n in chosen) + sum(passages._common(a[p[0] + p[2] : q[0]], b[p[1] + p[2] : q[1]]) for p, q in steps)
-                x, y = (chosen[-1][k] + chosen[-1][2] - chosen[0][k] for k in (0, 1))
-                if min(x, y) >= setting.least_words and same >= setting.identity * max(x, y):
-                    told |= {*range(chosen[0][0], chosen[0][0] + x)}
-    return told
-
-
-def test_parts_of_failing_chains():
-    s = passages.Settings()
-    for n, between in ((60, 80), (100, 150)):
-        w = np.random.default_rng(n).integers(1, 1 << 60, 2 * n + between).astype(np.uint64)
-        a, b = np.append(w[:n], w[n : 2 * n]), np.concatenate([w[:n], w[2 * n :], w[n : 2 * n]])
-        assert sorted(p[:4] for p in passages.passages(a, b, s)) == [(0, n, 0, n), (n, n, n + between, n)]
-        assert sorted(p[:4] for p in passages.passages(b, a, s)) == [(0, n, 0, n), (n + between, n, n, n)]
-
-
-def test_passages_cover_what_brute_force_finds():
-    r, s, several = random.Random(8), passages.Settings(), 0
-    for _ in range(400):
-        blocks = [[r.getrandbits(60) + 1 for _ in range(r.choice((8, 20, 30, 45, 55, 60, 90)))] for _ in range(r.randrange(1, 6))]
-        junk = lambda: [r.getrandbits(60) + 1 for _ in range(r.choice((0, 1, 3, 10, 20, 40, 80)))]  # noqa: B023, E731
-        order = [*range(len(blocks))]
-        if r.random() < 0.3:
-            r.shuffle(order)
-        if r.random() < 0.3:
-            order.insert(r.randrange(len(order) + 1), r.choice(order))
-        a, b = (np.array([w for i in o for w in blocks[i] + junk()] + [1], np.uint64) for o in (range(len(blocks)), order))
-        got = passages.passages(a, b, s)
-        told = {w for x, n, *_ in got for w in range(x, x + n)}
-        runs = passages.anchors(a, b, s.anchor)
-        want, shared = in_passages(runs, a, b, s), {w for x, _, n in runs.tolist() for w in range(x, x + n)}
-        assert want & shared <= told <= want  # odd words between two passages aside, which a third spans
-        several += len(got) > 1
-    assert several > 50
-
-
-def test_passages(spark, odd_docs, no_docs):
-    shared, fuzzy = prose(50, 55), prose(51, 80).split()
-    worn = [*fuzzy]
-    worn[20], worn[50] = "other", "words"
-    short = prose(52, 40)
-    rows = [(1, prose(61, 90) + " " + shared + " " + prose(62, 30)), (2, shared + "\n" + prose(63, 70)), (3, prose(64, 40) + "\t" + " ".join(fuzzy)), (4, " ".join(worn) + " " + prose(65, 20)), (5, short + " " + prose(66, 60)), (6, prose(67, 60) + " " + short)]
-    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
-    got = {(r.doc_id, r.source_doc_id): (r.start_word, r.n_words, r.source_start) for r in passages.repeated_passages(docs).collect()}
-    assert got == {(2, 1): (0, 55, 90), (4, 3): (0, 80, 40)}
-    cut = {r.doc_id: r for r in passages.cut_repeats(docs).collect()}
-    assert cut[1].text == rows[0][1] and cut[2].text == prose(63, 70) and cut[4].text == prose(65, 20) and cut[5].text == rows[4][1] and cut[2].n_chars == len(cut[2].text)
-    assert passages.repeated_passages(no_docs).count() == 0 and passages.cut_repeats(no_docs).columns == no_docs.columns
-    odd = {(r.doc_id, r.source_doc_id) for r in passages.repeated_passages(odd_docs).collect()}
-    assert odd == {(2, 1), (3, 1), (3, 2), (12, 1), (12, 3), (14, 13)} or odd >= {(2, 1), (3, 1), (12, 1), (14, 13)}
-    assert passages.cut_repeats(odd_docs).columns == odd_docs.columns and passages.cut_repeats(odd_docs).count() == odd_docs.count()
-
-
-def test_many_holders_cost_one_row_each(spark):
-    shared = prose(70, 60)
-    docs = spark.createDataFrame([(i, prose(1000 + i, 20) + " " + shared + " " + prose(3000 + i, 20)) for i in range(200)], "doc_id long, text string")
-    got = passages.repeated_passages(docs).collect()
-    assert {r.doc_id for r in got} == {*range(1, 200)} and len(got) <= 3 * 200  # few chance seeds tie a row to a third
