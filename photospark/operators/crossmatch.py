@@ -97,16 +97,31 @@ def nearest_planar(stars: DataFrame, ra: float, dec: float) -> DataFrame:
     return stars.withColumn("distance", d).orderBy("distance", "star_id").limit(1)
 
 
-def neighbours(stars: DataFrame, radius: float = 6.0, inner: float = 4.0) -> DataFrame:
-    """Pixel-plane neighbours within ``radius`` (rows star_id, x, y, flux): distance in arcsec and flux ratio of the nearest, and flux sums within the two
-    radii over the own flux. A self-join on cells of the radius; stars without neighbours keep nulls and 0."""
+def _within(stars: DataFrame, others: DataFrame, radius: float) -> DataFrame:
+    """Rows (star_id, d, o_id, o_flux): others at a distance over 0 and at most ``radius``, by an equi-join on cells of the radius."""
     at = lambda c, k=0: (F.floor(F.col(c) / F.lit(radius)) + k).cast("long")
-    right = stars.select(F.col("star_id").alias("o_id"), F.col("x").alias("o_x"), F.col("y").alias("o_y"), F.col("flux").alias("o_flux"), at("x").alias("cx"), at("y").alias("cy"))
+    right = others.select(F.col("star_id").alias("o_id"), F.col("x").alias("o_x"), F.col("y").alias("o_y"), F.col("flux").alias("o_flux"), at("x").alias("cx"), at("y").alias("cy"))
     left = stars.withColumn("cx", F.explode(F.array(*[at("x", k) for k in (-1, 0, 1)]))).withColumn("cy", F.explode(F.array(*[at("y", k) for k in (-1, 0, 1)])))
     d = F.hypot(F.col("x") - F.col("o_x"), F.col("y") - F.col("o_y"))
-    pairs = left.join(right, ["cx", "cy"]).withColumn("d", d).where((F.col("d") > 0) & (F.col("d") <= radius))
+    return left.join(right, ["cx", "cy"]).withColumn("d", d).where((F.col("d") > 0) & (F.col("d") <= radius)).select("star_id", "d", "o_id", "o_flux")
+
+
+def neighbours(stars: DataFrame, radius: float = 6.0, inner: float = 4.0) -> DataFrame:
+    """Pixel-plane neighbours (rows star_id, x, y, flux): distance in arcsec and flux ratio of the nearest, at any distance, and flux sums within the two
+    radii over the own flux. A self-join on cells of the radius. Stars that find none there look again in cells of four times the width, until all
+    have one or the cells cover the frame: those are few and lonely, so wide cells stay cheap. A star alone keeps nulls and 0."""
+    pairs = _within(stars, stars, radius)
     got = pairs.groupBy("star_id").agg(F.min(F.struct("d", "o_id", "o_flux")).alias("nn"), F.sum(F.when(F.col("d") <= inner, F.col("o_flux"))).alias("s_in"), F.sum("o_flux").alias("s_out"))
-    out = stars.select("star_id", "flux").join(got, "star_id", "left")
+    far = stars.agg(F.max("x") - F.min("x"), F.max("y") - F.min("y")).first()
+    extent, reach = math.hypot(*(v or 0.0 for v in far)), radius
+    nearest = got.select("star_id", "nn")
+    while reach < extent:
+        lonely = stars.join(nearest, "star_id", "left_anti")
+        if lonely.isEmpty():
+            break
+        reach *= 4
+        nearest = nearest.union(_within(lonely, stars, reach).groupBy("star_id").agg(F.min(F.struct("d", "o_id", "o_flux")).alias("nn")))
+    out = stars.select("star_id", "flux").join(nearest, "star_id", "left").join(got.drop("nn"), "star_id", "left")
     return out.select(
         "star_id", (F.col("nn.d") * S.ARCSEC_PER_PIXEL).alias("nn_dist_arcsec"), ratio("nn.o_flux", "flux").alias("nn_flux_ratio"), F.coalesce(ratio("s_in", "flux"), F.lit(0.0)).alias("contam_ratio_84arcsec"),
         F.coalesce(ratio("s_out", "flux"), F.lit(0.0)).alias("contam_ratio_126arcsec"),

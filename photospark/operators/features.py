@@ -57,31 +57,34 @@ def stat_features(phot: DataFrame, least: int = 3) -> DataFrame:
     g = g.withColumns({"before": F.lag("f").over(order), "mean": F.avg("f").over(star), "mid": F.median("f").over(star), "std": F.stddev_pop("f").over(star)})
     z, n, d = F.abs(F.col("f") - F.col("mean")), F.count("f"), F.abs(F.col("f") - F.col("before"))
     w = F.when(F.col("e") > 0, 1 / (F.col("e") * F.col("e")))
+    g = g.withColumn("wmean", F.sum(F.col("f") * w).over(star) / F.sum(w).over(star))
+    all_positive = F.count_if(F.coalesce(F.col("e") <= 0, F.lit(True))) == 0
     s = g.groupBy("star_id").agg(
         n.alias("n_points"), F.avg("f").alias("mean"), F.median("f").alias("median"), F.stddev_pop("f").alias("std"), F.skewness("f").alias("skewness"), F.kurtosis("f").alias("kurtosis"),
         F.median(F.abs(F.col("f") - F.col("mid"))).alias("mad"), (pct("f", 0.75) - pct("f", 0.25)).alias("iqr"), *[pct("f", p / 100).alias(f"p{p}") for p in (5, 10, 25, 75, 90, 95)],
         (F.max("f") - F.min("f")).alias("range"), ratio(F.max("f") - F.min("f"), F.median("f")).alias("amplitude"), F.sqrt(F.avg(F.col("f") * F.col("f"))).alias("rms"), ratio(F.stddev_pop("f"), F.avg("f")).alias("cv"),
         *[ratio(F.count_if(z > k * F.col("std")), n).alias(f"beyond_{k}std") for k in (1, 2, 3)],
-        F.when(F.count_if(F.coalesce(F.col("e") <= 0, F.lit(True))) == 0, F.sum(F.col("f") * w) / F.sum(w)).alias("weighted_mean"), (F.max("btjd") - F.min("btjd")).alias("time_span"),
+        F.when(all_positive, F.sum(F.col("f") * w) / F.sum(w)).alias("weighted_mean"),
+        F.when(all_positive, F.sqrt(F.sum((F.col("f") - F.col("wmean")) * (F.col("f") - F.col("wmean")) * w) / F.sum(w))).alias("weighted_std"), (F.max("btjd") - F.min("btjd")).alias("time_span"),
         F.avg(d).alias("mean_abs_diff"), F.max(d).alias("max_abs_diff"), F.corr("f", "before").alias("autocorr"),
-        (F.count("before") * F.sum(F.col("f") * F.col("before"))).alias("unused"),
     )
-    return s.drop("unused").where(F.col("n_points") >= least)
+    return s.where(F.col("n_points") >= least)
 
 
 def ml_features(cleaned: DataFrame, star_table: DataFrame, mode: str, least: int = 10) -> DataFrame:
-    """Features of cleaned flux for a mode (its mask and completeness): sample deviation, corrected moments, deviations about the median by MAD."""
+    """Features of cleaned flux for a mode (its mask and completeness), with tic_id if star_table has it: sample deviation, corrected moments, deviations about the median by MAD."""
     mask, complete = S.ML_MASKS[mode]
     epochs = cleaned.agg(F.count_distinct("epoch").alias("n_epochs"))
-    kept = star_table.where(F.col("completeness") >= complete).select("star_id")
-    df = cleaned.where(F.col("mask_bits").bitwiseAND(mask) == 0).join(kept, "star_id", "left_semi").select("star_id", F.col("flux_cm").alias("f"), F.col("flux_error").alias("e"))
+    tic_id = F.col("tic_id") if "tic_id" in star_table.columns else F.lit(None).cast("string").alias("tic_id")
+    kept = star_table.where(F.col("completeness") >= complete).select("star_id", tic_id)
+    df = cleaned.where(F.col("mask_bits").bitwiseAND(mask) == 0).select("star_id", "flux_cm", "flux_error").join(kept, "star_id").select("star_id", "tic_id", F.col("flux_cm").alias("f"), F.col("flux_error").alias("e"))
     star = Window.partitionBy("star_id")
     df = df.withColumn("mid", F.median("f").over(star)).withColumn("mad", F.median(F.abs(F.col("f") - F.col("mid"))).over(star))
     far, n, m = F.abs(F.col("f") - F.col("mid")), F.count("f"), F.median("f")
     r = ratio(F.col("f") - F.col("mid"), "e")
     beyond = lambda k: ratio(F.count_if((F.col("mad") > 0) & (far > k * S.MAD_TO_SIGMA * F.col("mad"))), n)
     s = df.groupBy("star_id").agg(
-        n.alias("n_points"), F.avg("f").alias("mean_flux"), m.alias("median_flux"), F.stddev_samp("f").alias("std_flux"), F.max("mad").alias("mad_flux"), ratio(F.max("f") - F.min("f"), m).alias("amplitude"),
+        F.max("tic_id").alias("tic_id"), n.alias("n_points"), F.avg("f").alias("mean_flux"), m.alias("median_flux"), F.stddev_samp("f").alias("std_flux"), F.max("mad").alias("mad_flux"), ratio(F.max("f") - F.min("f"), m).alias("amplitude"),
         ratio(pct("f", 0.95) - pct("f", 0.05), m).alias("amplitude_robust"), F.when(n > 1, F.sum(r * r) / (n.cast("double") - 1)).alias("reduced_chi2"), skew_corrected("f").alias("skewness"), kurtosis_corrected("f").alias("kurtosis"),
         beyond(2).alias("beyond_2sigma"), beyond(3).alias("beyond_3sigma"), F.median("e").alias("median_error"), ratio(m, F.median("e")).alias("snr"),
     )

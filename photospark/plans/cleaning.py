@@ -8,33 +8,36 @@ from photospark.plans import sql as Q
 from photospark.plans.registry import query
 from photospark.sources import views
 
-E = views.phot_events
+E = views.phot_survey
+
+
+def _stars(spark, d):
+    return quality.star_qc(E(spark, d), views.star_catalog(spark, d))
 
 
 def _cleaned(spark, d):
-    return quality.clean(E(spark, d), 70)
+    return quality.clean(E(spark, d), 70, views.star_catalog(spark, d))
 
 
-@query("epoch_qc", "epoch btjd* median_flux* mean_flux* std_flux* median_error* n_valid n_total frac_good* time_gap* is_after_gap median_flux_good* mad_flux* median_flux_norm* scatter_norm* is_bad reason", Q.with_p(f", {Q.EPOCHS} SELECT * FROM epochs"))
+@query("epoch_qc", "epoch btjd* median_flux* mean_flux* std_flux* median_error* n_valid n_total frac_good* time_gap* is_after_gap median_flux_good* mad_flux* median_flux_norm* scatter_norm* is_bad reason", Q.with_p(f", {Q.EPOCHS} SELECT * FROM epochs", Q.PHOT_C))
 def _(spark, d):
     return quality.epoch_qc(E(spark, d))
 
 
-@query("star_qc", "star_id n_total n_valid median_flux* mean_flux* std_flux* median_error* completeness* robust_scatter_mad* snr*", Q.with_p(f", {Q.STARS} SELECT * FROM stars"))
+@query("star_qc", "star_id n_total n_valid median_flux* mean_flux* std_flux* median_error* completeness* robust_scatter_mad* snr* tic_id is_edge_star", Q.with_p(f", {Q.STARS} SELECT * FROM stars", Q.PHOT_C))
 def _(spark, d):
-    return quality.star_qc(E(spark, d))
+    return _stars(spark, d)
 
 
 @query("quiet_stars", "star_id robust_scatter_mad* is_quiet_star",
-       Q.with_p(f", {Q.STARS}, q AS (SELECT *, coalesce(completeness >= 0.2 AND robust_scatter_mad <= (SELECT quantile_cont(robust_scatter_mad, 0.3) FROM stars) AND median_flux > 0, false) AS flag FROM stars) SELECT star_id, robust_scatter_mad, flag AS is_quiet_star FROM q"))
+       Q.with_p(f", {Q.STARS} SELECT star_id, robust_scatter_mad, is_quiet_star FROM quiet", Q.PHOT_C))
 def _(spark, d):
-    return quality.quiet_stars(quality.star_qc(E(spark, d)), S.CleanParams(quiet_completeness=0.2))
+    return quality.quiet_stars(_stars(spark, d))
 
 
-@query("common_mode", "epoch cm*", Q.with_p(f", {Q.STARS}, {Q.COMMON} SELECT * FROM cm"))
+@query("common_mode", "epoch cm*", Q.with_p(f", {Q.STARS}, {Q.COMMON} SELECT * FROM cm", Q.PHOT_C))
 def _(spark, d):
-    p = E(spark, d)
-    return quality.common_mode(p, quality.quiet_stars(quality.star_qc(p)))
+    return quality.common_mode(E(spark, d), quality.quiet_stars(_stars(spark, d)))
 
 
 @query("mask_bits", "star_id row epoch flux_cm* mask_bits mask_reason", Q.cleaned("SELECT * FROM cleaned"))
@@ -71,29 +74,21 @@ def _(spark, d):
 
 
 def _ml(mask: int, complete: float, least: int) -> str:
-    return Q.cleaned(f""", f AS (SELECT c.star_id, flux_cm AS f, flux_error AS e, median(flux_cm) OVER (PARTITION BY c.star_id) AS mid2 FROM cleaned c JOIN stars ON c.star_id = stars.star_id WHERE mask_bits & {mask} = 0 AND stars.completeness >= {complete}),
+    return Q.cleaned(f""", f AS (SELECT c.star_id, tic_id, flux_cm AS f, flux_error AS e, median(flux_cm) OVER (PARTITION BY c.star_id) AS mid2 FROM cleaned c JOIN stars ON c.star_id = stars.star_id WHERE mask_bits & {mask} = 0 AND stars.completeness >= {complete}),
     g AS (SELECT *, median(abs(f - mid2)) OVER (PARTITION BY star_id) AS mad2 FROM f)
-    SELECT star_id, count(*) AS n_points, avg(f) AS mean_flux, median(f) AS median_flux, stddev_samp(f) AS std_flux, max(mad2) AS mad_flux, (max(f) - min(f)) / median(f) AS amplitude, (quantile_cont(f, 0.95) - quantile_cont(f, 0.05)) / median(f) AS amplitude_robust,
+    SELECT star_id, max(tic_id) AS tic_id, count(*) AS n_points, avg(f) AS mean_flux, median(f) AS median_flux, stddev_samp(f) AS std_flux, max(mad2) AS mad_flux, (max(f) - min(f)) / median(f) AS amplitude, (quantile_cont(f, 0.95) - quantile_cont(f, 0.05)) / median(f) AS amplitude_robust,
      sum(((f - mid2) / e) ** 2) / (count(*) - 1) AS reduced_chi2, skewness(f) AS skewness, kurtosis(f) AS kurtosis, avg(CAST(mad2 > 0 AND abs(f - mid2) > 2 * 1.4826 * mad2 AS INT)) AS beyond_2sigma, avg(CAST(mad2 > 0 AND abs(f - mid2) > 3 * 1.4826 * mad2 AS INT)) AS beyond_3sigma,
      median(e) AS median_error, median(f) / median(e) AS snr, count(*) / CAST((SELECT count(DISTINCT epoch) FROM cleaned) AS DOUBLE) AS completeness FROM g GROUP BY star_id HAVING count(*) >= {least}""")
 
 
-_ML = "star_id n_points completeness* mean_flux* median_flux* std_flux* mad_flux* amplitude* amplitude_robust* reduced_chi2* skewness* kurtosis* beyond_2sigma* beyond_3sigma* median_error* snr*"
-
-
-def _ml_query(spark, d, mode, complete):
-    """The mode's mask, with a completeness that the view's stars can reach."""
-    from pyspark.sql import functions as F
-
-    stars = quality.star_qc(E(spark, d))
-    return features.ml_features(_cleaned(spark, d), stars.withColumn("completeness", F.when(F.col("completeness") >= complete, 1.0).otherwise(0.0)), mode)
+_ML = "star_id tic_id n_points completeness* mean_flux* median_flux* std_flux* mad_flux* amplitude* amplitude_robust* reduced_chi2* skewness* kurtosis* beyond_2sigma* beyond_3sigma* median_error* snr*"
 
 
-@query("ml_anomaly", _ML, _ml(S.ML_MASKS["anomaly"][0], 0.3, 10))
+@query("ml_anomaly", _ML, _ml(*S.ML_MASKS["anomaly"], 10))
 def _(spark, d):
-    return _ml_query(spark, d, "anomaly", 0.3)
+    return features.ml_features(_cleaned(spark, d), _stars(spark, d), "anomaly")
 
 
-@query("ml_classification", _ML, _ml(S.ML_MASKS["classification"][0], 0.35, 10))
+@query("ml_classification", _ML, _ml(*S.ML_MASKS["classification"], 10))
 def _(spark, d):
-    return _ml_query(spark, d, "classification", 0.35)
+    return features.ml_features(_cleaned(spark, d), _stars(spark, d), "classification")

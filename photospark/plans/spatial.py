@@ -77,8 +77,8 @@ _PIX = "SELECT c_custkey AS star_id, CAST(c_custkey * 37 % 211 AS DOUBLE) AS x,
 
 
 @query("neighbors_contam", "star_id nn_dist_arcsec* nn_flux_ratio* contam_ratio_84arcsec* contam_ratio_126arcsec*",
-       f"""WITH s AS ({_PIX}), j AS (SELECT a.star_id, a.flux, b.star_id AS o, b.flux AS f, sqrt((a.x-b.x)**2 + (a.y-b.y)**2) AS d FROM s a JOIN s b ON abs(a.x-b.x) <= 6 AND abs(a.y-b.y) <= 6), k AS (SELECT * FROM j WHERE d > 0 AND d <= 6),
-       g AS (SELECT star_id, min(d) AS d, arg_min(f, {{'d': d, 'o': o}}) AS f, sum(f) FILTER (WHERE d <= 4) AS i, sum(f) AS u FROM k GROUP BY star_id)
+       f"""WITH s AS ({_PIX}), j AS (SELECT a.star_id, a.flux, b.star_id AS o, b.flux AS f, sqrt((a.x-b.x)**2 + (a.y-b.y)**2) AS d FROM s a JOIN s b ON a.star_id <> b.star_id), k AS (SELECT * FROM j WHERE d > 0),
+       g AS (SELECT star_id, min(d) AS d, arg_min(f, {{'d': d, 'o': o}}) AS f, sum(f) FILTER (WHERE d <= 4) AS i, sum(f) FILTER (WHERE d <= 6) AS u FROM k GROUP BY star_id)
        SELECT s.star_id, d * 21 AS nn_dist_arcsec, f / flux AS nn_flux_ratio, coalesce(i / flux, 0) AS contam_ratio_84arcsec, coalesce(u / flux, 0) AS contam_ratio_126arcsec FROM s LEFT JOIN g ON s.star_id = g.star_id""")
 def _(spark, d):
     k = F.col("c_custkey")

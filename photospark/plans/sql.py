@@ -6,6 +6,12 @@ CAST(0.5 AS DOUBLE) + CAST(0.01 AS DOUBLE) * (event_id % 50) AS flux_error, CASE
 PHOT_L = """SELECT l_partkey AS star_id, l_orderkey * 10 + l_linenumber AS row, CAST(year(l_shipdate) * 12 + month(l_shipdate) AS INTEGER) AS epoch,
 date_diff('day', TIMESTAMP '1995-01-01', l_shipdate) + l_linenumber / CAST(8.0 AS DOUBLE) AS btjd, l_extendedprice / CAST(1000.0 AS DOUBLE) AS flux,
 CAST(0.1 AS DOUBLE) + l_quantity / CAST(100.0 AS DOUBLE) AS flux_error, CASE l_returnflag WHEN 'N' THEN 0 WHEN 'A' THEN 1 ELSE 2 END AS quality FROM lineitem"""
+PHOT_C = """SELECT star_id, row, epoch, CAST(3208.0 AS DOUBLE) + epoch / CAST(12.0 AS DOUBLE) + floor(epoch / CAST(40.0 AS DOUBLE)) * CAST(0.5 AS DOUBLE) AS btjd,
+CASE WHEN row % 211 <> 5 THEN base * (CAST(1.0 AS DOUBLE) + (CAST(CASE WHEN epoch % 31 = 11 THEN 0.4 ELSE 0.02 END AS DOUBLE) * (part - 0.5) + CASE WHEN star_id % 9 = 4 THEN CAST(0.1 AS DOUBLE) * (epoch % 36 - 18) / CAST(18.0 AS DOUBLE) ELSE 0.0 END))
+ * CAST(CASE WHEN row % 499 = 3 THEN 1.5 WHEN row % 701 = 11 THEN 0.3 WHEN epoch % 29 = 7 THEN 1.2 ELSE 1.0 END AS DOUBLE) END AS flux,
+CASE WHEN row % 307 = 7 THEN 0.0 WHEN row % 401 = 9 THEN NULL WHEN star_id % 11 = 3 THEN base * CAST(0.5 AS DOUBLE) ELSE base * CAST(0.005 AS DOUBLE) END AS flux_error,
+CASE WHEN row % 37 = 0 THEN 1 WHEN row % 53 = 0 THEN 2 WHEN epoch % 43 = 13 AND star_id % 5 < 3 THEN 4 WHEN star_id % 10 = 6 AND event_type IN ('error', 'signup') THEN 1 WHEN star_id % 10 = 9 AND epoch % 4 < 3 THEN 1 ELSE 0 END AS quality
+FROM (SELECT event_id AS row, event_id % 50 AS star_id, CAST(event_id // 50 AS INTEGER) AS epoch, event_type, value - floor(value) AS part, CAST(100.0 AS DOUBLE) + 10 * (event_id % 50 % 7) AS base FROM events)"""
 SKY_A = """SELECT c_custkey AS star_id, 360.0 * (c_custkey * CAST(0.6180339887498949 AS DOUBLE) - floor(c_custkey * CAST(0.6180339887498949 AS DOUBLE))) AS ra,
 degrees(asin(2.0 * (c_custkey * CAST(0.7548776662466927 AS DOUBLE) - floor(c_custkey * CAST(0.7548776662466927 AS DOUBLE))) - 1.0)) AS dec FROM customer"""
 SKY_B = f"SELECT star_id, ra + CAST(0.0005 AS DOUBLE) * sin(star_id) AS ra, dec + CAST(0.0005 AS DOUBLE) * cos(star_id) AS dec FROM ({SKY_A}) WHERE star_id % 5 <> 0"
@@ -58,23 +64,24 @@ epochs AS (SELECT *, none OR scatter OR shifted OR low OR is_after_gap AS is_bad
 STARS = """sg AS (SELECT star_id, median(flux) AS m FROM p WHERE quality = 0 GROUP BY star_id),
 so AS (SELECT p.star_id, median(abs(flux - m)) AS robust_scatter_mad FROM p JOIN sg ON p.star_id = sg.star_id WHERE quality = 0 GROUP BY p.star_id),
 sb AS (SELECT star_id, count(*) AS n_total, CAST(count(*) FILTER (WHERE quality = 0) AS BIGINT) AS n_valid, median(flux) AS median_flux, avg(flux) AS mean_flux, stddev_samp(flux) AS std_flux, median(flux_error) AS median_error FROM p GROUP BY star_id),
-stars AS (SELECT sb.*, robust_scatter_mad, n_valid / CAST((SELECT count(DISTINCT epoch) FROM p) AS DOUBLE) AS completeness, median_flux / nullif(median_error, 0) AS snr FROM sb LEFT JOIN so ON sb.star_id = so.star_id),
-quiet AS (SELECT *, coalesce(completeness >= 0.9 AND robust_scatter_mad <= (SELECT quantile_cont(robust_scatter_mad, 0.3) FROM stars) AND median_flux > 0, false) AS is_quiet_star FROM stars)"""
+stars AS (SELECT sb.*, robust_scatter_mad, n_valid / CAST((SELECT count(DISTINCT epoch) FROM p) AS DOUBLE) AS completeness, median_flux / nullif(median_error, 0) AS snr,
+ CASE WHEN sb.star_id % 3 <> 0 THEN 'T' || sb.star_id END AS tic_id, sb.star_id * 397 % 2048 NOT BETWEEN 50 AND 1998 OR sb.star_id * 911 % 2048 NOT BETWEEN 50 AND 1998 AS is_edge_star FROM sb LEFT JOIN so ON sb.star_id = so.star_id),
+quiet AS (SELECT *, coalesce(completeness >= 0.9 AND robust_scatter_mad <= (SELECT quantile_cont(robust_scatter_mad, 0.3) FROM stars) AND NOT is_edge_star AND median_flux > 0, false) AS is_quiet_star FROM stars)"""
 COMMON = """chosen AS (SELECT star_id FROM quiet WHERE is_quiet_star OR NOT EXISTS (SELECT 1 FROM quiet WHERE is_quiet_star)),
 cr AS (SELECT p.epoch, flux / nullif(m, 0) AS relative FROM p JOIN chosen ON p.star_id = chosen.star_id JOIN sg ON p.star_id = sg.star_id WHERE quality = 0),
 cm AS (SELECT x.epoch, coalesce(median(relative), 1.0) AS cm FROM (SELECT DISTINCT epoch FROM p) x LEFT JOIN cr ON x.epoch = cr.epoch GROUP BY x.epoch)"""
-MASKS = """ma AS (SELECT p.*, epochs.is_bad, flux / nullif(cm, 0) AS flux_cm, quality <> 0 AS bad, flux_error <= 0 AS invalid FROM p JOIN epochs ON p.epoch = epochs.epoch JOIN cm ON p.epoch = cm.epoch),
+MASKS = """ma AS (SELECT p.*, epochs.is_bad, flux / nullif(cm, 0) AS flux_cm, quality <> 0 AS bad, (flux IS NULL OR flux_error IS NULL OR flux_error <= 0) AS invalid FROM p JOIN epochs ON p.epoch = epochs.epoch JOIN cm ON p.epoch = cm.epoch),
 mb AS (SELECT *, CASE WHEN NOT bad AND NOT invalid THEN flux_cm END AS ok FROM ma),
 mc AS (SELECT *, median(ok) OVER (PARTITION BY star_id) AS mid, count(ok) OVER (PARTITION BY star_id) AS n_ok FROM mb),
 md AS (SELECT *, median(abs(ok - mid)) OVER (PARTITION BY star_id) AS mad FROM mc),
 me AS (SELECT *, CASE WHEN n_ok >= 5 AND mad > 0 THEN (ok - mid) / (mad * 1.4826) END AS off, (SELECT min(btjd) FROM p) AS t0, (SELECT max(btjd) FROM p) AS t1 FROM md),
-mf AS (SELECT *, coalesce(off > 5, false) AS pos, coalesce(off < -10, false) AS neg, btjd < t0 + 0.5 OR btjd > t1 - 0.5 AS edge, btjd BETWEEN 3215.0 AND 3221.0 AS artifact, flux / flux_error < 3 AS low FROM me),
+mf AS (SELECT *, coalesce(off > 5, false) AS pos, coalesce(off < -10, false) AS neg, btjd < t0 + 0.5 OR btjd > t1 - 0.5 AS edge, btjd BETWEEN 3215.0 AND 3221.0 AS artifact, coalesce(CASE WHEN flux_error = 0 THEN flux < 0 ELSE flux / flux_error < 3 END, false) AS low FROM me),
 cleaned AS (SELECT *, CAST(CAST(bad AS INT) + 2 * CAST(invalid AS INT) + 4 * CAST(is_bad AS INT) + 8 * CAST(pos AS INT) + 16 * CAST(neg AS INT) + 32 * CAST(edge AS INT) + 64 * CAST(artifact AS INT) + 128 * CAST(low AS INT) AS INTEGER) AS mask_bits,
  concat_ws('|', CASE WHEN bad THEN 'quality' END, CASE WHEN invalid THEN 'invalid' END, CASE WHEN is_bad THEN 'bad_epoch' END, CASE WHEN pos THEN 'outlier_pos' END, CASE WHEN neg THEN 'outlier_neg' END,
  CASE WHEN edge THEN 'edge' END, CASE WHEN artifact THEN 'artifact:scattered_light' END, CASE WHEN low THEN 'low_snr' END) AS mask_reason FROM mf)"""
 
 
-def cleaned(rest: str, phot: str = PHOT_E) -> str:
+def cleaned(rest: str, phot: str = PHOT_C) -> str:
     return f"WITH p AS ({phot}), {EPOCHS}, {STARS}, {COMMON}, {MASKS} {rest}"
 
 

@@ -104,11 +104,11 @@ def _(spark, d):
     return s.select("star_id", F.size(F.filter("mask", lambda v: v)).cast("long").alias("n_real"), total.alias("total"))
 
 
-@query("stat_features", "star_id n_points mean* median* std* skewness* kurtosis* mad* iqr* p5* p10* p25* p75* p90* p95* range* amplitude* rms* cv* beyond_1std* beyond_2std* beyond_3std* weighted_mean* time_span* mean_abs_diff* max_abs_diff* autocorr*",
-       Q.with_p(""", g AS (SELECT *, avg(flux) OVER s AS m, median(flux) OVER s AS mid, stddev_pop(flux) OVER s AS sd, lag(flux) OVER (PARTITION BY star_id ORDER BY btjd, row) AS before FROM p WHERE quality = 0 WINDOW s AS (PARTITION BY star_id))
+@query("stat_features", "star_id n_points mean* median* std* skewness* kurtosis* mad* iqr* p5* p10* p25* p75* p90* p95* range* amplitude* rms* cv* beyond_1std* beyond_2std* beyond_3std* weighted_mean* weighted_std* time_span* mean_abs_diff* max_abs_diff* autocorr*",
+       Q.with_p(""", g AS (SELECT *, avg(flux) OVER s AS m, median(flux) OVER s AS mid, stddev_pop(flux) OVER s AS sd, lag(flux) OVER (PARTITION BY star_id ORDER BY btjd, row) AS before, sum(flux / (flux_error * flux_error)) OVER s / sum(1 / (flux_error * flux_error)) OVER s AS wm FROM p WHERE quality = 0 WINDOW s AS (PARTITION BY star_id))
        SELECT star_id, count(*) AS n_points, avg(flux) AS mean, median(flux) AS median, stddev_pop(flux) AS std, skewness(flux) * (count(*) - 2) / sqrt(count(*) * CAST(count(*) - 1 AS DOUBLE)) AS skewness, kurtosis_pop(flux) AS kurtosis, median(abs(flux - mid)) AS mad, quantile_cont(flux, 0.75) - quantile_cont(flux, 0.25) AS iqr, """
        + ", ".join(f"quantile_cont(flux, {x / 100}) AS p{x}" for x in (5, 10, 25, 75, 90, 95)) + ", " + ", ".join(f"avg(CAST(abs(flux - m) > {k} * sd AS INT)) AS beyond_{k}std" for k in (1, 2, 3))
-       + """, max(flux) - min(flux) AS range, (max(flux) - min(flux)) / median(flux) AS amplitude, sqrt(avg(flux * flux)) AS rms, stddev_pop(flux) / avg(flux) AS cv, sum(flux / (flux_error * flux_error)) / sum(1 / (flux_error * flux_error)) AS weighted_mean,
+       + """, max(flux) - min(flux) AS range, (max(flux) - min(flux)) / median(flux) AS amplitude, sqrt(avg(flux * flux)) AS rms, stddev_pop(flux) / avg(flux) AS cv, sum(flux / (flux_error * flux_error)) / sum(1 / (flux_error * flux_error)) AS weighted_mean, sqrt(sum((flux - wm) * (flux - wm) / (flux_error * flux_error)) / sum(1 / (flux_error * flux_error))) AS weighted_std,
        max(btjd) - min(btjd) AS time_span, avg(abs(flux - before)) AS mean_abs_diff, max(abs(flux - before)) AS max_abs_diff, corr(flux, before) AS autocorr FROM g GROUP BY star_id HAVING count(*) >= 3"""))
 def _(spark, d):
     return features.stat_features(E(spark, d))

@@ -20,6 +20,30 @@ def phot_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def phot_survey(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fifty stars at every epoch, from events by number: two hours apart with a gap after each 40, incomplete stars, shifted, noisy and lost epochs,
+    outliers on both sides, low signals, and rows with null, NaN and zero fluxes or errors. For quality control and cleaning."""
+    n, star, epoch = F.col("event_id"), F.col("star_id"), F.col("epoch")
+    rows = table(spark, sf_dir, "events").select("event_id", (n % 50).alias("star_id"), F.expr("event_id div 50").cast("int").alias("epoch"), "event_type", (F.col("value") - F.floor("value")).alias("part"))
+    base = F.lit(100.0) + 10 * (star % 7)
+    shape = F.when(epoch % 31 == 11, 0.4).otherwise(0.02) * (F.col("part") - 0.5) + F.when(star % 9 == 4, F.lit(0.1) * (epoch % 36 - 18) / F.lit(18.0)).otherwise(0.0)
+    lift = F.when(n % 499 == 3, 1.5).when(n % 701 == 11, 0.3).when(epoch % 29 == 7, 1.2).otherwise(1.0)
+    error = F.when(n % 307 == 7, 0.0).when(n % 401 == 9, float("nan")).when(star % 11 == 3, base * 0.5).otherwise(base * 0.005)
+    odd_type = F.col("event_type").isin("error", "signup")
+    quality = F.when(n % 37 == 0, 1).when(n % 53 == 0, 2).when((epoch % 43 == 13) & (star % 5 < 3), 4).when((star % 10 == 6) & odd_type, 1).when((star % 10 == 9) & (epoch % 4 < 3), 1).otherwise(0)
+    btjd = F.lit(3208.0) + epoch / F.lit(12.0) + F.floor(epoch / F.lit(40.0)) * F.lit(0.5)
+    return rows.select("star_id", n.alias("row"), "epoch", btjd.alias("btjd"), F.when(n % 211 != 5, base * (F.lit(1.0) + shape) * lift).alias("flux"), error.alias("flux_error"), quality.alias("quality"))
+
+
+def star_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalog of phot_survey's stars; some near the edge of the frame, some without tic_id."""
+    k = F.col("star_id")
+    stars = table(spark, sf_dir, "events").select((F.col("event_id") % 50).alias("star_id")).distinct()
+    return stars.select(
+        "star_id", F.when(k % 3 != 0, F.concat(F.lit("T"), k.cast("string"))).alias("tic_id"), (k * 7.0).alias("ra"), (k - 25.0).alias("dec"), (k * 397 % 2048).cast("double").alias("ref_x"), (k * 911 % 2048).cast("double").alias("ref_y")
+    )
+
+
 def phot_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly epochs from lineitem, 30 points a star."""
     day = F.datediff("l_shipdate", F.lit("1995-01-01").cast("date"))

@@ -68,9 +68,34 @@ def test_gap_of_exactly_three_hours(spark):
 def test_presets_are_nested(spark, sf):
     from photospark.sources import views
 
-    c = quality.clean(views.phot_events(spark, sf), 70)
+    c = quality.clean(views.phot_survey(spark, sf), 70, views.star_catalog(spark, sf)).cache()
     n = [quality.preset(c, p).count() for p in ("minimal", "balanced", "strict")]
-    assert n[0] >= n[1] >= n[2]
+    assert n[0] > n[1] > n[2] > 500
+    seen = {r.bit: r.n for r in quality.mask_summary(c).collect()}
+    assert all(0 < seen[b] < seen["total"] / 2 for b in ("quality", "invalid", "bad_epoch", "outlier_pos", "outlier_neg", "edge", "artifact", "low_snr"))
+    c.unpersist()
+
+
+def test_survey_has_both_kinds(spark, sf):
+    """Of every flag the survey view has rows with it and rows without, so that twins prove something."""
+    from photospark.sources import views
+
+    phot = views.phot_survey(spark, sf)
+    stars = quality.quiet_stars(quality.star_qc(phot, views.star_catalog(spark, sf))).collect()
+    for flag in ("is_edge_star", "is_quiet_star"):
+        assert {r[flag] for r in stars} == {True, False}
+    epochs = quality.epoch_qc(phot).collect()
+    assert 0 < sum(r.is_bad for r in epochs) < len(epochs) / 2
+    assert {x for r in epochs for x in r.reason.split("|")} >= {"high_scatter", "shifted_median", "low_valid", "after_momentum_dump"}
+
+
+def test_nearest_neighbour_at_any_distance(spark):
+    rows = [(1, 0.0, 0.0, 10.0), (2, 3.0, 4.0, 20.0), (3, 900.0, 0.0, 30.0), (4, 905.0, 50.0, 5.0), (5, 905.0, 50.0, 7.0), (6, -4000.0, 9.0, 1.0)]
+    got = {r.star_id: r for r in crossmatch.neighbours(spark.createDataFrame(rows, "star_id long, x double, y double, flux double")).collect()}
+    for i, x, y, f in rows:
+        d, _, flux = min((math.hypot(x - a, y - b), j, g) for j, a, b, g in rows if (a, b) != (x, y))
+        assert math.isclose(got[i].nn_dist_arcsec, 21 * d) and math.isclose(got[i].nn_flux_ratio, flux / f)
+    assert got[1].contam_ratio_126arcsec == 2.0 and got[3].contam_ratio_126arcsec == 0.0
 
 
 def test_empty_tables(spark):
