@@ -94,7 +94,7 @@ def brute_lm(rows, training):
 def test_lm(odd_docs, odd_texts, known):
     training = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 7 != 2
     column = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 7 != 2
-    got = sorted((tuple(r) for r in class_lm.class_scores(odd_docs, column, n_known=known, n_clustered=min(known, 100)).collect()), key=str)
+    got = sorted((tuple(r) for r in class_lm.class_scores(odd_docs, column, n_known=known, n_exact=min(known, 100)).collect()), key=str)
     want = sorted(brute_lm(odd_texts, training), key=str)
     for g, w in zip(sorted(got, key=lambda r: (str(r[0]), r[2])), sorted(want, key=lambda r: (str(r[0]), r[2])), strict=True):
         assert g[:5] == w[:5] and math.isclose(g[5], w[5], rel_tol=1e-9) and g[6] < 0
@@ -111,7 +111,7 @@ def test_classes_predict_held_out_text(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     r = class_lm.class_scores(docs, F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 != 2).where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
     assert r[0] > r[1]
-    table, m = class_lm.train(docs.where("doc_id % 7 <> 2").select("text"), n_clustered=50, n_classes=5, n_known=300)
+    table, m = class_lm.train(docs.where("doc_id % 7 <> 2").select("text"), n_exact=50, classes=(5, 5), n_known=300)
     rest = {bytes(x.word): x.c for x in table.collect() if bytes(x.word) not in m.counts}
     emitted = [0.0] * m.step.shape[0]
     for i in m.counts.values():
@@ -120,6 +120,35 @@ def test_classes_predict_held_out_text(spark, sf):
     assert all(abs(x - 1) < 1e-9 for x in emitted) and all(abs(x - 1) < 1e-9 for x in (10**m.step).sum(axis=1))
 
 
+def test_score_is_that_of_the_model(spark, sf):
+    """Word by word in plain Python: the class step, and the word's share of its class."""
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").orderBy("doc_id").limit(60).collect()]
+    docs, settings = spark.createDataFrame(rows, "doc_id long, text string"), {"n_exact": 30, "classes": (6, 6), "n_known": 400}
+    table, m = class_lm.train(docs.where("doc_id % 2 = 0").select("text"), **settings)
+    count = {bytes(r.word): r.c for r in table.collect()}
+    got = {r.doc_id: r for r in class_lm.class_scores(docs, F.col("doc_id") % 2 == 0, **settings).collect()}
+    for i, text in rows:
+        before, total = m.class_of[m.counts[class_lm.END]], 0.0
+        for w in [*class_lm.words(text), class_lm.END]:
+            n = m.counts.get(w)
+            c = m.class_of[-1] if n is None else m.class_of[n]
+            total += m.step[before, c] + (math.log10((count.get(w, 0) + 1) / m.rest) if n is None else m.emission[n])
+            before = c
+        assert math.isclose(got[i].score, total, rel_tol=1e-9) and math.isclose(got[i].perplexity, 10 ** (-total / got[i].n_tokens), rel_tol=1e-9)
+
+
+def test_sweeps_give_every_known_word_a_class(spark):
+    """Words that follow each other in a cycle of three hidden classes: those moved in sweeps join the classes that exact exchange has found."""
+    import random
+
+    r = random.Random(1)
+    words = [[f"w{k}x{i}" for i in range(40)] for k in range(3)]
+    texts = [" ".join(words[(s + j) % 3][min(int(r.expovariate(0.12)), 39)] for j in range(300)) for s in range(60)]
+    _, m = class_lm.train(spark.createDataFrame([(t,) for t in texts], "text string"), n_exact=30, classes=(3, 3))
+    placed = [{m.class_of[m.counts[w.encode()]] for w in k if w.encode() in m.counts} for k in words]
+    assert all(len(p) == 1 for p in placed) and len(set.union(*placed)) == 3
+
+
 def test_exchange_finds_planted_classes():
     import numpy as np
 
