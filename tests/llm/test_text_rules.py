@@ -30,6 +30,22 @@ def test_quality(odd_docs, odd_texts, no_docs):
     assert quality_rules.quality_verdicts(no_docs).count() == 0 and quality_rules.keep_quality(no_docs).count() == 0
 
 
+def test_a_text_of_many_words(spark):
+    """Windows of a text with a million different words are all different, but for a planted one; equal hashes alone don't make a repeat."""
+    n = 1_000_000
+    text = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.concat(F.lit("w"), F.hex(i))), " ")
+    docs = spark.range(2).select(F.col("id").alias("doc_id"), F.when(F.col("id") == 0, text).otherwise(F.concat(text, F.lit(" w5 w6 w7 end w5 w6 w7"))).alias("text"))
+    got = {r.doc_id: (r.n_words, r.n_repeat_words) for r in quality_rules.quality_verdicts(docs).collect()}
+    assert got == {0: (n, 0), 1: (n + 7, 9)}
+
+
+def test_rules_of_lines_and_letters(spark):
+    words = " ".join(f"word{i}" for i in range(60))
+    rows = [(1, "\n".join(f"- {words[i * 8:i * 8 + 60]}" for i in range(8))), (2, "\n".join(f"{words[i * 8:i * 8 + 60]}..." for i in range(8))), (3, " ".join(str(10**6 + i) for i in range(80))), (4, words)]
+    got = {r.doc_id: r.kept for r in quality_rules.quality_verdicts(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: False, 2: False, 3: False, 4: True}
+
+
 def test_filter_keeps_what_verdicts_keep(odd_docs):
     kept = quality_rules.keep_quality(odd_docs)
     assert kept.columns == odd_docs.columns
