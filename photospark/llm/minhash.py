@@ -56,12 +56,10 @@ def _sign(batches: Iterator[pa.RecordBatch], k: int, m: int) -> Iterator[pa.Reco
     for batch in batches:
         n, rows = [], []
         for _, texts in portions(batch.column(3).to_pylist()):
-            for i in range(0, len(texts), 60_000):
-                some = texts[i : i + 60_000]
-                words, first = word_hashes(some)
-                elements, text, weight = weighted(*windows(words, first, k))
-                n.append(np.bincount(text, minlength=len(some)))
-                rows.append(signatures(elements, text, weight, len(some), m))
+            words, first = word_hashes(texts)
+            elements, text, weight = weighted(*windows(words, first, k))
+            n.append(np.bincount(text, minlength=len(texts)))
+            rows.append(signatures(elements, text, weight, len(texts), m))
         sig = np.concatenate([np.zeros((0, m), np.uint32), *rows]).astype(np.int32)
         values = pa.ListArray.from_arrays(pa.array(np.arange(sig.shape[0] + 1) * m, pa.int32()), pa.array(sig.reshape(-1)))
         yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(np.concatenate([np.zeros(0, np.int64), *n]), pa.int64()), values], ["key", "h1", "h2", "n", "sig"])
@@ -86,69 +84,63 @@ def _verify(batches: Iterator[pa.RecordBatch], k: int, least: float) -> Iterator
         yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(keep)), batch.column(1).take(pa.array(keep)), pa.array(np.array(found)[keep], pa.float64())], ["a", "b", "similarity"])
 
 
-def _shared_counts(sets: list[np.ndarray], columns: int = 20_000) -> np.ndarray:
-    """Sizes of all pairwise intersections of sorted arrays of distinct elements, by products of incidence matrices, ``columns`` elements at a time; elements of
-    one set alone are left out."""
-    flat, of = np.concatenate(sets), np.repeat(np.arange(len(sets)), [s.size for s in sets])
-    kinds, at, n = np.unique(flat, return_inverse=True, return_counts=True)
+def _shared_weight(sets: list[tuple[np.ndarray, np.ndarray]], columns: int = 20_000) -> np.ndarray:
+    """[x, y]: the share of x's weight on elements that y has too, for weighted sets (sorted distinct elements, weights), by products of incidence
+    matrices, ``columns`` elements at a time; elements of one set alone are left out."""
+    flat, of = np.concatenate([e for e, _ in sets]), np.repeat(np.arange(len(sets)), [e.size for e, _ in sets])
+    share = np.concatenate([w / max(1, w.sum()) for _, w in sets])
+    _, at, n = np.unique(flat, return_inverse=True, return_counts=True)
     often = n > 1
     number = np.cumsum(often) - 1
     keep = often[at]
-    at, of = number[at[keep]], of[keep]
+    at, of, share = number[at[keep]], of[keep], share[keep]
     order = np.argsort(at, kind="stable")
-    at, of = at[order], of[order]
+    at, of, share = at[order], of[order], share[order]
     out = np.zeros((len(sets), len(sets)), np.float32)
     for first in range(0, int(often.sum()), columns):
         a, b = np.searchsorted(at, [first, first + columns])
-        m = np.zeros((len(sets), columns), np.float32)
-        m[of[a:b], at[a:b] - first] = 1
-        out += m @ m.T
-    return np.rint(out).astype(np.int64)
+        held, has = np.zeros((len(sets), columns), np.float32), np.zeros((len(sets), columns), np.float32)
+        held[of[a:b], at[a:b] - first] = share[a:b]
+        has[of[a:b], at[a:b] - first] = 1
+        out += held @ has.T
+    return out
 
 
 def _block(table: pa.Table, k: int, least: float) -> pa.Table:
-    """Verified links (a, b, similarity) between different parts inside one pair of blocks, enough to connect what the block connects. Likely pairs come
-    first, and pairs that are connected by then are passed over."""
+    """Verified links (a, b, similarity) between different parts inside one pair of blocks, enough to connect what the block connects.
+
+    An element d gives a similarity at most the smaller of its shares of the two texts' weights, so a pair whose common elements hold less than
+    ``least`` of either text's weight can't be similar enough; all others are verified, likely ones first, but for pairs that are connected by then."""
     t = table.combine_chunks()
-    cid, part, side, one = t["cid"].to_pylist(), np.asarray(t["part"]), np.asarray(t["side"]), t["i"][0].as_py() == t["j"][0].as_py()
-    sig = np.asarray(t["sig"].chunk(0).flatten()).reshape(len(cid), -1)
-    text = t["text"].to_pylist()
+    cid, part, side, one = t["cid"].to_pylist(), np.asarray(t["part"]), np.asarray(t["side"]), t["kind"][0].as_py() == 0 and t["i"][0].as_py() == t["j"][0].as_py()
+    sets = []
+    for x in t["text"]:
+        elements, _, weight = weighted(*windows(*word_hashes([x.as_py()]), k))
+        sets.append((elements, weight))
     left = np.arange(len(cid)) if one else np.flatnonzero(side == 0)
     right = left if one else np.flatnonzero(side == 1)
-    found = []
-    for x in left.tolist():
-        others = right[(part[right] != part[x]) & ((right > x) if one else True)]
-        alike = (sig[others] == sig[x]).sum(axis=1)
-        near = alike >= 0.64 * REGISTERS
-        found += [(-n, x, y) for n, y in zip(alike[near].tolist(), others[near].tolist(), strict=True)]
-    root = {p: p for p in part.tolist()}
-
-    def top(p: int) -> int:
-        while root[p] != p:
-            root[p] = root[root[p]]
-            p = root[p]
-        return p
-
     out: list[tuple] = []
-    if found:
-        used = sorted({i for f in found for i in f[1:]})
-        place = {i: n for n, i in enumerate(used)}
-        sets = []
-        for i in used:
-            elements, _, weight = weighted(*windows(*word_hashes([text[i]]), k))
-            sets.append((elements, weight))
-        shared = _shared_counts([e for e, _ in sets])
-        plain = [bool((w == w[0]).all()) for _, w in sets]  # with equal weights it is the plain Jaccard similarity
-        for _, x, y in sorted(found):
+    if left.size and right.size:
+        share = _shared_weight(sets)
+        bound = np.minimum(share, share.T)[np.ix_(left, right)]
+        bound[part[left][:, None] == part[right][None, :]] = 0
+        if one:
+            bound[np.tril_indices(left.size)] = 0
+        x_of, y_of = np.nonzero(bound >= least - 0.001)
+        root = {p: p for p in part.tolist()}
+
+        def top(p: int) -> int:
+            while root[p] != p:
+                root[p] = root[root[p]]
+                p = root[p]
+            return p
+
+        for i in np.argsort(-bound[x_of, y_of], kind="stable").tolist():
+            x, y = int(left[x_of[i]]), int(right[y_of[i]])
             p, q = top(int(part[x])), top(int(part[y]))
-            if p == q:
-                continue
-            u, v = place[x], place[y]
-            both = shared[u, v]
-            j = both / (sets[u][0].size + sets[v][0].size - both) if plain[u] and plain[v] else probability_jaccard(sets[u], sets[v])
-            if j >= least:
+            if p != q and (j := probability_jaccard(sets[x], sets[y])) >= least:
                 root[p] = q
-                out.append((cid[x], cid[y], float(j)))
+                out.append((cid[x], cid[y], j))
     return pa.table({n: pa.array([o[i] for o in out], kind) for i, (n, kind) in enumerate((("a", pa.int64()), ("b", pa.int64()), ("similarity", pa.float64())))})
 
 
@@ -165,9 +157,9 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", k: in
     1. A signature per text; texts that are equal count once. 2. Bands of 4 registers: a pair of probability Jaccard 0.8 shares none of the 32 with
     probability 5e-8. 3. In each bucket every text is verified, on whole texts, against the first and against one that the bucket's hash picks: linear in
     the bucket, however hot, and as buckets pick different ones, nearly all links of a hot group are found. 4. Texts of buckets that still hold several
-    components meet, by the largest component of the bucket, in blocks of ``block_texts``: tasks compare signatures block by block and verify the
-    pairs that aren't yet connected, so that no list of pairs is ever made. Pairs whose signatures agree in less than 0.64 of the registers (4.5
-    standard deviations under 0.8) aren't verified there."""
+    components meet, by the largest component of the bucket, in blocks of ``block_texts``: those outside the largest component against it and
+    each other, so that a few stragglers of a hot group cost a pass over it. Tasks bound and verify the pairs that aren't yet connected, so that no
+    list of pairs is ever made."""
     keyed = _keyed(docs, key, text)
     signed = keyed.select("key", "h1", "h2", "text").mapInArrow(partial(_sign, k=k, m=REGISTERS), "key long, h1 long, h2 long, n long, sig array<int>")
     classes = stage(signed.groupBy("h1", "h2").agg(F.min("key").alias("key"), F.first("n").alias("n"), F.first("sig").alias("sig")).withColumn("cid", F.monotonically_increasing_id()), "classes")
@@ -199,16 +191,25 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", k: in
     # Texts of buckets with several components, under the largest component there: texts that share a bucket share that.
     opened = stage(here.join(sizes, "bucket").select("cid", "part", F.col("main.part").alias("group")).distinct(), "open")
     if not opened.isEmpty():
-        texts = fetch(opened.select("cid").distinct()).join(classes.select("cid", "sig"), "cid")
-        rest = stage(opened.join(texts, "cid"), "rest")
-        blocks = rest.groupBy("group").agg(F.ceil(F.count("*") / F.lit(block_texts)).cast("int").alias("blocks"))
-        dealt = rest.join(blocks, "group").withColumn("own", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        dealt = dealt.select("group", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"), "cid", "part", "sig", "text")
+        rest = stage(opened.join(fetch(opened.select("cid").distinct()), "cid").withColumn("out", F.col("part") != F.col("group")), "rest")
+        n_blocks = lambda c: F.ceil(F.count_if(c) / F.lit(block_texts)).cast("int")
+        blocks = rest.groupBy("group").agg(n_blocks(F.col("out")).alias("n_out"), n_blocks(~F.col("out")).alias("n_main"))
+        mine = F.when(F.col("out"), F.col("n_out")).otherwise(F.col("n_main"))
+        dealt = rest.join(blocks, "group").withColumn("own", F.pmod(F.xxhash64("cid"), mine).cast("int"))
+        # Texts outside the group's largest part meet that (kind 1) and each other (kind 0); the largest part's own pairs are connected already.
+        row = lambda kind, i, j, side: F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"), side.alias("side"))
+        each = lambda n, f: F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), f)).otherwise(F.array())
+        own = F.col("own")
+        meets = F.when(
+            F.col("out"),
+            F.concat(each(F.col("n_main"), lambda o: row(1, own, o, F.lit(0))), each(F.col("n_out"), lambda o: row(0, F.least(own, o), F.greatest(own, o), (own > o).cast("int")))),
+        ).otherwise(each(F.col("n_out"), lambda o: row(1, o, own, F.lit(1))))
+        dealt = dealt.select("group", F.explode(meets).alias("at"), "cid", "part", "text").select("group", "at.*", "cid", "part", "text")
 
         def block(table: pa.Table) -> pa.Table:
             return _block(table, k, least)
 
-        links = links.union(stage(dealt.repartition("group", "i", "j").groupBy("group", "i", "j").applyInArrow(block, "a long, b long, similarity double"), "links"))
+        links = links.union(stage(dealt.groupBy("group", "kind", "i", "j").applyInArrow(block, "a long, b long, similarity double"), "links"))
         parts = stage(connected_components(links), "components")
     found = classes.join(parts.withColumnRenamed("id", "cid"), "cid", "left").select("h1", "h2", "cid", "key", F.coalesce("component", "cid").alias("component"))
     keys = found.groupBy("component").agg(F.min("key").alias("component_key"))

@@ -43,6 +43,10 @@ def windows(words: np.ndarray, first: np.ndarray, k: int, short: bool = True) ->
 
 
 def weighted(h: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct shingles of each text as 48-bit elements, sorted, with their text and count. At most 65536 texts at once."""
-    keys, counts = np.unique(text.astype(np.uint64) << np.uint64(48) | h >> np.uint64(16), return_counts=True)
-    return keys & np.uint64((1 << 48) - 1), (keys >> np.uint64(48)).astype(np.int64), counts
+    """The distinct shingles of each text, sorted, with their text and count."""
+    if not h.size:
+        return h, text, np.zeros(0, np.int64)
+    order = np.lexsort((h, text))
+    h, text = h[order], text[order]
+    first = np.flatnonzero(np.append(True, (h[1:] != h[:-1]) | (text[1:] != text[:-1])))
+    return h[first], text[first], np.diff(np.append(first, h.size))
