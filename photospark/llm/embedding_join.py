@@ -130,7 +130,7 @@ def embedding_links(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
     A vector that is null, empty, zero or holds a null or non-finite component links with nothing; vectors of different lengths don't link. Equal
     vectors are one point of the join that counts as many (so thousands of copies cost one). Repeated keys and rows each give their row and
     count each; a null key counts as a link but has no say in component_id, and isn't kept. Other columns are not read.
-    To the driver come pivots (at most ``most_pivots``, from a bounded sample that decides cost, not links) and a count per cell."""
+    To the driver come pivots (8 to ``most_pivots``, one for ``block_rows`` points, from a bounded sample that decides cost, not links) and a count per cell."""
     spark, r = vectors.sparkSession, math.acos(least)
     rows = vectors.select(F.col(key).cast("long").alias("key"), F.col(vector).cast("array<double>").alias("vector"))
     sound = (F.size("vector") > 0) & ~F.exists("vector", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists("vector", lambda x: x != 0)
@@ -145,7 +145,7 @@ def embedding_links(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
         own = np.array([s["vector"] for s in sample if len(s["vector"]) == x["d"]]).reshape(-1, x["d"])
         own = own / np.abs(own).max(axis=1, keepdims=True)
         own = own / np.linalg.norm(own, axis=1, keepdims=True)
-        pivots[x["d"]] = choose_pivots(own, min(most_pivots, max(1, x["count"] // block_rows)), r) if len(own) else np.eye(1, x["d"])
+        pivots[x["d"]] = choose_pivots(own, min(most_pivots, max(8, x["count"] // block_rows)), r) if len(own) else np.eye(1, x["d"])
     flat = points.select("cid", "vector", "w")
     survey = "size int, cell int, n long, copies long, angle double"
     first = flat.mapInArrow(partial(_survey, pivots=pivots, reach=None, r=r), survey).groupBy("size", "cell").agg(F.max("angle").alias("angle")).collect()

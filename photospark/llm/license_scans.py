@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -9,7 +11,7 @@ from pyspark.sql.window import Window
 #: Phrases and their labels.
 PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
 
-#: Notices (at most 62 words each) and the labels they add.
+#: Notices and the labels they add.
 TEMPLATES = (
     ("gpl-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("gpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation"),
@@ -19,10 +21,15 @@ TEMPLATES = (
     ("cc-by-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
     ("mit", "Released under the MIT License."),
     ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software"),
+    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
     ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
+    ("bsd-3-clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
+    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("apache-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."),
     ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 )
-LONGEST = 62
+#: Bits of a long that hold places of a notice; the k - 1 bits above them take what shifts out.
+BITS = 48
 
 
 def _words_text(text: Column) -> Column:
@@ -62,8 +69,8 @@ def license_scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPL
     A null text is empty: no words, no places, null first_word and last_word, empty labels, score 0. Null and repeated keys keep their rows;
     other columns are not read. One scan: a text sends its hits and one row of its own to the votes, and nothing else is shuffled."""
     spark = docs.sparkSession
-    if any(len(t.split()) > LONGEST for _, t in templates):
-        raise ValueError(f"a notice may have {LONGEST} words")
+    longest = max((len(re.findall(r"[0-9A-Za-z\x80-\U0010FFFF]+", t)) for _, t in templates), default=1)
+    masks = [f"mask{i}" for i in range(max(1, -(-longest // BITS)))]
     known = spark.createDataFrame([(i, label, t) for i, (label, t) in enumerate(templates)], "template int, label string, text string")
     known = known.withColumn("words", F.split(_words_text(F.col("text")), " ")).select("template", "label", F.size("words").alias("size"), F.posexplode(_grams(F.col("words"), k)).alias("at", "gram"))
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("norm", _words_text(F.col("text")))
@@ -75,14 +82,17 @@ def license_scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPL
     rows = rows.select("row", "own", F.posexplode(F.concat(F.array(F.lit(None).cast("bigint")), _grams(F.col("words"), k))).alias("place", "gram"))
     hits = rows.join(F.broadcast(known), "gram", "left").where("template is not null or place = 0").select("row", F.when(F.col("place") == 0, F.col("own")).alias("own"), "template", "label", "size", "at", (F.col("place") - 1).alias("place"))
     votes = hits.groupBy("row", "template", (F.col("place") - F.col("at")).alias("diagonal")).agg(
-        F.max("own").alias("own"), F.max("label").alias("label"), F.max("size").alias("size"), F.min("place").alias("start"), F.max("place").alias("end"), F.bit_or(F.expr("shiftleft(1L, at)")).alias("mask")
+        F.max("own").alias("own"), F.max("label").alias("label"), F.max("size").alias("size"), F.min("place").alias("start"), F.max("place").alias("end"), *[F.bit_or(F.when(F.expr(f"at div {BITS}") == i, F.expr(f"shiftleft(1L, at % {BITS})")).otherwise(F.lit(0).cast("bigint"))).alias(m) for i, m in enumerate(masks)],
     )
     along = Window.partitionBy("row", "template").orderBy("diagonal")
     votes = votes.withColumn("new", F.coalesce((F.col("diagonal") - F.lag("diagonal").over(along) > slack).cast("int"), F.lit(1))).withColumn("span", F.sum("new").over(along))
     spans = votes.groupBy("row", "template", "span").agg(
-        F.max("own").alias("own"), F.max("label").alias("label"), F.max("size").alias("size"), F.bit_or("mask").alias("mask"), (F.max("end") + k - F.min("start")).alias("length"), F.count("*").alias("diagonals")
+        F.max("own").alias("own"), F.max("label").alias("label"), F.max("size").alias("size"), *[F.bit_or(m).alias(m) for m in masks], (F.max("end") + k - F.min("start")).alias("length"), F.count("*").alias("diagonals")
     )
-    held = F.bit_count(F.expr(" | ".join(f"shiftleft(mask, {j})" for j in range(k)))) / F.col("size")
+    # A hit covers k words: its bit and the next k - 1, which may reach into the next long.
+    low, over = f"(shiftleft(1L, {BITS}) - 1)", lambda m: "(" + " | ".join(f"shiftleft({m}, {j})" for j in range(k)) + ")"
+    words = [F.bit_count(F.expr(f"({over(m)} & {low})" + (f" | shiftright({over(masks[i - 1])}, {BITS})" if i else ""))) for i, m in enumerate(masks)]
+    held = sum(words[1:], words[0]) / F.col("size")
     spans = spans.withColumn("share", F.when((held >= coverage) & (F.col("length") <= F.col("size") + slack * F.col("diagonals")), held))
     out = spans.groupBy("row").agg(F.max("own").alias("own"), F.collect_set(F.when(F.col("share").isNotNull(), F.col("label"))).alias("more"), F.max("share").alias("share"))
     return out.select(

@@ -43,8 +43,9 @@ def op6_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every page's record as it is read back through the index."""
-    return warc.write_captures(_table(spark, sf_dir, "pages")).records(payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    """Every page's record, looked up by its URL through both levels of the index."""
+    pages = _table(spark, sf_dir, "pages")
+    return warc.write_captures(pages).lookup(pages, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op8_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:

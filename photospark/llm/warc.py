@@ -11,40 +11,51 @@ import bisect
 import gzip
 import hashlib
 import json
-import re
 import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
+from urllib.parse import quote
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from photospark.llm.common import new_path
 
 DIRECTORY = "first_key string, last_key string, n long, index string, at long, size long"
+#: Characters that URIs hold as they are, beside letters and digits.
+SAFE = "%:/?#[]@!$&'()*+,;=-._~"
 RECORD = "page_id long, url string, record_type string, payload binary, payload_bytes long, payload_digest string, refers_to long"
 
 
-def url_key(url: str | None) -> str:
+_URL = r"^(?:[a-z][a-z0-9+.-]*://)?(?:[^/?#@]*@)?([^/?#:]*)(?::(\d+))?([^#]*)"
+
+
+def url_key(url: Column) -> Column:
     """Host labels reversed and joined by commas, then ``)``, path and query; lower-case, without scheme, ``www.``, port 80 or 443, or fragment.
     A null URL has the key of an empty one."""
-    m = re.match(r"(?:[a-z][a-z0-9+.-]*://)?(?:[^/?#@]*@)?([^/?#:]*)(?::(\d+))?([^#]*)", (url or "").strip().lower())
-    host, port, rest = m[1].removeprefix("www."), m[2], m[3]
-    return ",".join(reversed(host.split("."))) + (f":{port}" if port and port not in ("80", "443") else "") + ")" + (rest if rest.startswith("/") else f"/{rest}")
+    u = F.lower(F.regexp_replace(F.coalesce(url, F.lit("")), r"^\s+|\s+$", ""))
+    host, port, rest = F.regexp_replace(F.regexp_extract(u, _URL, 1), r"^www\.", ""), F.regexp_extract(u, _URL, 2), F.regexp_extract(u, _URL, 3)
+    return F.concat(
+        F.array_join(F.reverse(F.split(host, r"\.")), ","), F.when(port.isin("", "80", "443"), "").otherwise(F.concat(F.lit(":"), port)), F.lit(")"), F.when(rest.startswith("/"), rest).otherwise(F.concat(F.lit("/"), rest))
+    )
+
+
+def record_id(kind: str, page_id: int | None, n: int = 0) -> str:
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{kind} {page_id} {n}')}>"
 
 
-def _record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None, revisit: bool) -> bytes:
-    """One record; header values are percent-safe ASCII or JSON. A revisit has no payload but names the capture it repeats."""
+def _record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None, revisit: bool, n: int = 0) -> bytes:
+    """One record. The target is the URL with what no URI may hold as %XX; X-Page has page_id, refers_to, URL and payload size as they are. A revisit has
+    no payload but names the response that it repeats. n counts rows that repeat page_id, so that every record has an id of its own."""
     head = [
-        "WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: <urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id} {url}')}>", "WARC-Date: 2024-01-01T00:00:00Z",
-        f"WARC-Target-URI: {json.dumps(url)}", f"WARC-Payload-Digest: sha1:{digest}", f"X-Page: {json.dumps([page_id, refers_to])}", f"X-Payload-Length: {len(payload)}",
+        "WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: {record_id('revisit' if revisit else 'response', page_id, n)}", "WARC-Date: 2024-01-01T00:00:00Z",
+        f"WARC-Target-URI: {quote(url or '', safe=SAFE)}", f"WARC-Payload-Digest: sha1:{digest}", f"X-Page: {json.dumps([page_id, refers_to, url, len(payload)])}",
     ]
     if revisit:
-        head.append("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")
+        head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: {record_id('response', refers_to)}"]
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
     block = http if revisit else http + payload
     head += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
@@ -60,13 +71,13 @@ def parse_record(data: bytes) -> dict:
     block, tail = rest[:n], rest[n:]
     if not lines[0].startswith("WARC/") or len(block) != n or tail != b"\r\n\r\n":
         raise ValueError("broken record")
-    digest, size, (page_id, refers_to) = field["WARC-Payload-Digest"].removeprefix("sha1:"), int(field["X-Payload-Length"]), json.loads(field["X-Page"])
+    digest, (page_id, refers_to, url, size) = field["WARC-Payload-Digest"].removeprefix("sha1:"), json.loads(field["X-Page"])
     payload = None
     if field["WARC-Type"] == "response":
         payload = block.partition(b"\r\n\r\n")[2]
         if len(payload) != size or sha1_base32(payload) != digest:
             raise ValueError("a payload doesn't fit its digest")
-    return {"page_id": page_id, "url": json.loads(field["WARC-Target-URI"]), "record_type": field["WARC-Type"], "payload": payload, "payload_bytes": size, "payload_digest": digest, "refers_to": refers_to}
+    return {"page_id": page_id, "url": url, "record_type": field["WARC-Type"], "payload": payload, "payload_bytes": size, "payload_digest": digest, "refers_to": refers_to}
 
 
 def sha1_base32(data: bytes) -> str:
@@ -85,7 +96,7 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, block_lines: int) ->
     mark (0) says that the page that follows is a revisit if its payload has this SHA-1. Each attempt has file names of its own, and only rows of
     attempts that succeed reach the directory."""
     name, out, index, lines, rows, at, index_at = uuid.uuid4().hex, None, None, [], [], 0, 0
-    marked, marks = None, {}
+    marked, marks, repeats = None, {}, 0
     files, place = _open(folder)
 
     def close_block() -> None:
@@ -100,7 +111,7 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, block_lines: int) ->
         for i in range(batch.num_rows):
             key, page_id, mark, url, html, sha, refers_to = (c[i].as_py() for c in batch.columns)
             if marked != (key, page_id):
-                marked, marks = (key, page_id), {}
+                marked, marks, repeats = (key, page_id), {}, 0
             if mark == 0:
                 marks[sha] = refers_to
                 continue
@@ -110,7 +121,8 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, block_lines: int) ->
             payload = (html or "").encode()
             digest = hashlib.sha1(payload)
             refers_to = marks.get(digest.hexdigest())
-            member = gzip.compress(_record(page_id, url, payload, base64.b32encode(digest.digest()).decode(), refers_to, refers_to is not None), 3)
+            member = gzip.compress(_record(page_id, url, payload, base64.b32encode(digest.digest()).decode(), refers_to, refers_to is not None, repeats), 3)
+            repeats += 1
             out.write(member)
             lines.append([key, page_id, f"{name}.warc.gz", at, len(member)])
             at += len(member)
@@ -167,7 +179,7 @@ def _read(batches: Iterator[pa.RecordBatch], folder: str, payloads: bool) -> Ite
             yield _to_arrow(held)
 
 
-def _find(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordBatch]:
+def _find(batches: Iterator[pa.RecordBatch], folder: str, payloads: bool) -> Iterator[pa.RecordBatch]:
     """Rows (key, index, at, size, first_key), those of a block together: its lines for the keys, by binary search, and their records."""
     block, keys = None, []
 
@@ -177,7 +189,13 @@ def _find(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordB
         lines = _lines(dict(zip(("index", "at", "size"), block, strict=True)))
         order = [x[0] for x in lines]
         named = [x for k in sorted({*keys}) for x in lines[bisect.bisect_left(order, k) : bisect.bisect_right(order, k)]]
-        yield _to_arrow([*_records(folder, named)])
+        held = []
+        for r in _records(folder, named):
+            held.append(r if payloads else r | {"payload": None})
+            if len(held) == 256:
+                yield _to_arrow(held)
+                held = []
+        yield _to_arrow(held)
 
     for batch in batches:
         for row in batch.to_pylist():
@@ -235,39 +253,38 @@ class Captures:
         n = max(1, min(10_000, blocks.count()))
         return blocks.repartition(n, "index", "at").mapInArrow(partial(_read, folder=self.folder, payloads=payloads), RECORD)
 
-    def lookup(self, urls: DataFrame, url: str = "url") -> DataFrame:
-        """The records of the URLs in a column (distinct keys; a null URL asks for the empty one, URLs that nobody captured give none).
+    def lookup(self, urls: DataFrame, url: str = "url", payloads: bool = True) -> DataFrame:
+        """The records of the URLs in a column (distinct keys; a null URL asks for the empty one, URLs that nobody captured give none); payloads as records().
 
         A key finds its archives by binary search among their key ranges (a row per archive, held by every task: archives number far fewer than
         captures), meets their directory rows in one sorted pass per archive, and each block that may hold a key is read once."""
-        to_key = F.udf(url_key, T.StringType(), useArrow=True)
-        keys = urls.select(to_key(F.col(url)).alias("key")).distinct()
+        keys = urls.select(url_key(F.col(url)).alias("key")).distinct()
         blocks = self.directory
         ranges = sorted((r["a"], r["b"], r["index"]) for r in blocks.groupBy("index").agg(F.min("first_key").alias("a"), F.max("last_key").alias("b")).collect())
         asked = keys.mapInArrow(partial(_archives, ranges=ranges), "index string, key string").select("index", "key", F.lit(None).cast("string").alias("last_key"), F.lit(None).cast("long").alias("at"), F.lit(None).cast("long").alias("size"))
         merged = blocks.select("index", F.col("first_key").alias("key"), "last_key", "at", "size").union(asked)
         found = merged.repartition("index").sortWithinPartitions("index", "key", F.col("at").isNull(), "at").mapInArrow(_blocks, "index string, at long, size long, key string")
-        return found.repartition("index", "at").sortWithinPartitions("index", "at").mapInArrow(partial(_find, folder=self.folder), RECORD)
+        return found.repartition("index", "at").sortWithinPartitions("index", "at").mapInArrow(partial(_find, folder=self.folder, payloads=payloads), RECORD)
 
 
-def write_captures(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", least_bytes: int = 0, block_lines: int = 300) -> Captures:
+def write_captures(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", least_bytes: int = 0, block_lines: int = 300, archive_bytes: int = 1 << 30) -> Captures:
     """Write a record per row of ``pages``: of rows with equal payloads of at least ``least_bytes`` bytes, the one with the smallest id is a response
     and the others revisit it.
 
     A null html is an empty payload and a null url an empty key. Rows without an id revisit the smallest id there is, and are responses where
     none of their group has one; rows that repeat id and payload of a response are responses too. Other columns are not read.
     Equal payloads are known by SHA-1 and length; counts are combined before the shuffle. Payloads are shuffled once, into the order of their keys;
-    revisits are marked by small rows that sort before their pages."""
+    revisits are marked by small rows that sort before their pages. An archive holds about ``archive_bytes`` of payload, or less."""
     spark = pages.sparkSession
     folder = new_path(spark, "warc")
-    to_key = F.udf(url_key, T.StringType(), useArrow=True)
     rows = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html"))
     payload = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
     known = rows.select("page_id", "url", F.sha1(payload).alias("sha"), F.octet_length(payload).alias("size")).where(F.col("size") >= least_bytes)
     groups = known.groupBy("sha", "size").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1 and first is not null")
     marks = known.join(groups, ["sha", "size"]).where(~F.col("page_id").eqNullSafe(F.col("first"))).select("page_id", F.lit(0).alias("mark"), "url", F.lit(None).cast("string").alias("html"), "sha", F.col("first").alias("refers_to"))
     both = marks.union(rows.select("page_id", F.lit(1), "url", "html", F.lit(None).cast("string"), F.lit(None).cast("long")))
-    both = both.select(to_key("url").alias("key"), *both.columns)
-    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    both = both.select(url_key(F.col("url")).alias("key"), *both.columns)
+    total = rows.agg(F.sum(F.octet_length("html"))).first()[0] or 0
+    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")), total // archive_bytes)
     both.repartitionByRange(parts, "key", "page_id").sortWithinPartitions("key", "page_id", "mark").mapInArrow(partial(_write, folder=folder, block_lines=block_lines), DIRECTORY).write.parquet(f"{folder}/directory")
     return Captures(spark, folder)

@@ -1,6 +1,7 @@
 """Operators 5, 8 and 9 against brute force."""
 
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -93,6 +94,21 @@ def test_licenses(spark, odd_docs, odd_texts, no_docs):
     assert license_scans.license_scan(no_docs).count() == 0
 
 
+def test_long_notices_word_by_word(spark):
+    """A notice of any length is found whole, worn and cut short by a tenth, and not by its first half; the score is the share of its words that hits cover."""
+    r = random.Random(3)
+    words = [f"w{i}" for i in range(400)]
+    templates = (("own", " ".join(words)), ("brief", "one two three four five"))
+    worn = [w if r.random() > 0.04 else "x" for w in words]
+    rows = [(1, "a b " + " ".join(words) + " c"), (2, " ".join(worn)), (3, " ".join(words[:360])), (4, " ".join(words[:200])), (5, "one two three four five"), (6, " ".join(words[47:50]))]
+    got = {x.doc_id: x for x in license_scans.license_scan(spark.createDataFrame(rows, "doc_id long, text string"), templates).collect()}
+    for i, text in rows:
+        w = text.split()
+        covered = {p for a in range(len(w) - 2) if w[a].startswith("w") and [int(x[1:]) if x[0] == "w" else -9 for x in w[a : a + 3]] == [*range(int(w[a][1:]), int(w[a][1:]) + 3)] for p in range(int(w[a][1:]), int(w[a][1:]) + 3)}
+        share = 1.0 if i == 5 else len(covered) / 400
+        assert math.isclose(got[i].score, share if share >= 0.8 else 0.0) and got[i].labels == ("brief" if i == 5 else "own" if share >= 0.8 else "")
+
+
 def test_base_of_real_texts(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     got = sorted(tuple(r)[:6] for r in license_scans.license_scan(docs).collect())

@@ -2,8 +2,10 @@
 
 import base64
 import hashlib
+import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from photospark.llm import warc
 
@@ -58,6 +60,29 @@ def test_broken_records_are_told():
             warc.parse_record(bad)
 
 
-def test_url_keys():
-    assert warc.url_key("https://www.Example.com:8080/A?b#c") == "com,example:8080)/a?b"
-    assert warc.url_key(None) == ")/" and warc.url_key("http://x.org") == "org,x)/"
+def plain_key(url):
+    m = re.match(r"(?:[a-z][a-z0-9+.-]*://)?(?:[^/?#@]*@)?([^/?#:]*)(?::(\d+))?([^#]*)", (url or "").strip().lower())
+    host, port, rest = m[1].removeprefix("www."), m[2], m[3]
+    return ",".join(reversed(host.split("."))) + (f":{port}" if port and port not in ("80", "443") else "") + ")" + (rest if rest.startswith("/") else f"/{rest}")
+
+
+def test_url_keys(spark):
+    urls = ["https://www.Example.com:8080/A?b#c", None, "", "http://x.org", " ftp://u:p@a.b.c.:443/x y?z=1&w#f ", "a.org?q", "//b.org/", "http://www.www.c.org:80", "é.fr/É", "x:y:z/@"]
+    got = spark.createDataFrame([(u,) for u in urls], "url string").select("url", warc.url_key(F.col("url")).alias("key")).collect()
+    assert [r.key for r in got] == [plain_key(u) for u in urls] and got[0].key == "com,example:8080)/a?b"
+
+
+def test_headers_are_standard():
+    page = warc._record(3, "http://d.org/é b", b"abc", warc.sha1_base32(b"abc"), None, False).decode().split("\r\n")
+    again = warc._record(5, None, b"abc", warc.sha1_base32(b"abc"), 3, True).decode().split("\r\n")
+    assert "WARC-Target-URI: http://d.org/%C3%A9%20b" in page
+    own = next(x for x in page if x.startswith("WARC-Record-ID: ")).split(": ", 1)[1]
+    assert f"WARC-Refers-To: {own}" in again and warc._record(3, "u", b"", "", None, False, 1) != warc._record(3, "u", b"", "", None, False)
+
+
+def test_lookup_of_all_gives_every_record(spark, sf):
+    pages = spark.read.parquet(f"{sf}/pages.parquet")
+    c = warc.write_captures(pages, block_lines=7)
+    columns = ["page_id", "url", "record_type", "payload_digest", "refers_to"]
+    a, b = (sorted(map(tuple, x.select(columns).collect()), key=str) for x in (c.records(False), c.lookup(pages, payloads=False)))
+    assert a == b and len(a) == pages.count()
