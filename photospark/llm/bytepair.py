@@ -46,13 +46,27 @@ def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
     first = np.cumsum(size) - size
     n = int(size.sum())
     held = values[starts[0] : ends[-1]] if ends[-1] - starts[0] == n else values[_spread(starts, size)]
-    mixed = np.arange(1, n + 1, dtype=np.uint64) - np.repeat(first.astype(np.uint64), size)
-    mixed <<= np.uint64(21)
-    mixed += held
-    mixed = mix64(mixed)
+    place = np.arange(n, dtype=np.int32)
+    place -= np.repeat(first.astype(np.int32), size)
+    often = (held < 256) & (place < 64)
+    index = (place << 8) + held.astype(np.int32)
+    if often.all():
+        mixed = _OFTEN.take(index)
+    else:
+        mixed = _OFTEN.take(np.where(often, index, 0))
+        rest = np.flatnonzero(~often)
+        mixed[rest] = _mixed_places(held[rest], place[rest])
     return mix64(np.add.reduceat(mixed, first) + size.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)) | np.uint64(1)
 
 
+def _mixed_places(values: np.ndarray, places: np.ndarray) -> np.ndarray:
+    return mix64(values.astype(np.uint64) + np.uint64(1) + (places.astype(np.uint64) << np.uint64(21)))
+
+
+#: Of the values below 256 at the first 64 places, by place and value.
+_OFTEN = _mixed_places(np.tile(np.arange(256), 64), np.repeat(np.arange(64), 256))
+
+
 class PreTokens:
     """The pre-tokens of some parts of texts: code points, starts and ends of all pre-tokens, and the first pre-token of each part."""
 
@@ -134,7 +148,9 @@ class Cache:
         if same.size:
             n = size[same]
             own = pre.cp if same.size == size.size else pre.cp[_spread(pre.starts[same], n)]
-            unequal = own != self.held[_spread(self.at[entry[same]], n)]
+            unequal = own != self.held.take(_spread(self.at[entry[same]], n))
+            if not unequal.any():
+                return np.flatnonzero(wrong)
             wrong[same] = np.logical_or.reduceat(unequal, np.cumsum(n) - n)
         return np.flatnonzero(wrong)
 
@@ -162,8 +178,10 @@ class Cache:
 
 def _spread(starts: np.ndarray, size: np.ndarray) -> np.ndarray:
     """All places of spans, one after another."""
-    out = np.repeat(starts - (np.cumsum(size) - size), size)
-    out += np.arange(out.size)
+    first = starts - (np.cumsum(size) - size)
+    kind = np.int32 if starts.size and starts.max() + size.sum() < 1 << 31 else np.int64
+    out = np.repeat(first.astype(kind), size)
+    out += np.arange(out.size, dtype=kind)
     return out
 
 
