@@ -97,8 +97,17 @@ def detrend_by_division(phot: DataFrame) -> DataFrame:
     return phot.where("quality = 0").withColumn("detrended", ratio("flux", fit))
 
 
-def pivot_epochs(phot: DataFrame, epochs: list[int], least: int = 1) -> DataFrame:
-    """A wide row per star: flux, error and quality of each listed epoch (the first row by tie-break), and the count of good rows."""
+def epochs_found(phot: DataFrame, most: int = 5000) -> list[int]:
+    """The epochs of a table in order; an error beyond ``most``, which no wide table holds."""
+    found = [r[0] for r in phot.select("epoch").where("epoch is not null").distinct().orderBy("epoch").take(most + 1)]
+    if len(found) > most:
+        raise ValueError(f"more than {most} epochs: name those of the wide table")
+    return found
+
+
+def pivot_epochs(phot: DataFrame, epochs: list[int] | None = None, least: int = 1) -> DataFrame:
+    """A wide row per star: flux, error and quality of each listed epoch (all that occur by default; the first row by tie-break), and the count of good rows."""
+    epochs = epochs_found(phot) if epochs is None else epochs
     first = phot.groupBy("star_id", "epoch").agg(*[F.min_by(c, F.struct("btjd", "row")).alias(c) for c in ("flux", "flux_error", "quality")])
     wide = first.groupBy("star_id").pivot("epoch", epochs).agg(F.first("flux").alias("flux"), F.first("flux_error").alias("flux_error"), F.first("quality").alias("quality"))
     n = phot.groupBy("star_id").agg(F.count_if(F.col("quality") == 0).alias("n_detections"))
@@ -106,12 +115,20 @@ def pivot_epochs(phot: DataFrame, epochs: list[int], least: int = 1) -> DataFram
     return out.select("star_id", "n_detections", *[F.col(f"{e}_{c}").alias(f"{c}_{e}") for e in epochs for c in ("flux", "flux_error", "quality")])
 
 
-def master_table(phot: DataFrame, epochs: list[int]) -> DataFrame:
+def master_table(phot: DataFrame, epochs: list[int] | None = None) -> DataFrame:
     """pivot_epochs for every star, with flag 5 where an epoch wasn't processed."""
+    epochs = epochs_found(phot) if epochs is None else epochs
     wide = pivot_epochs(phot, epochs, 0)
     return wide.select("star_id", *[c for e in epochs for c in (F.col(f"flux_{e}"), F.col(f"flux_error_{e}"), F.coalesce(f"quality_{e}", F.lit(5)).alias(f"flag_{e}"))])
 
 
+def wide_rows(wide: DataFrame, columns: list[str], keep: list[str]) -> DataFrame:
+    """A wide table as rows: ``keep``, epoch, and each of ``columns`` (flux for flux_0, flux_1, ...)."""
+    epochs = [c.rsplit("_", 1)[1] for c in wide.columns if c.startswith(f"{columns[-1]}_")]
+    cells = [F.struct(F.lit(int(e)).alias("epoch"), *[F.col(f"{c}_{e}").alias(c) for c in columns]) for e in epochs]
+    return wide.select(*keep, F.inline(F.array(*cells)))
+
+
 def padded_sequences(phot: DataFrame, length: int = 200, zero: bool = True) -> DataFrame:
     """(star_id, x, mask): the first ``length`` rows in time as [flux, error, quality], flux and error over the star's median of all rows, padded with
     zeros (or nulls); mask is true for rows of quality 0."""

@@ -114,40 +114,64 @@ def dbscan(df: DataFrame, columns: list[str], eps: float, least: int = 5) -> Dat
     return df.select("star_id").join(cluster, "star_id", "left")
 
 
+TREE = "tree int, feature array<int>, at array<double>, left array<int>, right array<int>, length array<double>"
+
+
+def _usual(n: int) -> float:
+    """Mean length of the ways in a random tree of n rows."""
+    return 0.0 if n <= 1 else 2 * (np.log(n - 1) + 0.5772156649) - 2 * (n - 1) / n
+
+
+def _grow(pdf: pd.DataFrame, columns: list[str], seed: int) -> pd.DataFrame:
+    """One tree as arrays over its nodes: column (-1 at a leaf), split, children, and the length that a way ending there counts."""
+    tree = int(pdf.tree.iloc[0])
+    x = pdf.sort_values(["h", "star_id", *columns])[columns].to_numpy(float)
+    rng = np.random.default_rng([seed, tree])
+    nodes: list[list] = []
+
+    def add(rows: np.ndarray, depth: int, deepest: int) -> int:
+        me = len(nodes)
+        nodes.append([-1, 0.0, -1, -1, depth + _usual(len(rows))])
+        lo, hi = x[rows].min(axis=0), x[rows].max(axis=0)
+        wide = np.flatnonzero(hi > lo)
+        if len(rows) > 1 and depth < deepest and wide.size:
+            c = int(rng.choice(wide))
+            at = float(rng.uniform(lo[c], hi[c]))
+            less = x[rows, c] <= at
+            nodes[me][:4] = [c, at, add(rows[less], depth + 1, deepest), add(rows[~less], depth + 1, deepest)]
+        return me
+
+    add(np.arange(len(x)), 0, int(np.ceil(np.log2(max(2, len(x))))))
+    return pd.DataFrame([[tree, *map(list, zip(*nodes, strict=True))]], columns=[c.split()[0] for c in TREE.split(", ")])
+
+
 def isolation_scores(df: DataFrame, columns: list[str], trees: int = 200, sample: int = 256, seed: int = 42, contamination: float = 0.05) -> DataFrame:
-    """(star_id, score, is_outlier): isolation forest; each tree grows on a bounded sample (its parameter), every row is scored, the top share flagged."""
+    """(star_id, score, is_outlier): isolation forest; each tree has its own ``sample`` rows, drawn by hash over the whole table, and grows in a task; every
+    row is scored and the top share flagged. To the driver come ``trees`` trees of fewer than 2 * sample nodes."""
+    spark = df.sparkSession
     rows = df.select("star_id", *[F.col(c).cast("double") for c in columns])
-    drawn = np.array([tuple(r) for r in rows.orderBy(F.xxhash64("star_id", F.lit(seed))).limit(trees * 8 + sample).drop("star_id").collect()], float)
-    rng = np.random.default_rng(seed)
-
-    def grow(x: np.ndarray, depth: int) -> tuple:
-        lo, hi = x.min(0, initial=np.inf), x.max(0, initial=-np.inf)
-        open_columns = np.flatnonzero(hi > lo)
-        if len(x) <= 1 or depth == 0 or not open_columns.size:
-            return (len(x),)
-        c = int(rng.choice(open_columns))
-        at = float(rng.uniform(lo[c], hi[c]))
-        return c, at, grow(x[x[:, c] < at], depth - 1), grow(x[x[:, c] >= at], depth - 1)
-
-    size = min(sample, len(drawn))
-    forest = [grow(drawn[rng.choice(len(drawn), size, replace=False)], int(np.ceil(np.log2(max(2, size))))) for _ in range(trees)] if size else []
-    usual = lambda n: 0.0 if n <= 1 else 2 * (np.log(n - 1) + 0.5772156649) - 2 * (n - 1) / n
+    n = rows.count()
+    size = min(sample, n)
+    # A row offers itself to a tree if its hash is low: a few more rows than needed, so that no tree's rows are ranked over the whole table.
+    share = min(1.0, (sample + 8 * sample**0.5) / max(1, n))
+    limit = min(2**63 - 1, int(share * 2**64) - 2**63)
+    mark = lambda tree: F.xxhash64(F.lit(seed), tree, F.col("star_id"))
+    offered = rows.select(F.explode(F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: mark(t) <= F.lit(limit))).alias("tree"), "star_id", *columns)
+    rank = F.row_number().over(Window.partitionBy("tree").orderBy("h", "star_id", *columns))
+    drawn = offered.withColumn("h", mark(F.col("tree"))).withColumn("rank", rank).where(F.col("rank") <= sample).drop("rank")
+    grown = drawn.groupBy("tree").applyInPandas(lambda pdf: _grow(pdf, columns, seed), TREE).orderBy("tree").collect()
+    forest = spark.sparkContext.broadcast([[np.array(v) for v in t[1:]] for t in grown])
 
     def score(batches):
         for pdf in batches:
-            x, total = pdf[columns].to_numpy(float), np.zeros(len(pdf))
-
-            def walk(node: tuple, at: np.ndarray, depth: int) -> None:
-                if len(node) == 1:
-                    total[at] += depth + usual(node[0])
-                elif at.size:
-                    left = x[at, node[0]] < node[1]
-                    walk(node[2], at[left], depth + 1)
-                    walk(node[3], at[~left], depth + 1)
-
-            for tree in forest:
-                walk(tree, np.arange(len(pdf)), 0)
-            yield pd.DataFrame({"star_id": pdf.star_id, "score": 2.0 ** (-total / max(1, trees) / max(usual(size), 1e-9))})
+            x, total, each = pdf[columns].to_numpy(float), np.zeros(len(pdf)), np.arange(len(pdf))
+            for feature, at, left, right, length in forest.value:
+                node = np.zeros(len(pdf), int)
+                while (inner := feature[node] >= 0).any():
+                    less = x[each, feature[node]] <= at[node]
+                    node = np.where(inner, np.where(less, left[node], right[node]), node)
+                total += length[node]
+            yield pd.DataFrame({"star_id": pdf.star_id, "score": 2.0 ** (-total / max(1, len(forest.value)) / max(_usual(size), 1e-9))})
 
     scored = rows.mapInPandas(score, "star_id long, score double")
     return scored.crossJoin(F.broadcast(scored.agg(pct("score", 1 - contamination).alias("limit")))).withColumn("is_outlier", F.col("score") > F.col("limit")).drop("limit")
@@ -180,7 +204,9 @@ def kmeans(df: DataFrame, columns: list[str], ks: range = range(2, 11), least: i
     model = lambda k: KMeans(k=k, seed=seed, featuresCol="v", predictionCol="cluster").fit(v)
     judge = ClusteringEvaluator(featuresCol="v", predictionCol="cluster")
     best = max(ks, key=lambda k: judge.evaluate(model(k).transform(v)))
-    return model(max(best, least)).transform(v).select("star_id", "cluster")
+    chosen = model(max(best, least))
+    v.unpersist()
+    return chosen.transform(_vectors(df, columns)).select("star_id", "cluster")
 
 
 def principal_components(df: DataFrame, columns: list[str], k: int = 2) -> DataFrame:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from functools import partial
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -60,14 +63,72 @@ def floating_mean_power(t: np.ndarray, y: np.ndarray, freq: np.ndarray) -> np.nd
     return out
 
 
-PERIODIC = "star_id long, n_points long, total_power double, power_ratio_top double, " + ", ".join(f"freq_{i} double, power_{i} double, period_{i} double" for i in range(1, 6))
+def _per_star(phot: DataFrame, kernel: Callable[..., list[dict]], types: dict[str, pa.DataType]) -> DataFrame:
+    """Rows (star_id, and the columns of ``types``) that ``kernel`` makes of each star's good finite points: times, fluxes and errors (NaN where
+    unknown) in time order. The points of a star become arrays in one shuffle, whose partitions stay as many as set since the work on a star
+    is far more than its bytes say; a batch holds many stars."""
+    parts = int(phot.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    phot = phot.select("star_id", "row", "btjd", "flux", "flux_error", "quality").repartition(parts, "star_id")
+    point = F.when((F.col("quality") == 0) & finite("flux").isNotNull(), F.struct("btjd", "row", "flux", finite("flux_error").alias("flux_error")))
+    series = phot.groupBy("star_id").agg(F.array_sort(F.collect_list(point)).alias("s")).select("star_id", "s.btjd", "s.flux", "s.flux_error")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found, owner = [], []
+            for i, point in enumerate(zip(*batch.columns[1:], strict=True)):
+                rows = kernel(*(np.asarray(c.values.to_numpy(zero_copy_only=False), float) for c in point))
+                found += rows
+                owner += [i] * len(rows)
+            columns = [pa.array([r.get(c) for r in found], t) for c, t in types.items()]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner, pa.int64())), *columns], ["star_id", *types])
+
+    names = {pa.int32(): "int", pa.int64(): "long", pa.float64(): "double"}
+    kind = phot.schema["star_id"].dataType.simpleString()
+    return series.mapInArrow(run, ", ".join([f"star_id {kind}", *(f"{c} {names[t]}" for c, t in types.items())]))
+
+
+def classic_power(t: np.ndarray, y: np.ndarray, freq: np.ndarray) -> np.ndarray:
+    """Periodogram of lomb_scargle_grid (no floating mean) of one series, in blocks of frequencies of bounded size."""
+    y = y - y.mean()
+    out = np.zeros(freq.size)
+    step = max(1, 1_000_000 // max(1, t.size))
+    total = (y * y).sum()
+    for i in range(0, freq.size if total > 0 else 0, step):
+        w = 2 * np.pi * np.outer(freq[i : i + step], t - t[0])
+        c, s = np.cos(w), np.sin(w)
+        yc, ys = c @ y, s @ y
+        cc, cs = (c * c).sum(axis=1), (c * s).sum(axis=1)
+        ss = t.size - cc
+        tau = np.arctan2(2 * cs, cc - ss) / 2
+        a, b = np.cos(tau), np.sin(tau)
+        along, across = yc * a + ys * b, ys * a - yc * b
+        cc2, ss2 = cc * a * a + 2 * cs * a * b + ss * b * b, ss * a * a - 2 * cs * a * b + cc * b * b
+        out[i : i + step] = (np.where(cc2 > 1e-9, along**2 / np.maximum(cc2, 1e-9), 0) + np.where(ss2 > 1e-9, across**2 / np.maximum(ss2, 1e-9), 0)) / total
+    return out
+
+
+def grid_peaks(phot: DataFrame, n: int = 10_000, longest: float = 15.0, shortest: float = 0.1, least: int = 50, k: int = 1) -> DataFrame:
+    """(star_id, rank, i, freq, power, period): the ``k`` strongest of ``n`` frequencies evenly spaced from 1 / longest to 1 / shortest, for stars with
+    ``least`` good points; ties by frequency. A constant star has no rows."""
+    lo, hi = 1.0 / longest, 1.0 / shortest
+    freq = lo + np.arange(n) * ((hi - lo) / max(1, n - 1))
 
+    def peaks(t: np.ndarray, y: np.ndarray, error: np.ndarray) -> list[dict]:
+        if t.size < max(1, least) or y.min() == y.max():
+            return []
+        power = classic_power(t, y, freq)
+        best = np.lexsort((freq, -np.round(power, 9)))[:k]
+        return [{"rank": r, "i": int(j), "freq": freq[j], "power": power[j], "period": 1 / freq[j]} for r, j in enumerate(best, 1)]
 
-def _periodic(pdf: pd.DataFrame) -> pd.DataFrame:
-    g = pdf[(pdf.quality == 0) & np.isfinite(pdf.flux)].sort_values(["btjd", "row"])
-    t, y = g.btjd.to_numpy(), g.flux.to_numpy()
-    out = {"star_id": pdf.star_id.iloc[0], "n_points": len(g)}
-    if len(g) >= 10 and t[-1] > t[0] and np.median(np.diff(t)) > 0 and y.std() > 0:
+    return _per_star(phot, peaks, {"rank": pa.int32(), "i": pa.int32(), "freq": pa.float64(), "power": pa.float64(), "period": pa.float64()})
+
+
+PERIODIC = {"n_points": pa.int64()} | dict.fromkeys(["total_power", "power_ratio_top", *(f"{c}_{i}" for i in range(1, 6) for c in ("freq", "power", "period"))], pa.float64())
+
+
+def _periodic(t: np.ndarray, y: np.ndarray, error: np.ndarray) -> list[dict]:
+    out = {"n_points": t.size}
+    if t.size >= 10 and t[-1] > t[0] and np.median(np.diff(t)) > 0 and y.std() > 0:
         span, step = t[-1] - t[0], np.median(np.diff(t))
         freq = np.arange(1 / span, 1 / (2 * step), 1 / (5 * span))
         if freq.size:
@@ -76,72 +137,94 @@ def _periodic(pdf: pd.DataFrame) -> pd.DataFrame:
             out |= {"total_power": power.sum(), "power_ratio_top": power[top[0]] / max(power.sum(), 1e-300)}
             for r, j in enumerate(top, 1):
                 out |= {f"freq_{r}": freq[j], f"power_{r}": power[j], f"period_{r}": 1 / freq[j]}
-    return pd.DataFrame([out]).reindex(columns=[c.split()[0] for c in PERIODIC.split(", ")])
+    return [out]
 
 
 def periodic_features(phot: DataFrame) -> DataFrame:
     """Per star: total power, the five strongest frequencies, and the strongest's share, on the star's own grid (5 samples a peak between 1/span and
-    1/(2 median step)); nulls for fewer than ten points or a constant. A star's series is one group."""
-    return phot.select("star_id", "row", "btjd", "flux", "quality").groupBy("star_id").applyInPandas(_periodic, PERIODIC)
-
-
-def box_grid(spark, periods: list[float], n_phases: int = 20) -> DataFrame:
-    rows = [(i, float(p), j, j / n_phases) for i, p in enumerate(periods) for j in range(n_phases)]
-    return spark.createDataFrame(rows, "i int, period double, j int, start double")
-
-
-def box_search(phot: DataFrame, grid: DataFrame, width: float = 0.02, least_in: int = 3, least_out: int = 10) -> DataFrame:
-    """Per star the best box of ``width`` in phase over a small grid (broadcast): depth is the median outside less the median inside, power the depth times
-    sqrt(n_in n_out / (n_in + n_out))."""
-    g = phot.where("quality = 0").select("star_id", F.col("btjd").alias("t"), finite("flux").alias("f")).where("f is not null").withColumn("t0", F.min("t").over(_star()))
-    inside = F.pmod(F.pmod((F.col("t") - F.col("t0")) / F.col("period"), F.lit(1.0)) - F.col("start"), F.lit(1.0)) < width
-    s = g.crossJoin(F.broadcast(grid)).withColumn("inside", inside).groupBy("star_id", "i", "period", "j", "start").agg(
-        F.count_if("inside").alias("n_in"), F.count_if(~F.col("inside")).alias("n_out"), F.median(F.when(F.col("inside"), F.col("f"))).alias("f_in"), F.median(F.when(~F.col("inside"), F.col("f"))).alias("f_out")
-    )
-    s = s.where((F.col("n_in") >= least_in) & (F.col("n_out") >= least_out)).withColumn("depth", F.col("f_out") - F.col("f_in"))
-    n_in, n_out = F.col("n_in").cast("double"), F.col("n_out").cast("double")
-    s = s.withColumn("power", F.col("depth") * F.sqrt(n_in * n_out / (n_in + n_out)))
-    return s.withColumn("rank", F.row_number().over(_star().orderBy(F.desc(F.round("power", 9)), "i", "j"))).where("rank = 1").drop("rank")
-
-
-BOX = "star_id long, period double, t0 double, duration double, depth double, power double"
-
-
-def _boxes(pdf: pd.DataFrame, n_periods: int, durations: np.ndarray) -> pd.DataFrame:
-    g = pdf[(pdf.quality == 0) & np.isfinite(pdf.flux)].sort_values(["btjd", "row"])
-    out = {"star_id": pdf.star_id.iloc[0]}
-    mid = np.median(g.flux) if len(g) else 0
-    if len(g) >= 20 and mid > 0:
-        t, y = g.btjd.to_numpy() - g.btjd.min(), g.flux.to_numpy() / mid
-        err = g.flux_error.to_numpy() / mid
-        w = np.where(np.isfinite(err) & (err > 0), 1 / np.where(err > 0, err, 1) ** 2, 0)
-        w = w / w.sum() if w.sum() > 0 else np.full(len(y), 1 / len(y))
-        y0 = y - (w * y).sum()
-        best = (-np.inf,)
-        for period in np.linspace(0.5, 15, n_periods):
-            order = np.argsort(t % period)
-            ph = (t % period)[order]
-            ph2 = np.append(ph, ph + period)
-            cw, cy = np.append(0, np.cumsum(np.tile(w[order], 2))), np.append(0, np.cumsum(np.tile((w * y0)[order], 2)))
-            for d in durations:
-                hi = np.searchsorted(ph2, ph + d, "right")
-                r, s = cw[hi] - cw[: len(ph)], cy[hi] - cy[: len(ph)]
-                ok = (r > 0) & (r < 1 - 1e-12) & (s < 0)
-                p = np.where(ok, s * s / np.where(ok, r * (1 - r), 1), -np.inf)
-                j = int(p.argmax())
-                if p[j] > best[0]:
-                    best = (p[j], period, g.btjd.min() + ph[j] + d / 2, d, -s[j] / (r[j] * (1 - r[j])))
-        if np.isfinite(best[0]):
-            out |= dict(zip(("power", "period", "t0", "duration", "depth"), best, strict=True))
-    return pd.DataFrame([out]).reindex(columns=[c.split()[0] for c in BOX.split(", ")])
+    1/(2 median step)); nulls for fewer than ten points or a constant. A star's series is one row."""
+    return _per_star(phot, _periodic, PERIODIC)
+
+
+def _phase_boxes(t: np.ndarray, y: np.ndarray, error: np.ndarray, periods: np.ndarray, starts: np.ndarray, width: float, least: tuple[int, int, int], cells: int = 500_000) -> list[dict]:
+    if t.size < max(1, least[0]):
+        return []
+    order = np.argsort(y, kind="stable")
+    x, y = (t - t[0])[order], y[order]
+    rank = np.arange(1, y.size + 1)
+
+    def median(seen: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Of the values counted in ``seen``, running along the sorted ones: n in all."""
+        low, high = ((seen >= k[..., None]).argmax(axis=2) for k in ((n + 1) // 2, n // 2 + 1))
+        return (y[low] + y[high]) / 2
+
+    found = []
+    step = max(1, cells // (y.size * starts.size))
+    for i in range(0, periods.size, step):
+        phase = ((x / periods[i : i + step, None]) % 1.0)[:, None]
+        seen = np.cumsum((phase >= starts[:, None]) & (phase < starts[:, None] + width), axis=2)
+        n_in = seen[:, :, -1]
+        n_out = y.size - n_in
+        depth = median(rank - seen, n_out) - median(seen, n_in)
+        power = depth * np.sqrt(n_in * n_out / (n_in + n_out))
+        power[(n_in < least[1]) | (n_out < least[2]) | (depth <= 0)] = -np.inf
+        j, k = np.unravel_index(np.round(power, 9).argmax(), power.shape)
+        if np.isfinite(power[j, k]):
+            found.append({"period": periods[i + j], "start": starts[k], "n_in": int(n_in[j, k]), "n_out": int(n_out[j, k]), "depth": depth[j, k], "power": power[j, k]})
+    return [max(found, key=lambda r: round(r["power"], 9))] if found else []
+
+
+def box_search(phot: DataFrame, periods: list[float], width: float = 0.02, n_phases: int = 20, least: int = 50, least_in: int = 3, least_out: int = 10) -> DataFrame:
+    """Per star with ``least`` good points the best box of ``width`` in phase over ``periods`` and ``n_phases`` starts from 0 to 1 - width: depth is the median
+    outside less the median inside, above 0, and power the depth times sqrt(n_in n_out / (n_in + n_out)); ties by period, then start."""
+    types = {"period": pa.float64(), "start": pa.float64(), "n_in": pa.int64(), "n_out": pa.int64(), "depth": pa.float64(), "power": pa.float64()}
+    starts = np.arange(n_phases) * ((1 - width) / max(1, n_phases - 1))
+    return _per_star(phot, partial(_phase_boxes, periods=np.array(periods, float), starts=starts, width=width, least=(least, least_in, least_out)), types)
+
+
+BOX = dict.fromkeys(["period", "t0", "duration", "depth", "power"], pa.float64())
+
+
+def _boxes(t: np.ndarray, y: np.ndarray, error: np.ndarray, periods: np.ndarray, durations: np.ndarray, cells: int = 300_000) -> list[dict]:
+    n, mid = t.size, np.median(y) if t.size else 0
+    if n < 20 or not mid > 0:
+        return [{}]
+    start, x, y, error = t[0], t - t[0], y / mid, error / mid
+    known = np.isfinite(error) & (error > 0)
+    w = np.where(known, 1 / np.where(known, error, 1) ** 2, 0)
+    w = w / w.sum() if w.sum() > 0 else np.full(n, 1 / n)
+    y0 = y - (w * y).sum()
+    best, out = -np.inf, {}
+    for i in range(0, periods.size, max(1, cells // n)):
+        period = periods[i : i + max(1, cells // n), None]
+        phase = x % period
+        order = np.argsort(phase, axis=1)
+        phase = np.take_along_axis(phase, order, axis=1)
+        zero = np.zeros((period.size, 1))
+        cw = np.hstack([zero, np.cumsum(np.tile(w[order], 2), axis=1)])
+        cy = np.hstack([zero, np.cumsum(np.tile((w * y0)[order], 2), axis=1)])
+        # The phases of each period, twice round, in a stretch of their own, so that one search serves all periods.
+        shift = np.arange(period.size)[:, None] * (3 * period.max())
+        rounds = (np.hstack([phase, phase + period]) + shift).ravel()
+        strength = np.empty((period.size, durations.size))
+        at, depth = np.empty(strength.shape, int), np.empty(strength.shape)
+        for k, d in enumerate(durations):
+            end = np.searchsorted(rounds, (phase + d + shift).ravel(), "right").reshape(phase.shape) - np.arange(period.size)[:, None] * (2 * n)
+            r, s = np.take_along_axis(cw, end, axis=1) - cw[:, :n], np.take_along_axis(cy, end, axis=1) - cy[:, :n]
+            ok = (r > 0) & (r < 1 - 1e-12) & (s < 0)
+            spread = np.where(ok, r * (1 - r), 1)
+            p = np.where(ok, s * s / spread, -np.inf)
+            at[:, k] = p.argmax(axis=1)
+            strength[:, k] = p.max(axis=1)
+            depth[:, k] = np.take_along_axis(-s / spread, at[:, k, None], axis=1)[:, 0]
+        j, k = np.unravel_index(strength.argmax(), strength.shape)
+        if strength[j, k] > best:
+            best = strength[j, k]
+            out = {"power": best, "period": period[j, 0], "t0": start + phase[j, at[j, k]] + durations[k] / 2, "duration": durations[k], "depth": depth[j, k]}
+    return [out]
 
 
 def box_least_squares(phot: DataFrame, n_periods: int = 5000, durations: int = 10) -> DataFrame:
     """Per star the best box of least squares on median-normalised good flux: periods from 0.5 to 15 days, durations from 0.01 to 0.2; nulls for fewer than
-    20 points."""
-    d = np.linspace(0.01, 0.2, durations)
-
-    def boxes(pdf: pd.DataFrame) -> pd.DataFrame:
-        return _boxes(pdf, n_periods, d)
-
-    return phot.select("star_id", "row", "btjd", "flux", "flux_error", "quality").groupBy("star_id").applyInPandas(boxes, BOX)
+    20 points or a median that isn't above 0; ties by period, then duration."""
+    return _per_star(phot, partial(_boxes, periods=np.linspace(0.5, 15, n_periods), durations=np.linspace(0.01, 0.2, durations)), BOX)

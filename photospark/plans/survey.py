@@ -163,12 +163,12 @@ def _(spark, d):
 
 @query("iforest", "star_id score* is_outlier")
 def _(spark, d):
-    return M.isolation_scores(_feat(spark, d), _F, trees=50)
+    return M.isolation_scores(_feat(spark, d), _F)
 
 
 @query("kmeans", "star_id cluster")
 def _(spark, d):
-    return M.kmeans(_feat(spark, d), _F[:4], range(2, 6))
+    return M.kmeans(_feat(spark, d), _F[:4])
 
 
 @query("pca", "star_id pc1* pc2*")
@@ -231,9 +231,9 @@ def _(spark, d):
     return I.optimal_radius(I.curve_of_growth(_pixels(spark), 20.0, 24.0))
 
 
-@query("median_frame", "y* x* value*", f"WITH p AS ({_PIXELS}) SELECT y, x, median(value) AS value FROM p WHERE image < 3 GROUP BY y, x")
+@query("median_frame", "y* x* value*", f"WITH p AS ({_PIXELS}) SELECT y, x, median(CAST(value AS DOUBLE)) AS value FROM p GROUP BY y, x")
 def _(spark, d):
-    return I.median_frame(_pixels(spark), 3)
+    return I.median_frame(_pixels(spark))
 
 
 _KSTEPS = "".join(f", k{i} AS (SELECT t, m, e - (e - 42.0 / 76 * sin(e) - m) / (1 - 42.0 / 76 * cos(e)) AS e FROM {'k0' if i == 1 else f'k{i - 1}'})" for i in range(1, 11))

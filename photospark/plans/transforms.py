@@ -77,29 +77,27 @@ def _(spark, d):
     return lightcurve.time_bins(E(spark, d), 2.0)
 
 
-_EPOCHS = [0, 1, 2, 3]
-_FIRST = ", f AS (SELECT star_id, epoch, arg_min(flux, {'t': btjd, 'r': row}) AS flux, arg_min(flux_error, {'t': btjd, 'r': row}) AS flux_error, arg_min(quality, {'t': btjd, 'r': row}) AS quality FROM p GROUP BY star_id, epoch), n AS (SELECT star_id, CAST(count(*) FILTER (WHERE quality = 0) AS BIGINT) AS n_detections FROM p GROUP BY star_id)"
-_CELLS = ", ".join(f"max(flux) FILTER (WHERE epoch = {e}) AS flux_{e}, max(flux_error) FILTER (WHERE epoch = {e}) AS flux_error_{e}, max(quality) FILTER (WHERE epoch = {e}) AS quality_{e}" for e in _EPOCHS)
+_FIRST = ", f AS (SELECT star_id, epoch, arg_min(flux, {'t': btjd, 'r': row}) AS flux, arg_min(flux_error, {'t': btjd, 'r': row}) AS flux_error, arg_min(quality, {'t': btjd, 'r': row}) AS quality FROM p GROUP BY star_id, epoch), n AS (SELECT star_id, CAST(count(*) FILTER (WHERE quality = 0) AS BIGINT) AS n_detections FROM p GROUP BY star_id), e AS (SELECT DISTINCT epoch FROM p), w AS (SELECT n.star_id, n_detections, e.epoch, flux, flux_error, quality FROM n CROSS JOIN e LEFT JOIN f ON f.star_id = n.star_id AND f.epoch = e.epoch)"
 
 
-@query("pivot_wide", "star_id n_detections " + " ".join(f"flux_{e}* flux_error_{e}* quality_{e}" for e in _EPOCHS),
-       Q.with_p(f"{_FIRST} SELECT n.star_id, any_value(n_detections) AS n_detections, {_CELLS} FROM n JOIN f ON n.star_id = f.star_id WHERE n_detections >= 3 GROUP BY n.star_id"))
+@query("pivot_wide", "star_id n_detections epoch flux* flux_error* quality", Q.with_p(f"{_FIRST} SELECT * FROM w WHERE n_detections >= 3"))
 def _(spark, d):
-    return lightcurve.pivot_epochs(E(spark, d), _EPOCHS, 3)
+    """The wide table of all epochs, shown by rows."""
+    return lightcurve.wide_rows(lightcurve.pivot_epochs(E(spark, d), least=3), ["flux", "flux_error", "quality"], ["star_id", "n_detections"])
 
 
-@query("master_table", "star_id " + " ".join(f"flux_{e}* flux_error_{e}* flag_{e}" for e in _EPOCHS),
-       Q.with_p(f"{_FIRST}, w AS (SELECT star_id, {_CELLS} FROM f GROUP BY star_id) SELECT *, " + ", ".join(f"coalesce(quality_{e}, 5) AS flag_{e}" for e in _EPOCHS) + " FROM w"))
+@query("master_table", "star_id epoch flux* flux_error* flag", Q.with_p(f"{_FIRST} SELECT *, coalesce(quality, 5) AS flag FROM w"))
 def _(spark, d):
-    return lightcurve.master_table(E(spark, d), _EPOCHS)
+    """The master table of all epochs, shown by rows."""
+    return lightcurve.wide_rows(lightcurve.master_table(E(spark, d)), ["flux", "flux_error", "flag"], ["star_id"])
 
 
 @query("tensor", "star_id n_real total*",
        Q.with_p(""", m AS (SELECT *, median(flux) OVER (PARTITION BY star_id) AS m, row_number() OVER (PARTITION BY star_id ORDER BY btjd, row) AS i FROM p)
-       SELECT star_id, CAST(count(*) FILTER (WHERE quality = 0) AS BIGINT) AS n_real, sum(i * (flux / m + 2 * flux_error / m + 3 * quality)) AS total FROM m WHERE i <= 50 GROUP BY star_id"""))
+       SELECT star_id, CAST(count(*) FILTER (WHERE quality = 0) AS BIGINT) AS n_real, sum(i * (flux / m + 2 * flux_error / m + 3 * quality)) AS total FROM m WHERE i <= 200 GROUP BY star_id"""))
 def _(spark, d):
-    """Padded sequences of 50, summed up by place and channel."""
-    s = lightcurve.padded_sequences(E(spark, d), 50)
+    """Padded sequences of 200, summed up by place and channel."""
+    s = lightcurve.padded_sequences(E(spark, d))
     total = F.aggregate(F.transform("x", lambda v, i: (i + 1) * (F.get(v, F.lit(0)) + 2 * F.get(v, F.lit(1)) + 3 * F.get(v, F.lit(2)))), F.lit(0.0), lambda a, v: a + v)
     return s.select("star_id", F.size(F.filter("mask", lambda v: v)).cast("long").alias("n_real"), total.alias("total"))
 
@@ -134,26 +132,24 @@ def _(spark, d):
 
 
 _LS = """, g AS (SELECT star_id, btjd AS t, flux - avg(flux) OVER s AS y, count(*) OVER s AS n, min(btjd) OVER s AS t0 FROM p WHERE quality = 0 WINDOW s AS (PARTITION BY star_id)),
-k AS (SELECT CAST(i AS INTEGER) AS i, 1.0 / 15 + i * ((1 / 0.5 - 1.0 / 15) / 99) AS freq FROM (SELECT unnest(range(100)) AS i)),
-w AS (SELECT star_id, i, freq, y, cos(2 * pi() * freq * (t - t0)) AS c, sin(2 * pi() * freq * (t - t0)) AS s FROM g CROSS JOIN k WHERE n >= 10),
+k AS (SELECT CAST(i AS INTEGER) AS i, CAST(1 AS DOUBLE) / 15 + i * ((CAST(10 AS DOUBLE) - CAST(1 AS DOUBLE) / 15) / 9999) AS freq FROM (SELECT unnest(range(10000)) AS i)),
+w AS (SELECT star_id, i, freq, y, cos(2 * pi() * freq * (t - t0)) AS c, sin(2 * pi() * freq * (t - t0)) AS s FROM g CROSS JOIN k WHERE n >= 50),
 q AS (SELECT star_id, i, freq, sum(y*c) yc, sum(y*s) ys, sum(c*c) cc, sum(s*s) ss, sum(c*s) cs, sum(y*y) yy FROM w GROUP BY star_id, i, freq),
 a AS (SELECT *, atan2(2 * cs, cc - ss) / 2 AS tau FROM q),
 b AS (SELECT star_id, i, freq, yy, yc * cos(tau) + ys * sin(tau) AS yc2, ys * cos(tau) - yc * sin(tau) AS ys2, cc*cos(tau)*cos(tau) + 2*cs*sin(tau)*cos(tau) + ss*sin(tau)*sin(tau) AS cc2, ss*cos(tau)*cos(tau) - 2*cs*sin(tau)*cos(tau) + cc*sin(tau)*sin(tau) AS ss2 FROM a),
-periodogram AS (SELECT star_id, i, freq, (CASE WHEN cc2 > 1e-9 THEN yc2*yc2/cc2 ELSE 0 END + CASE WHEN ss2 > 1e-9 THEN ys2*ys2/ss2 ELSE 0 END) / nullif(yy, 0) AS power FROM b)"""
+periodogram AS (SELECT star_id, i, freq, (CASE WHEN cc2 > 1e-9 THEN yc2*yc2/cc2 ELSE 0 END + CASE WHEN ss2 > 1e-9 THEN ys2*ys2/ss2 ELSE 0 END) / yy AS power FROM b WHERE yy > 0),
+peaks AS (SELECT star_id, CAST(rank AS INTEGER) AS rank, i, freq, power, 1 / freq AS period FROM (SELECT *, row_number() OVER (PARTITION BY star_id ORDER BY round(power, 9) DESC, i) AS rank FROM periodogram) WHERE rank <= 5)"""
 
 
-def _periodogram(spark, d):
-    return period.lomb_scargle_grid(E(spark, d), period.frequency_grid(spark, 100, 15.0, 0.5))
-
-
-@query("ls_fixed_grid", "star_id i freq* power*", Q.with_p(f"{_LS} SELECT * FROM periodogram"))
+@query("ls_fixed_grid", "star_id i freq* power*", Q.with_p(f"{_LS} SELECT * FROM peaks WHERE rank = 1"))
 def _(spark, d):
-    return _periodogram(spark, d)
+    """The best of 10,000 frequencies."""
+    return period.grid_peaks(E(spark, d))
 
 
-@query("top_freqs", "star_id rank i power* period*", Q.with_p(f"{_LS} SELECT star_id, CAST(rank AS INTEGER) AS rank, i, power, 1 / freq AS period FROM (SELECT *, row_number() OVER (PARTITION BY star_id ORDER BY round(power, 9) DESC, i) AS rank FROM periodogram) WHERE rank <= 5"))
+@query("top_freqs", "star_id rank i power* period*", Q.with_p(f"{_LS} SELECT * FROM peaks"))
 def _(spark, d):
-    return period.top_frequencies(_periodogram(spark, d))
+    return period.grid_peaks(E(spark, d), k=5)
 
 
 @query("ls_features", "star_id n_points total_power* power_ratio_top* period_1* power_1*")
@@ -161,18 +157,16 @@ def _(spark, d):
     return period.periodic_features(E(spark, d))
 
 
-_PERIODS = [0.87, 1.5, 2.0, 4.29, 7.0]
-
-
 @query("bls_simple", "star_id period* start* n_in n_out depth* power*",
-       Q.with_p(f""", g AS (SELECT star_id, btjd - min(btjd) OVER (PARTITION BY star_id) AS t, flux AS f FROM p WHERE quality = 0), k AS (SELECT i, [{', '.join(map(str, _PERIODS))}][i + 1] AS period, j, j / CAST(20 AS DOUBLE) AS start FROM (SELECT unnest(range({len(_PERIODS)})) AS i) CROSS JOIN (SELECT unnest(range(20)) AS j)),
-       w AS (SELECT star_id, i, CAST(period AS DOUBLE) AS period, j, start, f, (t / CAST(period AS DOUBLE) - floor(t / CAST(period AS DOUBLE))) - start AS x FROM g CROSS JOIN k), v AS (SELECT *, x - floor(x) < 0.05 AS inside FROM w),
+       Q.with_p(""", g AS (SELECT star_id, btjd - min(btjd) OVER s AS t, flux AS f, count(*) OVER s AS n FROM p WHERE quality = 0 WINDOW s AS (PARTITION BY star_id)),
+       k AS (SELECT i, CAST(0.5 AS DOUBLE) + i * (CAST(14.5 AS DOUBLE) / 99) AS period, j, j * (CAST(0.98 AS DOUBLE) / 19) AS start FROM (SELECT unnest(range(100)) AS i) CROSS JOIN (SELECT unnest(range(20)) AS j)),
+       w AS (SELECT star_id, i, period, j, start, f, t / period - floor(t / period) AS x FROM g CROSS JOIN k WHERE n >= 50), v AS (SELECT *, x >= start AND x < start + CAST(0.02 AS DOUBLE) AS inside FROM w),
        s AS (SELECT star_id, i, period, j, start, CAST(count(*) FILTER (WHERE inside) AS BIGINT) AS n_in, CAST(count(*) FILTER (WHERE NOT inside) AS BIGINT) AS n_out, median(f) FILTER (WHERE NOT inside) - median(f) FILTER (WHERE inside) AS depth FROM v GROUP BY star_id, i, period, j, start),
-       r AS (SELECT *, depth * sqrt(n_in * n_out / CAST(n_in + n_out AS DOUBLE)) AS power FROM s WHERE n_in >= 3 AND n_out >= 10) SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY star_id ORDER BY round(power, 9) DESC, i, j) AS rank FROM r) WHERE rank = 1"""))
+       r AS (SELECT *, depth * sqrt(n_in * n_out / CAST(n_in + n_out AS DOUBLE)) AS power FROM s WHERE n_in >= 3 AND n_out >= 10 AND depth > 0) SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY star_id ORDER BY round(power, 9) DESC, i, j) AS rank FROM r) WHERE rank = 1"""))
 def _(spark, d):
-    return period.box_search(E(spark, d), period.box_grid(spark, _PERIODS), 0.05)
+    return period.box_search(E(spark, d), [0.5 + i * (14.5 / 99) for i in range(100)])
 
 
 @query("bls_full", "star_id period* duration* depth* power*")
 def _(spark, d):
-    return period.box_least_squares(E(spark, d), 200)
+    return period.box_least_squares(E(spark, d))

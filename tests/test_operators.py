@@ -148,6 +148,35 @@ def test_eclipse_is_found(spark):
     assert min(abs(b.period - 4.29 * k) for k in (1, 2, 3)) < 0.05 and 0.07 < b.depth < 0.13
 
 
+def test_boxes_are_brute_force():
+    rng = np.random.default_rng(3)
+    t, periods, durations = np.sort(rng.uniform(0, 20, 40)), np.linspace(0.5, 15, 60), np.linspace(0.01, 0.2, 3)
+    y, error = rng.normal(10, 1, 40), rng.uniform(0.5, 2, 40)
+    x, f, w = t - t[0], y / np.median(y), (np.median(y) / error) ** 2
+    w /= w.sum()
+    f = f - (w * f).sum()
+    best = 0.0
+    for p in periods:
+        for d in durations:
+            for begin in x % p:
+                inside = (x % p - begin) % p <= d
+                r, s = w[inside].sum(), (w * f)[inside].sum()
+                if s < 0 and 0 < r < 1 - 1e-12:
+                    best = max(best, s * s / (r * (1 - r)))
+    (got,) = period._boxes(t, y, error, periods, durations, cells=300)
+    assert abs(got["power"] - best) < 1e-9 and got == period._boxes(t, y, error, periods, durations)[0]
+    assert period._boxes(t[:19], y[:19], error[:19], periods, durations) == [{}] == period._boxes(t, -y, error, periods, durations)
+
+
+def test_series_of_odd_stars(spark):
+    rows = [(1, i, i * 0.5, 5.0, 0.1, 0) for i in range(60)] + [(2, i, float(i), float("nan"), None, 0) for i in range(3)] + [(None, 0, 1.0, 2.0, 0.1, 0), (3, 0, 1.0, 2.0, 0.1, 7)]
+    s = spark.createDataFrame(rows, "star_id long, row long, btjd double, flux double, flux_error double, quality int")
+    assert {(r.star_id, r.n_points) for r in period.periodic_features(s).collect()} == {(1, 60), (2, 0), (3, 0), (None, 1)}
+    assert period.box_least_squares(s, 20).where("star_id <> 1 and power is not null").count() == 0
+    assert period.grid_peaks(s, 50).count() == 0 and period.box_search(s, [2.0]).count() == 0
+    assert lightcurve.pivot_epochs(s.withColumn("epoch", (F.col("row") % 3).cast("int")), least=1).columns[-1] == "quality_2"
+
+
 def test_crossmatch_edges(spark):
     left = spark.createDataFrame([(1, 359.9999, 10.0), (2, 10.0, 89.9999), (3, 50.0, 0.0), (4, 50.0, 0.0), (5, 120.0, -89.99999), (6, 0.0, 45.0)], "star_id long, ra double, dec double")
     right = spark.createDataFrame([(11, 0.0001, 10.0), (12, 190.0, 89.9999), (13, 50.0, 3 / 3600), (14, 50.0, -3 / 3600), (15, 300.0, -89.99999)], "star_id long, ra double, dec double")
