@@ -1,4 +1,4 @@
-"""spark-submit photospark/cli.py clean|stats|find-variables|combine|export IN OUT ...: photometry tables in, Parquet out."""
+"""python -m photospark.cli clean|stats|find-variables|combine|export IN OUT ...: photometry tables in, Parquet out."""
 
 from __future__ import annotations
 

@@ -274,3 +274,15 @@ def test_neighbour_blocks_grow_with_the_table(spark, monkeypatch):
     stars = of(spark, 9001).select(F.col("id").alias("star_id"), F.col("id").cast("double").alias("x"))
     ml.neighbours(stars, ["x"], 2)
     assert asked == [19]
+
+
+def test_command_line(spark, sf, tmp_path):
+    from photospark import cli
+    from photospark.sources import views
+
+    source = str(tmp_path / "phot")
+    views.phot_survey(spark, sf).where("star_id < 5").write.parquet(source)
+    for command in ("stats", "export", "find-variables"):
+        target = str(tmp_path / command)
+        cli.main([command, source, target, "--min-amplitude", "0", "--min-chi2", "0"])
+        assert spark.read.parquet(target).count() > 0
