@@ -17,34 +17,50 @@ from photospark.llm.common import portions
 
 
 class SuffixAutomaton:
-    """Tokens that end at a place, longest first: states are the distinct beginnings of reversed tokens, walked backwards from the place."""
+    """Tokens that end at each place of some bytes, longest first, in one pass forwards.
+
+    A state is a beginning of tokens; its suffix link is its longest proper end that is a state too, its output link the longest proper end that is a
+    token. ``found`` is the state itself if it is a token, else its output link; 0, the empty beginning, ends every list."""
 
     def __init__(self, vocab: Vocabulary):
-        self.steps: list[dict[int, int]] = [{}]
-        self.token: list[int] = [-1]
+        self.step: dict[int, int] = {}  # state * 256 + byte -> state
+        self.token, self.length = [-1], [0]
+        grown = [(0, 0)]  # of each state: the state before it, and the byte between
         for data, i in vocab.id_of.items():
             state = 0
-            for b in reversed(data):
-                at = self.steps[state].get(b)
-                if at is None:
-                    at = len(self.steps)
-                    self.steps.append({})
+            for b in data:
+                at = self.step.setdefault(state << 8 | b, len(grown))
+                if at == len(grown):
+                    grown.append((state, b))
                     self.token.append(-1)
-                    self.steps[state][b] = at
+                    self.length.append(self.length[state] + 1)
                 state = at
             self.token[state] = i
-
-    def ending_at(self, data: bytes, end: int) -> list[tuple[int, int]]:
-        """(start, token) of every token that data[:end] ends with, longest first."""
-        state, found, steps, token = 0, [], self.steps, self.token
-        for i in range(end - 1, -1, -1):
-            state = steps[state].get(data[i])
-            if state is None:
-                break
-            if token[state] >= 0:
-                found.append((i, token[state]))
-        found.reverse()
-        return found
+        self.link, self.shorter, self.found = [0] * len(grown), [0] * len(grown), [0] * len(grown)
+        for state in sorted(range(1, len(grown)), key=self.length.__getitem__):  # links lead to shorter states
+            before, b = grown[state]
+            self.link[state] = link = self.follow(self.link[before], b) if before else 0
+            self.shorter[state] = self.found[link]
+            self.found[state] = state if self.token[state] >= 0 else self.found[link]
+
+    def follow(self, state: int, b: int) -> int:
+        """The longest end of the state's bytes and ``b`` that is a state."""
+        while (at := self.step.get(state << 8 | b)) is None:
+            if not state:
+                return 0
+            state = self.link[state]
+        return at
+
+    def endings(self, data: bytes) -> Iterator[list[tuple[int, int]]]:
+        """At each place, (length, token) of every token that the bytes so far end with, longest first."""
+        state = 0
+        for b in data:
+            state = self.follow(state, b)
+            at, own = self.found[state], []
+            while at:
+                own.append((self.length[at], self.token[at]))
+                at = self.shorter[at]
+            yield own
 
 
 class Encoder:
@@ -81,8 +97,9 @@ class Encoder:
 
     def encode(self, data: bytes) -> list[int]:
         last: list[tuple[int, int]] = [(-1, -1)]  # of each prefix: start and id of its last token
-        for end in range(1, len(data) + 1):
-            for start, token in self.automaton.ending_at(data, end):
+        for end, own in enumerate(self.automaton.endings(data), 1):
+            for length, token in own:
+                start = end - length
                 if not start or self.compatible(last[start][1], token):
                     last.append((start, token))
                     break

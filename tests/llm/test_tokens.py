@@ -87,6 +87,15 @@ def test_codec(odd_docs, odd_texts, tokenizer, library):
     assert sorted(map(tuple, back.collect()), key=str) == sorted(((i, t or "") for i, t in odd_texts), key=str)
 
 
+def test_automaton_finds_every_ending(tokenizer):
+    vocab = vocabulary(tokenizer)
+    automaton = bpe_codec.SuffixAutomaton(vocab)
+    for text in ["", " the international", "aaaaaaaaaaaaaaaaaaaa", "日本 é²", thue_morse("e", "r", 64), *strange(200)]:
+        data = text.encode()
+        want = [[(n, vocab.id_of[data[end - n : end]]) for n in range(end, 0, -1) if data[end - n : end] in vocab.id_of] for end in range(1, len(data) + 1)]
+        assert [*automaton.endings(data)] == want
+
+
 def test_no_documents(no_docs, tokenizer):
     assert token_counts.token_counts(no_docs, tokenizer).count() == 0
     assert bpe_codec.codec_digests(no_docs, tokenizer).count() == 0
