@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -11,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from photospark.functions.stats import finite, pct, ratio
+from photospark.sources.io import shared_dir
 
 
 def impute(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -97,9 +96,9 @@ def dbscan(df: DataFrame, columns: list[str], eps: float, least: int = 5) -> Dat
     d2 = sum(((F.col(c) - F.col(f"o_{c}")) * (F.col(c) - F.col(f"o_{c}")) for c in columns), F.lit(0.0))
     links = left.join(right, [f"cell_{c}" for c in two]).where(F.sqrt(d2) <= eps).select("star_id", "o")
     core = links.groupBy("star_id").count().where(F.col("count") >= least).select("star_id")
-    edges = links.join(core.withColumnRenamed("star_id", "o"), "o").cache()
     if not df.sparkSession.sparkContext.getCheckpointDir():
-        df.sparkSession.sparkContext.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="photospark-"))
+        df.sparkSession.sparkContext.setCheckpointDir(shared_dir(df.sparkSession))
+    edges = links.join(core.withColumnRenamed("star_id", "o"), "o").checkpoint()
     label = core.withColumn("label", F.col("star_id"))
     seen = None
     while True:

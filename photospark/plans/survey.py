@@ -257,9 +257,10 @@ def _(spark, d):
     """The photometry written as files, taken in as a stream in two runs, and summed up."""
     import uuid
 
+    from photospark.sources.io import shared_dir
     from photospark.streaming.ingest import ingest
 
-    root = (spark.conf.get("spark.checkpoint.dir", None) or _local(spark)).rstrip("/") + f"/stream-{uuid.uuid4().hex}"
+    root = shared_dir(spark) + f"/stream-{uuid.uuid4().hex}"
     p = views.phot_events(spark, d)
     for part in (0, 1):
         p.where(F.col("row") % 2 == part).write.mode("append").parquet(f"{root}/source")
@@ -267,14 +268,6 @@ def _(spark, d):
     return spark.read.schema(p.schema).parquet(f"{root}/target").groupBy("star_id").agg(F.count("*").alias("n_points"), F.avg("flux").alias("mean_flux"))
 
 
-def _local(spark) -> str:
-    import tempfile
-
-    at = "file://" + tempfile.mkdtemp(prefix="photospark-")
-    spark.conf.set("spark.checkpoint.dir", at)
-    return at
-
-
 @query("archive_urls", "filename url", Q.with_p(f", f AS (SELECT DISTINCT epoch, printf('ffic_%05d.fits', epoch) AS filename FROM p) SELECT filename, printf('https://archive.example.org/s%04d/%d-%d/%s', 70, 1, 2, filename) AS url FROM f"))
 def _(spark, d):
     files = views.phot_events(spark, d).select(F.lit(70).alias("sector"), F.lit(1).alias("camera"), F.lit(2).alias("ccd"), F.format_string("ffic_%05d.fits", "epoch").alias("filename")).distinct()

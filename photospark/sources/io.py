@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +11,22 @@ from photospark import schema as S
 from photospark.functions.stats import finite
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, a local master (tests) gets a new local folder; a cluster, whose
+    executors don't see the driver's folders, an error."""
+    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not at:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        at = _LOCAL.setdefault(spark.sparkContext.applicationId, "file://" + tempfile.mkdtemp(prefix="photospark-"))
+    return at.rstrip("/")
+
+
+#: By application, the folder of local sessions without a setting.
+_LOCAL: dict[str, str] = {}
+
+
 def normalize_photometry(df: DataFrame) -> DataFrame:
     """Columns under their common names: flux_raw and flux_err to flux and flux_error, quality_flag to quality, btjd from mjd where it is missing; NaN and
     infinities as null."""

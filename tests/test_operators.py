@@ -262,6 +262,20 @@ def test_readers_and_sinks(spark, odd, tmp_path):
     assert io.read_photometry(spark, f"{at}/phot", 70).count() == odd.count() and io.read_photometry(spark, f"{at}/phot", 71).count() == 0
 
 
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    def session(master, at=None):
+        conf = SimpleNamespace(get=lambda k, default=None: at)
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master, applicationId=master, getConf=lambda: conf))
+
+    assert io.shared_dir(session("yarn", "hdfs://x/y/")) == "hdfs://x/y"
+    assert io.shared_dir(session("local[2]")) == io.shared_dir(session("local[2]"))
+    for master in ("yarn", "spark://x:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            io.shared_dir(session(master))
+
+
 def test_dbscan_of_a_long_chain(spark):
     stars = spark.createDataFrame([(i, 0.9 * i, 0.0) for i in range(150)] + [(500, 0.0, 50.0)], "star_id long, x double, y double")
     got = {r.star_id: r.cluster for r in ml.dbscan(stars, ["x", "y"], 1.0, 2).collect()}
