@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from photospark.llm import bpe_codec, class_lm, embedding_join, license_scans, minhash, packing, passages, quality_rules, token_counts, warc
+from photospark.llm import bpe_codec, class_lm, embedding_join, hard_negatives, license_scans, minhash, packing, passages, quality_rules, token_counts, url_filters, warc, whitening
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,10 +61,23 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(hard_negatives.shifted_labels(_table(spark, sf_dir, "embeddings")))
+
+
+def op13_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filters.url_filter(_table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_embedding_near_dedup, op2_token_counts, op3_best_fit_packing, op4_bpe_codec, op5_quality_rules, op6_repeated_passages, op7_warc, op8_license_scans, op9_class_lm, op10_minhash_near_dedup
+        op1_embedding_near_dedup, op2_token_counts, op3_best_fit_packing, op4_bpe_codec, op5_quality_rules, op6_repeated_passages, op7_warc, op8_license_scans, op9_class_lm, op10_minhash_near_dedup,
+        op11_whitening, op12_hard_negatives, op13_url_filters,
     )
 }
-ORACLES: dict[str, str] = {"op1_embedding_near_dedup": embedding_join.SQL, "op5_quality_rules": quality_rules.SQL}
+ORACLES: dict[str, str] = {"op1_embedding_near_dedup": embedding_join.SQL, "op5_quality_rules": quality_rules.SQL, "op12_hard_negatives": hard_negatives.SQL}
