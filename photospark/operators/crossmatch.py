@@ -128,14 +128,13 @@ def neighbours(stars: DataFrame, radius: float = 6.0, inner: float = 4.0) -> Dat
     )
 
 
-def sky_grid(spark, ra: float, dec: float, n: int, pixels: int = 99, overlap: int = 5) -> DataFrame:
-    """Centres of an n by n grid of cutouts around a position; right ascension steps widen with 1 / cos(dec)."""
+def sky_grid(stars: DataFrame, n: int, pixels: int = 99, overlap: int = 5) -> DataFrame:
+    """Centres of an n by n grid of cutouts around each star (star_id, ra, dec); right ascension steps widen with 1 / cos(dec)."""
     step = (pixels - overlap) * S.ARCSEC_PER_PIXEL / 3600.0
-    i = spark.range(n).select(F.col("id").cast("int").alias("i"))
-    j = spark.range(n).select(F.col("id").cast("int").alias("j"))
+    places = F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    grid = stars.select("star_id", "ra", "dec", places.alias("i")).withColumn("j", places)
     off = lambda c: (F.col(c) - F.lit((n - 1) / 2.0)) * F.lit(step)
-    grid = i.crossJoin(F.broadcast(j))  # n * n rows of positions
-    return grid.select("i", "j", F.pmod(F.lit(ra) + off("i") / F.lit(math.cos(math.radians(dec))), F.lit(360.0)).alias("ra"), (F.lit(dec) + off("j")).alias("dec"))
+    return grid.select("star_id", "i", "j", F.pmod(F.col("ra") + off("i") / F.cos(F.radians("dec")), F.lit(360.0)).alias("ra"), (F.col("dec") + off("j")).alias("dec"))
 
 
 def separation_summary(matches: DataFrame) -> DataFrame:
@@ -150,8 +149,6 @@ def mutual_nearest(left: DataFrame, right: DataFrame, tol_arcsec: float) -> Data
     return a.join(b, ["star_id", "match_id"])
 
 
-
-
 def closest_source(sources: DataFrame, x: float, y: float) -> DataFrame:
     """The source (star_id, x, y) nearest to a pixel, with its distance, as one row."""
     return sources.withColumn("distance", F.hypot(F.col("x") - x, F.col("y") - y)).orderBy("distance", "star_id").limit(1)

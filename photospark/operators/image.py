@@ -216,13 +216,11 @@ def fits_metadata(files: DataFrame) -> DataFrame:
     return files.select("path", "content").mapInPandas(run, META)
 
 
-def orbit_positions(spark, days: int, step_hours: float = 6.0, iterations: int = 10) -> DataFrame:
-    """(t, x, y, distance) of a body on an eccentric orbit of 13.7 days (perigee 17, apogee 59 Earth radii) by Kepler's equation, and the Moon's distance from it
-    on a circle of 27.3 days; all in km."""
+def orbit_positions(times: DataFrame, iterations: int = 10) -> DataFrame:
+    """(t, x, y, distance) at the times (t, in days) of a body on an eccentric orbit of 13.7 days (perigee 17, apogee 59 Earth radii) by Kepler's equation, and
+    the Moon's distance from it on a circle of 27.3 days; all in km."""
     a, e = (17 + 59) / 2 * 6371.0, (59 - 17) / (59 + 17)
-    n = int(days * 24 / step_hours)
-    df = spark.range(n).select((F.col("id") * F.lit(step_hours / 24.0)).alias("t"))
-    df = df.withColumn("m", F.pmod(F.lit(2 * math.pi / 13.7) * F.col("t"), F.lit(2 * math.pi))).withColumn("ecc", F.col("m"))
+    df = times.select("t").withColumn("m", F.pmod(F.lit(2 * math.pi / 13.7) * F.col("t"), F.lit(2 * math.pi))).withColumn("ecc", F.col("m"))
     for _ in range(iterations):
         df = df.withColumn("ecc", F.col("ecc") - (F.col("ecc") - e * F.sin("ecc") - F.col("m")) / (1 - e * F.cos("ecc")))
     df = df.withColumns({"x": a * (F.cos("ecc") - e), "y": a * math.sqrt(1 - e * e) * F.sin("ecc")})

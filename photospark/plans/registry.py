@@ -34,4 +34,4 @@ def query(name: str, columns: str, sql: str | None = None) -> Callable[[Query],
     return add
 
 
-from photospark.plans import cleaning, core, spatial, survey, transforms  # noqa: E402, F401
+from photospark.plans import cleaning, core, pixels, spatial, survey, transforms  # noqa: E402, F401

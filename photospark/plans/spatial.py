@@ -90,10 +90,10 @@ def _(spark, d):
     return X.nearest_planar(_a(spark, d), 120.5, -10.25)
 
 
-@query("sky_grid", "i j ra* dec*",
-       "SELECT CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j, (359.0 + (i - 2) * (94 * 21.0 / 3600) / cos(radians(66.56))) - 360 * floor((359.0 + (i - 2) * (94 * 21.0 / 3600) / cos(radians(66.56))) / 360) AS ra, 66.56 + (j - 2) * (94 * 21.0 / 3600) AS dec FROM (SELECT unnest(range(5)) AS i) CROSS JOIN (SELECT unnest(range(5)) AS j)")
+@query("sky_grid", "star_id i j ra* dec*",
+       f"WITH a AS ({Q.SKY_A}), g AS (SELECT star_id, dec, CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j, ra + (i - 2) * (94 * 21.0 / 3600) / cos(radians(dec)) AS r FROM a CROSS JOIN (SELECT unnest(range(5)) AS i) CROSS JOIN (SELECT unnest(range(5)) AS j)) SELECT star_id, i, j, r - 360 * floor(r / 360) AS ra, dec + (j - 2) * (94 * 21.0 / 3600) AS dec FROM g")
 def _(spark, d):
-    return X.sky_grid(spark, 359.0, 66.56, 5)
+    return X.sky_grid(_a(spark, d), 5)
 
 
 @query("separation_summary", "match_quality n median_sep* max_sep*",

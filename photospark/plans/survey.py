@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from photospark.functions.stats import finite
 from photospark.operators import coverage as C
 from photospark.operators import image as I
 from photospark.operators import ml as M
@@ -176,46 +177,44 @@ def _(spark, d):
     return M.principal_components(_feat(spark, d), _F)
 
 
-# Pixel table: four images of 48 x 48 from a formula, with bright spots.
-_PIXELS = """SELECT CAST(i AS INTEGER) AS image, CAST(x AS DOUBLE) AS x, CAST(y AS DOUBLE) AS y, 10.0 + ((x * 7 + y * 13 + i * 5) % 11) * 0.1 + CASE WHEN (x - 20) * (x - 20) + (y - 24) * (y - 24) <= 4 THEN 100.0 + i ELSE 0 END AS value
-FROM (SELECT unnest(range(4)) AS i) CROSS JOIN (SELECT unnest(range(48)) AS x) CROSS JOIN (SELECT unnest(range(48)) AS y)"""
-_SPOTS = "(SELECT * FROM (VALUES (1, 20.0, 24.0), (2, 30.5, 10.25), (3, 3.0, 40.0)) v(star_id, x, y))"
+_PIXELS = Q.FRAMES
+#: Stars of the pixel queries: suppliers, in the frame and around it.
+_SPOTS = "(SELECT s_suppkey AS star_id, s_suppkey * 7 % 540 / CAST(10.0 AS DOUBLE) - CAST(1.9629 AS DOUBLE) AS x, s_suppkey * 11 % 440 / CAST(10.0 AS DOUBLE) - CAST(1.9783 AS DOUBLE) AS y FROM supplier)"
 
 
-def _pixels(spark):
-    r = spark.range(4 * 48 * 48)
-    i, x, y = F.floor(F.col("id") / 2304), F.floor(F.col("id") / 48) % 48, F.col("id") % 48
-    spot = F.when((x - 20) * (x - 20) + (y - 24) * (y - 24) <= 4, 100.0 + i).otherwise(0.0)
-    return r.select(i.cast("int").alias("image"), x.cast("double").alias("x"), y.cast("double").alias("y"), (10.0 + ((x * 7 + y * 13 + i * 5) % 11) * F.lit(0.1) + spot).alias("value"))
+def _pixels(spark, d):
+    return views.frames(spark, d)
 
 
-def _spots(spark):
-    return spark.createDataFrame([(1, 20.0, 24.0), (2, 30.5, 10.25), (3, 3.0, 40.0)], "star_id int, x double, y double")
+def _spots(spark, d):
+    k = F.col("s_suppkey")
+    return views.table(spark, d, "supplier").select(k.alias("star_id"), (k * 7 % 540 / F.lit(10.0) - 1.9629).alias("x"), (k * 11 % 440 / F.lit(10.0) - 1.9783).alias("y"))
 
 
 _APERTURE = f"""WITH p AS ({_PIXELS}), s AS (SELECT star_id, CAST(x AS DOUBLE) AS x, CAST(y AS DOUBLE) AS y FROM {_SPOTS}), j AS (SELECT image, star_id, value, sqrt((p.x-s.x)**2 + (p.y-s.y)**2) AS d FROM p CROSS JOIN s),
-g AS (SELECT image, star_id, CAST(count(*) FILTER (WHERE d <= 3) AS BIGINT) AS n_pixels, sum(value) FILTER (WHERE d <= 3) AS total, avg(value) FILTER (WHERE d >= 5 AND d <= 8) AS background FROM j GROUP BY image, star_id),
-a AS (SELECT g.*, total - background * pi() * 9 AS net, CASE WHEN total - background * pi() * 9 < 0 THEN 2 WHEN least(x, y) < 6 OR greatest(x, y) > 48 - 6 THEN 1 ELSE 0 END AS quality FROM g JOIN s ON g.star_id = s.star_id)"""
+g AS (SELECT image, star_id, CAST(count(value) FILTER (WHERE d <= 3) AS BIGINT) AS n_pixels, sum(value) FILTER (WHERE d <= 3) AS total, avg(value) FILTER (WHERE d >= 5 AND d <= 8) AS background FROM j GROUP BY image, star_id),
+n AS (SELECT g.*, x, y, total - coalesce(background, 0) * pi() * 9 AS net FROM g JOIN s ON g.star_id = s.star_id),
+a AS (SELECT *, CASE WHEN x < 0 OR y < 0 OR x >= 48 OR y >= 48 THEN 3 WHEN net < 0 THEN 2 WHEN least(x, y) < 6 OR greatest(x, y) > 48 - 6 THEN 1 ELSE 0 END AS quality FROM n)"""
 
 
 @query("aperture_center", "image star_id n_pixels background* net* flux* quality", f"{_APERTURE} SELECT *, net / 2 AS flux FROM a")
 def _(spark, d):
-    return I.aperture_flux(_pixels(spark), _spots(spark), exposure=2.0, edge=48.0)
+    return I.aperture_flux(_pixels(spark, d), _spots(spark, d), exposure=2.0, edge=48.0)
 
 
 @query("ccd_error", "image star_id error* legacy* cutout*",
        f"{_APERTURE} SELECT image, star_id, sqrt(abs(net)/5.2 + n_pixels*pi()*background/5.2 + n_pixels*pi()*(0.3/5.2)*(0.3/5.2))/2 AS error, CASE WHEN net/5.2 + n_pixels*pi()*background/5.2 + n_pixels*pi()*(0.3/5.2)*(0.3/5.2) >= 0 THEN sqrt(net/5.2 + n_pixels*pi()*background/5.2 + n_pixels*pi()*(0.3/5.2)*(0.3/5.2))/2 END AS legacy, sqrt(abs(net) + 28*background + 28*0.09) AS cutout FROM a")
 def _(spark, d):
-    a = I.aperture_flux(_pixels(spark), _spots(spark), edge=48.0)
+    a = I.aperture_flux(_pixels(spark, d), _spots(spark, d), edge=48.0)
     c = [F.col("net"), F.col("background"), F.lit(0.3), F.col("n_pixels")]
     return a.select("image", "star_id", I.ccd_error(*c, exposure=2.0).alias("error"), I.legacy_error(*c, exposure=2.0).alias("legacy"), I.cutout_error(*c[:3], F.lit(28)).alias("cutout"))
 
 
 @query("centroid", "image star_id x_centroid* y_centroid*",
-       f"""WITH p AS ({_PIXELS}), s AS (SELECT star_id, CAST(x AS DOUBLE) AS x, CAST(y AS DOUBLE) AS y FROM {_SPOTS} WHERE star_id <> 2), b AS (SELECT image, star_id, p.x, p.y, value, s.x AS sx, s.y AS sy FROM p JOIN s ON abs(p.x - s.x) <= 4 AND abs(p.y - s.y) <= 4),
+       f"""WITH p AS ({_PIXELS}), s AS (SELECT star_id, CAST(x AS DOUBLE) AS x, CAST(y AS DOUBLE) AS y FROM {_SPOTS}), b AS (SELECT image, star_id, p.x, p.y, value, s.x AS sx, s.y AS sy FROM p JOIN s ON abs(p.x - round(s.x)) <= 4 AND abs(p.y - round(s.y)) <= 4),
        m AS (SELECT *, greatest(value - median(value) OVER (PARTITION BY image, star_id), 0) AS w FROM b) SELECT image, star_id, CASE WHEN sum(w) > 0 THEN sum(w*x)/sum(w) ELSE max(sx) END AS x_centroid, CASE WHEN sum(w) > 0 THEN sum(w*y)/sum(w) ELSE max(sy) END AS y_centroid FROM m GROUP BY image, star_id""")
 def _(spark, d):
-    return I.centroids(_pixels(spark), _spots(spark).where("star_id <> 2"))
+    return I.centroids(_pixels(spark, d), _spots(spark, d))
 
 
 _GROWTH = f"WITH p AS ({_PIXELS}), c AS (SELECT image, CAST(radius AS INTEGER) AS radius, sum(value) AS total FROM p CROSS JOIN (SELECT unnest(range(1, 10)) AS radius) WHERE sqrt((x-20)**2 + (y-24)**2) <= radius GROUP BY image, radius)"
@@ -223,33 +222,34 @@ _GROWTH = f"WITH p AS ({_PIXELS}), c AS (SELECT image, CAST(radius AS INTEGER) A
 
 @query("curve_growth", "image radius total*", f"{_GROWTH} SELECT * FROM c")
 def _(spark, d):
-    return I.curve_of_growth(_pixels(spark), 20.0, 24.0)
+    return I.curve_of_growth(_pixels(spark, d), 20.0, 24.0)
 
 
 @query("optimal_radius", "image radius", f"{_GROWTH}, s AS (SELECT *, lead(total) OVER (PARTITION BY image ORDER BY radius) - total AS step FROM c) SELECT image, arg_min(radius, {{'s': step, 'r': radius}}) AS radius FROM s WHERE step IS NOT NULL GROUP BY image")
 def _(spark, d):
-    return I.optimal_radius(I.curve_of_growth(_pixels(spark), 20.0, 24.0))
+    return I.optimal_radius(I.curve_of_growth(_pixels(spark, d), 20.0, 24.0))
 
 
 @query("median_frame", "y* x* value*", f"WITH p AS ({_PIXELS}) SELECT y, x, median(CAST(value AS DOUBLE)) AS value FROM p GROUP BY y, x")
 def _(spark, d):
-    return I.median_frame(_pixels(spark))
+    return I.median_frame(_pixels(spark, d))
 
 
 _KSTEPS = "".join(f", k{i} AS (SELECT t, m, e - (e - 42.0 / 76 * sin(e) - m) / (1 - 42.0 / 76 * cos(e)) AS e FROM {'k0' if i == 1 else f'k{i - 1}'})" for i in range(1, 11))
 
 
 @query("orbit_sim", "t* x* y* distance* moon_distance*",
-       f"""WITH a AS (SELECT CAST(i AS DOUBLE) * 0.25 AS t FROM (SELECT unnest(range(120)) AS i)), k0 AS (SELECT t, 2*pi()/13.7*t - 2*pi() * floor(t / 13.7) AS m, 2*pi()/13.7*t - 2*pi() * floor(t / 13.7) AS e FROM a){_KSTEPS},
+       f"""WITH a AS (SELECT DISTINCT CAST(epoch AS DOUBLE) * CAST(0.25 AS DOUBLE) AS t FROM ({Q.PHOT_E})), k0 AS (SELECT t, 2*pi()/13.7*t - 2*pi() * floor(t / 13.7) AS m, 2*pi()/13.7*t - 2*pi() * floor(t / 13.7) AS e FROM a){_KSTEPS},
        o AS (SELECT t, 38 * 6371.0 * (cos(e) - 42.0 / 76) AS x, 38 * 6371.0 * sqrt(1 - (42.0/76) * (42.0/76)) * sin(e) AS y FROM k10) SELECT *, sqrt(x*x + y*y) AS distance, sqrt((x - 384400.0*cos(2*pi()/27.3*t))**2 + (y - 384400.0*sin(2*pi()/27.3*t))**2) AS moon_distance FROM o""")
 def _(spark, d):
-    return I.orbit_positions(spark, 30)
+    return I.orbit_positions(views.phot_events(spark, d).select((F.col("epoch").cast("double") * 0.25).alias("t")).distinct())
 
 
 @query("star_detection", "image star_id x* y*")
 def _(spark, d):
-    images = _pixels(spark).groupBy("image").agg(F.array_sort(F.collect_list(F.struct("y", "x", "value"))).alias("s"))
-    return I.detect(images.select(F.col("image").cast("string").alias("image"), F.lit(48).alias("height"), F.lit(48).alias("width"), F.col("s.value").alias("values")))
+    whole = _pixels(spark, d).withColumn("value", F.coalesce(finite("value"), F.lit(10.0)))
+    images = whole.groupBy("image").agg(F.array_sort(F.collect_list(F.struct("y", "x", "value"))).alias("s"))
+    return I.detect(images.select(F.col("image").cast("string").alias("image"), F.lit(views.FRAME_HEIGHT).alias("height"), F.lit(views.FRAME_WIDTH).alias("width"), F.col("s.value").alias("values")))
 
 
 @query("stream_ingest", "star_id n_points mean_flux*", Q.with_p("SELECT star_id, count(*) AS n_points, avg(flux) AS mean_flux FROM p GROUP BY star_id"))

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from photospark.operators.wcs import tangent_wcs
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -67,3 +69,33 @@ def sky(spark: SparkSession, sf_dir: str, second: bool = False) -> DataFrame:
 
 def features(spark: SparkSession, sf_dir: str, n: int = 8) -> DataFrame:
     return table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("star_id"), *[F.element_at("embedding", i + 1).cast("double").alias(f"f{i + 1}") for i in range(n)])
+
+
+#: Frames of events: width, height, and degrees a pixel of their fields.
+FRAME_WIDTH, FRAME_HEIGHT, PIXEL = 50, 40, 21.0 / 3600
+
+
+def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pixels (image, x, y, value) from events by number: frames of 50 by 40, a bright spot in each, noise from the values, and some pixels null or NaN."""
+    n = F.col("event_id")
+    x, y = n % FRAME_WIDTH, F.expr(f"event_id div {FRAME_WIDTH}") % FRAME_HEIGHT
+    image = F.expr(f"event_id div {FRAME_WIDTH * FRAME_HEIGHT}")
+    spot = F.when((x - 20) * (x - 20) + (y - 24) * (y - 24) <= 4, 100.0 + image).otherwise(0.0)
+    value = F.when(n % 1499 == 7, float("nan")).when(n % 997 != 5, F.lit(10.0) + F.col("value") * F.lit(0.1) + spot)
+    return table(spark, sf_dir, "events").select(image.cast("int").alias("image"), x.cast("double").alias("x"), y.cast("double").alias("y"), value.alias("value"))
+
+
+def frame_wcs(image: Column, x: float, y: float, a: list[float], b: list[float]) -> Column:
+    """The WCS of a frame, which drifts from frame to frame; every seventh has none."""
+    return F.when(image % 7 != 3, tangent_wcs(F.lit(120.0) + image * F.lit(0.001), F.lit(30.0) - image * F.lit(0.0005), x, y, PIXEL, a, b))
+
+
+def field_stars(spark: SparkSession, sf_dir: str, name: str, key: str, across: float, x: float, y: float) -> DataFrame:
+    """Stars of a table in a field of ``across`` pixels about (120, 30), with reference places; some without a position, some without a reference place."""
+    k = F.col(key)
+    frac = lambda v: v - F.floor(v)
+    east, north = frac(k * F.lit(0.6180339887498949)) - 0.5, frac(k * F.lit(0.7548776662466927)) - 0.5
+    ra, dec = F.lit(120.0) - east * F.lit(across * PIXEL) / F.lit(0.8660254037844387), F.lit(30.0) + north * F.lit(across * PIXEL)
+    return table(spark, sf_dir, name).select(
+        k.alias("star_id"), F.lit(1).alias("field"), F.when(k % 10 != 4, ra).alias("ra"), F.when(k % 21 != 9, dec).alias("dec"), F.when(k % 15 != 2, east * across + x).alias("ref_x"), F.when(k % 15 != 2, north * across + y).alias("ref_y")
+    )
