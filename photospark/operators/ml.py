@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from photospark.functions.stats import finite, pct, ratio
-from photospark.sources.io import shared_dir
+from photospark.operators.knn import neighbours
+from photospark.sources.io import shared_dir, stage
 
 
 def impute(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -46,43 +47,21 @@ def mahalanobis(df: DataFrame, columns: list[str], ridge: float = 1e-6, percenti
     return out.crossJoin(F.broadcast(limit)).withColumn("is_outlier", F.col("distance") > F.col("limit")).drop("limit")
 
 
-def neighbours(df: DataFrame, columns: list[str], k: int, block_rows: int = 500) -> DataFrame:
-    """(star_id, other, distance, rank): the k nearest other rows, ties by id. Exact: all pairs, block by block, with numpy inside the tasks; each task
-    holds two blocks and gives k rows for each of its first, so nothing of size n * n is shuffled. The number of blocks grows with the table."""
-    spark = df.sparkSession
-    blocks = max(1, -(-df.count() // block_rows))
-    rows = df.select("star_id", F.array(*[F.col(c).cast("double") for c in columns]).alias("v")).withColumn("b", F.pmod(F.xxhash64("star_id"), F.lit(blocks)).cast("int"))
-    other = spark.range(blocks).select(F.col("id").cast("int").alias("o"))
-    left = rows.crossJoin(F.broadcast(other)).select(F.col("b").alias("i"), F.col("o").alias("j"), F.lit(0).alias("side"), "star_id", "v")
-    right = rows.crossJoin(F.broadcast(other)).select(F.col("o").alias("i"), F.col("b").alias("j"), F.lit(1).alias("side"), "star_id", "v")
-
-    def near(pdf: pd.DataFrame) -> pd.DataFrame:
-        a, b = pdf[pdf.side == 0], pdf[pdf.side == 1].sort_values("star_id")
-        if a.empty or b.empty:
-            return pd.DataFrame({"star_id": [], "other": [], "distance": []})
-        x, y, ids, own = np.stack(a.v), np.stack(b.v), b.star_id.to_numpy(), a.star_id.to_numpy()
-        out = []
-        for s in range(0, len(x), 256):
-            d = np.sqrt(((x[s : s + 256, None, :] - y[None, :, :]) ** 2).sum(-1))
-            d[own[s : s + 256, None] == ids[None, :]] = np.inf
-            order = np.argsort(np.round(d, 12), axis=1, kind="stable")[:, :k]
-            out.append(pd.DataFrame({"star_id": np.repeat(own[s : s + 256], order.shape[1]), "other": ids[order].ravel(), "distance": np.take_along_axis(d, order, 1).ravel()}))
-        return pd.concat(out).query("distance < inf")
-
-    got = left.union(right).groupBy("i", "j").applyInPandas(near, "star_id long, other long, distance double")
-    rank = F.row_number().over(Window.partitionBy("star_id").orderBy(F.round("distance", 12), "other"))
-    return got.withColumn("rank", rank).where(F.col("rank") <= k)
-
-
 def local_outlier_factor(df: DataFrame, columns: list[str], k: int = 20) -> DataFrame:
     """(star_id, lof): mean over the k neighbours of their reachability density over the own one."""
-    n = neighbours(df, columns, k)
+    n = stage(neighbours(df, columns, k), "neighbours")
     reach = n.where(F.col("rank") == k).select(F.col("star_id").alias("other"), F.col("distance").alias("k_distance"))
     density = n.join(reach, "other").groupBy("star_id").agg(ratio(F.lit(1.0), F.avg(F.greatest("distance", "k_distance")) + 1e-10).alias("lrd"))
     both = n.join(density.withColumnsRenamed({"star_id": "other", "lrd": "other_lrd"}), "other").join(density, "star_id")
     return both.groupBy("star_id").agg((F.avg("other_lrd") / F.max("lrd")).alias("lof"))
 
 
+def reach_of(df: DataFrame, columns: list[str], k: int = 5, share: float = 0.9) -> float:
+    """The ``share`` percentile of the rows' distance to their k-th neighbour, counting themselves: a radius for ``dbscan``."""
+    far = neighbours(df, columns, k - 1).where(F.col("rank") == k - 1)
+    return far.agg(pct("distance", share)).first()[0]
+
+
 def dbscan(df: DataFrame, columns: list[str], eps: float, least: int = 5) -> DataFrame:
     """(star_id, cluster): the smallest core id of the cluster, null for noise. Links within ``eps`` come from cells of that width in the first two columns;
     a point counts itself; border points go to the smallest core cluster. Labels spread along links, and each

@@ -123,13 +123,13 @@ def _(spark, d):
     return M.mahalanobis(_feat(spark, d), ["f1", "f2"])
 
 
-_NN = f"""WITH t AS ({Q.FEAT}), d AS (SELECT a.star_id, b.star_id AS o, sqrt({' + '.join(f'(a.{c}-b.{c})*(a.{c}-b.{c})' for c in _F[:4])}) AS distance FROM t a JOIN t b ON a.star_id <> b.star_id),
-n AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY star_id ORDER BY round(distance, 12), o) AS rank FROM d) WHERE rank <= 10), k AS (SELECT star_id, distance AS kd FROM n WHERE rank = 10),
+_NN = f"""WITH t AS ({Q.FEAT}), d AS (SELECT a.star_id, b.star_id AS o, sqrt({' + '.join(f'(a.{c}-b.{c})*(a.{c}-b.{c})' for c in _F)}) AS distance FROM t a JOIN t b ON a.star_id <> b.star_id),
+n AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY star_id ORDER BY round(distance, 12), o) AS rank FROM d) WHERE rank <= 20), k AS (SELECT star_id, distance AS kd FROM n WHERE rank = 20),
 r AS (SELECT n.star_id, 1 / (avg(greatest(distance, kd)) + 1e-10) AS lrd FROM n JOIN k ON n.o = k.star_id GROUP BY n.star_id), l AS (SELECT n.star_id, avg(r2.lrd) / max(r1.lrd) AS lof FROM n JOIN r r1 ON n.star_id = r1.star_id JOIN r r2 ON n.o = r2.star_id GROUP BY n.star_id)"""
 
 
 def _lof(spark, d):
-    return M.local_outlier_factor(_feat(spark, d), _F[:4], 10)
+    return M.local_outlier_factor(_feat(spark, d), _F, 20)
 
 
 @query("lof", "star_id lof*", f"{_NN} SELECT * FROM l")
@@ -146,6 +146,14 @@ def _(spark, d):
     return M.combined_rank(M.mahalanobis(_feat(spark, d), ["f1", "f2"]).select("star_id", "distance").join(_lof(spark, d), "star_id"), ["distance", "lof"])
 
 
+@query("combined_rank_all", "star_id combined*")
+def _(spark, d):
+    """Distance, neighbour density and isolation together."""
+    df = _feat(spark, d)
+    scores = M.mahalanobis(df, ["f1", "f2"]).select("star_id", "distance").join(_lof(spark, d), "star_id").join(M.isolation_scores(df, _F).select("star_id", "score"), "star_id")
+    return M.combined_rank(scores, ["distance", "lof", "score"])
+
+
 @query("votes_rank", "star_id votes is_strong",
        f"{_NN}{_MAHA} SELECT star_id, v AS votes, v >= 2 AS is_strong FROM (SELECT star_id, CAST(distance > pd AS INT) + CAST(lof > pl AS INT) AS v FROM z, (SELECT quantile_cont(distance, 0.95) AS pd, quantile_cont(lof, 0.95) AS pl FROM z))")
 def _(spark, d):
@@ -154,12 +162,17 @@ def _(spark, d):
     return M.votes(M.mahalanobis(_feat(spark, d), ["f1", "f2"]).join(flagged, "star_id"), ["is_outlier", "far"])
 
 
+_EPS = f"""t AS (SELECT star_id, f1, f2 FROM ({Q.FEAT})), pairs AS (SELECT a.star_id AS a, b.star_id AS b, sqrt((a.f1-b.f1)*(a.f1-b.f1) + (a.f2-b.f2)*(a.f2-b.f2)) AS d FROM t a JOIN t b ON true),
+       fifth AS (SELECT d FROM (SELECT d, row_number() OVER (PARTITION BY a ORDER BY d, b) AS rank FROM pairs) WHERE rank = 5), e AS (SELECT a, b FROM pairs WHERE d <= (SELECT quantile_cont(d, 0.9) FROM fifth))"""
+
+
 @query("dbscan", "star_id cluster",
-       f"""WITH RECURSIVE t AS (SELECT star_id, f1, f2 FROM ({Q.FEAT})), e AS (SELECT a.star_id AS a, b.star_id AS b FROM t a JOIN t b ON sqrt((a.f1-b.f1)**2 + (a.f2-b.f2)**2) <= 0.02), c AS (SELECT a FROM e GROUP BY a HAVING count(*) >= 5),
+       f"""WITH RECURSIVE {_EPS}, c AS (SELECT a FROM e GROUP BY a HAVING count(*) >= 5),
        w AS (SELECT a, a AS b FROM c UNION SELECT w.a, e.b FROM w JOIN e ON w.b = e.a JOIN c ON c.a = e.b), l AS (SELECT a, min(b) AS label FROM w GROUP BY a)
        SELECT t.star_id, min(label) AS cluster FROM t LEFT JOIN e ON t.star_id = e.a LEFT JOIN l ON e.b = l.a GROUP BY t.star_id""")
 def _(spark, d):
-    return M.dbscan(_feat(spark, d), ["f1", "f2"], 0.02)
+    df = _feat(spark, d)
+    return M.dbscan(df, ["f1", "f2"], M.reach_of(df, ["f1", "f2"]))
 
 
 @query("iforest", "star_id score* is_outlier")
