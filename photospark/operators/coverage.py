@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from photospark.functions.stats import ratio
+from photospark.operators.ranking import numbered
 
 #: Qualities of a sector, best first.
 LEVELS = ["excellent", "good", "fair", "poor", "bad", "unknown"]
@@ -54,7 +55,8 @@ def _order(c: Column) -> Column:
 
 def rank_sectors(quality: DataFrame, by: str = "sector") -> DataFrame:
     """Sectors by level, then coverage."""
-    return quality.withColumn("rank", F.row_number().over(Window.orderBy(_order(F.col("quality")), F.desc("coverage"), by)))
+    keyed = quality.withColumns({"_level": _order(F.col("quality")), "_less": -F.col("coverage")})
+    return numbered(keyed, ["_level", "_less", by], name="rank").withColumn("rank", F.col("rank").cast("int") + 1).drop("_level", "_less")
 
 
 def best_sector(quality: DataFrame, least: str = "good", by: str = "sector") -> DataFrame:
@@ -79,8 +81,27 @@ def days_to_sectors(days: DataFrame, first: str, last: str) -> DataFrame:
 
 
 def file_listing(files: DataFrame) -> DataFrame:
-    """Files (filename) with their place in name order, which is time order, from 0."""
-    return files.withColumn("file_idx", F.row_number().over(Window.orderBy("filename")) - 1)
+    """Files (filename) with their place in name order, which is time order, from 0, numbered in many tasks."""
+    return numbered(files, ["filename"], name="file_idx").withColumn("file_idx", F.col("file_idx").cast("int"))
+
+
+def calibration_order(files: DataFrame) -> DataFrame:
+    """Metadata rows (filename, valid, error, mjd_obs) with ``epoch``: the place, from 0, of the valid files in order of time, then name; rows that failed, or
+    have no time, stay without one."""
+    ready = F.col("valid") & F.col("mjd_obs").isNotNull() & ~F.isnan("mjd_obs")
+    placed = numbered(files.where(ready), ["mjd_obs", "filename"], name="epoch").withColumn("epoch", F.col("epoch").cast("int"))
+    return placed.unionByName(files.where(~F.coalesce(ready, F.lit(False))).withColumn("epoch", F.lit(None).cast("int")))
+
+
+def sectors(files: DataFrame) -> DataFrame:
+    """The sectors that have files, with their number."""
+    return files.where("sector is not null").groupBy("sector").agg(F.count("*").alias("n_files"))
+
+
+def camera_ccds(folders: DataFrame) -> DataFrame:
+    """The distinct (camera, ccd) of folders named camera-ccd; other names give none."""
+    parts = F.regexp_extract("folder", r"^(\d+)-(\d+)/?$", 1), F.regexp_extract("folder", r"^(\d+)-(\d+)/?$", 2)
+    return folders.select(*[F.when(p != "", p).cast("int").alias(n) for n, p in zip(("camera", "ccd"), parts, strict=True)]).where("camera is not null").distinct()
 
 
 def cadence_skip(listing: DataFrame, n: int) -> DataFrame:

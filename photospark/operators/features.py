@@ -71,10 +71,11 @@ def stat_features(phot: DataFrame, least: int = 3) -> DataFrame:
     return s.where(F.col("n_points") >= least)
 
 
-def ml_features(cleaned: DataFrame, star_table: DataFrame, mode: str, least: int = 10) -> DataFrame:
-    """Features of cleaned flux for a mode (its mask and completeness), with tic_id if star_table has it: sample deviation, corrected moments, deviations about the median by MAD."""
+def ml_features(cleaned: DataFrame, star_table: DataFrame, mode: str, epochs: DataFrame | None = None, least: int = 10) -> DataFrame:
+    """Features of cleaned flux for a mode (its mask and completeness), with tic_id if star_table has it: sample deviation, corrected moments, deviations about the
+    median by MAD. ``epochs``, a table of one row per epoch, saves counting them."""
     mask, complete = S.ML_MASKS[mode]
-    epochs = cleaned.agg(F.count_distinct("epoch").alias("n_epochs"))
+    epochs = cleaned.agg(F.count_distinct("epoch").alias("n_epochs")) if epochs is None else epochs.agg(F.count("epoch").alias("n_epochs"))
     tic_id = F.col("tic_id") if "tic_id" in star_table.columns else F.lit(None).cast("string").alias("tic_id")
     kept = star_table.where(F.col("completeness") >= complete).select("star_id", tic_id)
     df = cleaned.where(F.col("mask_bits").bitwiseAND(mask) == 0).select("star_id", "flux_cm", "flux_error").join(kept, "star_id").select("star_id", "tic_id", F.col("flux_cm").alias("f"), F.col("flux_error").alias("e"))

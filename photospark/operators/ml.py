@@ -167,6 +167,16 @@ def combined_rank(scores: DataFrame, columns: list[str], top: int = 20) -> DataF
     return scores.crossJoin(F.broadcast(spread)).withColumn("combined", total).select("star_id", "combined").orderBy(F.desc(F.round("combined", 9)), "star_id").limit(top)
 
 
+def cluster_centres(df: DataFrame, columns: list[str], key: str = "cluster") -> DataFrame:
+    """(cluster, n, and the mean of each column) of labelled rows; null labels are noise and count as a cluster of their own."""
+    return df.groupBy(key).agg(F.count("*").alias("n"), *[F.avg(c).alias(c) for c in columns])
+
+
+def vote_counts(votes: DataFrame) -> DataFrame:
+    """Rows by number of votes."""
+    return votes.groupBy("votes").agg(F.count("*").alias("n"))
+
+
 def _vectors(df: DataFrame, columns: list[str]) -> DataFrame:
     from pyspark.ml.feature import VectorAssembler
 
@@ -178,13 +188,12 @@ def kmeans(df: DataFrame, columns: list[str], ks: range = range(2, 11), least: i
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.evaluation import ClusteringEvaluator
 
-    v = _vectors(df, columns).cache()
+    v = stage(_vectors(df, columns), "vectors")
     model = lambda k: KMeans(k=k, seed=seed, featuresCol="v", predictionCol="cluster").fit(v)
     judge = ClusteringEvaluator(featuresCol="v", predictionCol="cluster")
     best = max(ks, key=lambda k: judge.evaluate(model(k).transform(v)))
     chosen = model(max(best, least))
-    v.unpersist()
-    return chosen.transform(_vectors(df, columns)).select("star_id", "cluster")
+    return chosen.transform(v).select("star_id", "cluster")
 
 
 def principal_components(df: DataFrame, columns: list[str], k: int = 2) -> DataFrame:

@@ -7,6 +7,7 @@ from photospark.operators import features, quality
 from photospark.plans import sql as Q
 from photospark.plans.registry import query
 from photospark.sources import views
+from photospark.sources.io import stage
 
 E = views.phot_survey
 
@@ -15,8 +16,12 @@ def _stars(spark, d):
     return quality.star_qc(E(spark, d), views.star_catalog(spark, d))
 
 
+def _tables(spark, d):
+    return quality.clean_tables(E(spark, d), 70, views.star_catalog(spark, d))
+
+
 def _cleaned(spark, d):
-    return quality.clean(E(spark, d), 70, views.star_catalog(spark, d))
+    return _tables(spark, d).rows
 
 
 @query("epoch_qc", "epoch btjd* median_flux* mean_flux* std_flux* median_error* n_valid n_total frac_good* time_gap* is_after_gap median_flux_good* mad_flux* median_flux_norm* scatter_norm* is_bad reason", Q.with_p(f", {Q.EPOCHS} SELECT * FROM epochs", Q.PHOT_C))
@@ -37,7 +42,7 @@ def _(spark, d):
 
 @query("common_mode", "epoch cm*", Q.with_p(f", {Q.STARS}, {Q.COMMON} SELECT * FROM cm", Q.PHOT_C))
 def _(spark, d):
-    return quality.common_mode(E(spark, d), quality.quiet_stars(_stars(spark, d)))
+    return quality.common_mode(E(spark, d), stage(quality.quiet_stars(stage(_stars(spark, d), "stars")), "stars"))
 
 
 @query("mask_bits", "star_id row epoch flux_cm* mask_bits mask_reason", Q.cleaned("SELECT * FROM cleaned"))
@@ -67,6 +72,16 @@ def _(spark, d):
     return quality.mask_to_quality(_cleaned(spark, d), use_flux_cm=False)
 
 
+_FALLBACK = Q.cleaned(""", f AS (SELECT star_id, row, flux, mask_bits = 0 AS ok FROM cleaned), m AS (SELECT *, median(CASE WHEN ok THEN flux END) OVER s AS mid, count(CASE WHEN ok THEN flux END) OVER s AS n, median(flux) OVER s AS whole FROM f WINDOW s AS (PARTITION BY star_id)),
+       d AS (SELECT *, median(abs(CASE WHEN ok THEN flux END - mid)) OVER (PARTITION BY star_id) AS mad FROM m) SELECT star_id, row, CASE WHEN n > 10 THEN 1.4826 * mad ELSE whole * 0.01 END AS flux_error FROM d""")
+
+
+@query("error_fallback", "star_id row flux_error*", _FALLBACK)
+def _(spark, d):
+    """Errors of lightcurves whose table has none."""
+    return quality.mask_to_quality(_cleaned(spark, d).drop("flux_error"), use_flux_cm=False)
+
+
 @query("cleaning_report", "n_points n_stars n_epochs btjd_min* btjd_max* n_masked frac_masked*",
        Q.cleaned("SELECT count(*) AS n_points, count(DISTINCT star_id) AS n_stars, count(DISTINCT epoch) AS n_epochs, min(btjd) AS btjd_min, max(btjd) AS btjd_max, CAST(count(*) FILTER (WHERE mask_bits > 0) AS BIGINT) AS n_masked, avg(CAST(mask_bits > 0 AS INT)) AS frac_masked FROM cleaned"))
 def _(spark, d):
@@ -86,9 +101,11 @@ _ML = "star_id tic_id n_points completeness* mean_flux* median_flux* std_flux* m
 
 @query("ml_anomaly", _ML, _ml(*S.ML_MASKS["anomaly"], 10))
 def _(spark, d):
-    return features.ml_features(_cleaned(spark, d), _stars(spark, d), "anomaly")
+    t = _tables(spark, d)
+    return features.ml_features(t.rows, t.stars, "anomaly", t.epochs)
 
 
 @query("ml_classification", _ML, _ml(*S.ML_MASKS["classification"], 10))
 def _(spark, d):
-    return features.ml_features(_cleaned(spark, d), _stars(spark, d), "classification")
+    t = _tables(spark, d)
+    return features.ml_features(t.rows, t.stars, "classification", t.epochs)

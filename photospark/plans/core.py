@@ -133,9 +133,15 @@ def _(spark, d):
     return features.star_stats(L(spark, d)).where("amplitude > 0.01 and reduced_chi2 > 1 and median_snr > 10")
 
 
-@query("transit_pred", "star_id amplitude* median_snr*", Q.stats(Q.PHOT_L, "SELECT * FROM stats WHERE amplitude > 0.001 AND amplitude < 1.5 AND median_snr > 20"))
+_STRICT = Q.cleaned(f", z AS (SELECT star_id, row, epoch, btjd, flux_cm AS flux, flux_error, 0 AS quality FROM cleaned WHERE mask_bits = 0), {Q.STATS.replace(' FROM p ', ' FROM z ')}")
+
+
+@query("transit_pred", "star_id amplitude_robust* median_snr*", f"{_STRICT} SELECT * FROM stats WHERE amplitude_robust > 0.001 AND amplitude_robust < 0.03 AND median_snr > 20")
 def _(spark, d):
-    return features.star_stats(L(spark, d)).where("amplitude > 0.001 and amplitude < 1.5 and median_snr > 20")
+    """Quiet, bright stars among the cleaned ones, in which a transit would show."""
+    cleaned = quality.preset(quality.clean(views.phot_survey(spark, d), 70, views.star_catalog(spark, d)), "strict")
+    p = cleaned.select("star_id", "row", "epoch", "btjd", F.col("flux_cm").alias("flux"), "flux_error", F.lit(0).alias("quality"))
+    return features.star_stats(p).where("amplitude_robust > 0.001 and amplitude_robust < 0.03 and median_snr > 20")
 
 
 @query("error_and_magnitude_bands", "star_id row flux_error* flux*",

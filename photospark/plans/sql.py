@@ -11,7 +11,7 @@ CASE WHEN row % 211 <> 5 THEN base * (CAST(1.0 AS DOUBLE) + (CAST(CASE WHEN epoc
  * CAST(CASE WHEN row % 499 = 3 THEN 1.5 WHEN row % 701 = 11 THEN 0.3 WHEN epoch % 29 = 7 THEN 1.2 ELSE 1.0 END AS DOUBLE) END AS flux,
 CASE WHEN row % 307 = 7 THEN 0.0 WHEN row % 401 = 9 THEN NULL WHEN star_id % 11 = 3 THEN base * CAST(0.5 AS DOUBLE) ELSE base * CAST(0.005 AS DOUBLE) END AS flux_error,
 CASE WHEN row % 37 = 0 THEN 1 WHEN row % 53 = 0 THEN 2 WHEN epoch % 43 = 13 AND star_id % 5 < 3 THEN 4 WHEN star_id % 10 = 6 AND event_type IN ('error', 'signup') THEN 1 WHEN star_id % 10 = 9 AND epoch % 4 < 3 THEN 1 ELSE 0 END AS quality
-FROM (SELECT event_id AS row, event_id % 50 AS star_id, CAST(event_id // 50 AS INTEGER) AS epoch, event_type, value - floor(value) AS part, CAST(100.0 AS DOUBLE) + 10 * (event_id % 50 % 7) AS base FROM events)"""
+FROM (SELECT event_id AS row, event_id % n AS star_id, CAST(event_id // n AS INTEGER) AS epoch, event_type, value - floor(value) AS part, CAST(100.0 AS DOUBLE) + 10 * (event_id % n % 7) AS base FROM events, (SELECT greatest(1, count(*) // 200) AS n FROM events))"""
 FRAMES = """SELECT CAST(event_id // 2000 AS INTEGER) AS image, CAST(event_id % 50 AS DOUBLE) AS x, CAST(event_id // 50 % 40 AS DOUBLE) AS y,
 CASE WHEN event_id % 1499 <> 7 AND event_id % 997 <> 5 THEN 10.0 + value * CAST(0.1 AS DOUBLE) + CASE WHEN (event_id % 50 - 20) * (event_id % 50 - 20) + (event_id // 50 % 40 - 24) * (event_id // 50 % 40 - 24) <= 4 THEN 100.0 + event_id // 2000 ELSE 0 END END AS value FROM events"""
 SKY_A = """SELECT c_custkey AS star_id, 360.0 * (c_custkey * CAST(0.6180339887498949 AS DOUBLE) - floor(c_custkey * CAST(0.6180339887498949 AS DOUBLE))) AS ra,

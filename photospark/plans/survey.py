@@ -80,6 +80,33 @@ def _(spark, d):
     return C.cadence_skip(C.file_listing(views.phot_events(spark, d).select(F.format_string("ffic_%05d.fits", "epoch").alias("filename")).distinct()), 6)
 
 
+_HEADERS = f"""f AS (SELECT {_SECTOR} AS sector, printf('f%09d.fits', o_orderkey) AS filename, CASE WHEN o_orderkey % 31 <> 4 THEN date_diff('day', DATE '1992-01-01', CAST(o_orderdate AS DATE)) + 48622.0 END AS mjd_obs, o_orderkey % 7 <> 0 AS valid FROM orders WHERE {_SOME})"""
+
+
+def _headers(spark, d):
+    mjd = F.when(F.col("o_orderkey") % 31 != 4, F.datediff("o_orderdate", F.lit("1992-01-01").cast("date")) + 48622.0)
+    return views.table(spark, d, "orders").where(_SOME).select(F.expr(_SECTOR).alias("sector"), F.format_string("f%09d.fits", "o_orderkey").alias("filename"), mjd.alias("mjd_obs"), (F.col("o_orderkey") % 7 != 0).alias("valid"))
+
+
+@query("calibration_order", "filename epoch", f"WITH {_HEADERS} SELECT filename, CASE WHEN valid AND mjd_obs IS NOT NULL THEN CAST(row_number() OVER (PARTITION BY valid AND mjd_obs IS NOT NULL ORDER BY mjd_obs, filename) - 1 AS INTEGER) END AS epoch FROM f")
+def _(spark, d):
+    """Files by their time of observation, numbered in many tasks; broken ones stay."""
+    return C.calibration_order(_headers(spark, d))
+
+
+@query("sectors", "sector n_files", f"WITH {_HEADERS} SELECT sector, count(*) AS n_files FROM f GROUP BY sector")
+def _(spark, d):
+    return C.sectors(_headers(spark, d))
+
+
+@query("camera_ccds", "camera ccd", "SELECT DISTINCT CAST(1 + n_regionkey % 4 AS INTEGER) AS camera, CAST(1 + n_nationkey % 4 AS INTEGER) AS ccd FROM nation JOIN customer ON c_nationkey = n_nationkey")
+def _(spark, d):
+    """Pairs of camera and CCD from the names of files."""
+    n, c = views.table(spark, d, "nation"), views.table(spark, d, "customer")
+    names = c.join(n, F.col("c_nationkey") == F.col("n_nationkey")).select(F.format_string("%d-%d", 1 + F.col("n_regionkey") % 4, 1 + F.col("n_nationkey") % 4).alias("folder"))
+    return C.camera_ccds(names)
+
+
 @query("unprocessed_files", "filename file_idx", Q.with_p(f", f AS ({_FILES}), l AS (SELECT filename, CAST(row_number() OVER (ORDER BY filename) - 1 AS INTEGER) AS file_idx FROM f) SELECT * FROM l WHERE file_idx % 6 <> 0"))
 def _(spark, d):
     files = C.file_listing(views.phot_events(spark, d).select(F.format_string("ffic_%05d.fits", "epoch").alias("filename")).distinct())
@@ -154,27 +181,50 @@ def _(spark, d):
     return M.combined_rank(scores, ["distance", "lof", "score"])
 
 
-@query("votes_rank", "star_id votes is_strong",
-       f"{_NN}{_MAHA} SELECT star_id, v AS votes, v >= 2 AS is_strong FROM (SELECT star_id, CAST(distance > pd AS INT) + CAST(lof > pl AS INT) AS v FROM z, (SELECT quantile_cont(distance, 0.95) AS pd, quantile_cont(lof, 0.95) AS pl FROM z))")
-def _(spark, d):
+_VOTES = f"{_NN}{_MAHA} SELECT star_id, v AS votes, v >= 2 AS is_strong FROM (SELECT star_id, CAST(distance > pd AS INT) + CAST(lof > pl AS INT) AS v FROM z, (SELECT quantile_cont(distance, 0.95) AS pd, quantile_cont(lof, 0.95) AS pl FROM z))"
+
+
+def _votes(spark, d):
     lof = _lof(spark, d)
     flagged = lof.crossJoin(F.broadcast(lof.agg(F.percentile("lof", F.lit(0.95)).alias("limit")))).select("star_id", (F.col("lof") > F.col("limit")).alias("far"))
     return M.votes(M.mahalanobis(_feat(spark, d), ["f1", "f2"]).join(flagged, "star_id"), ["is_outlier", "far"])
 
 
+@query("votes_rank", "star_id votes is_strong", _VOTES)
+def _(spark, d):
+    return _votes(spark, d)
+
+
+@query("vote_counts", "votes n", f"SELECT votes, count(*) AS n FROM ({_VOTES}) GROUP BY votes")
+def _(spark, d):
+    return M.vote_counts(_votes(spark, d))
+
+
 _EPS = f"""t AS (SELECT star_id, f1, f2 FROM ({Q.FEAT})), pairs AS (SELECT a.star_id AS a, b.star_id AS b, sqrt((a.f1-b.f1)*(a.f1-b.f1) + (a.f2-b.f2)*(a.f2-b.f2)) AS d FROM t a JOIN t b ON true),
        fifth AS (SELECT d FROM (SELECT d, row_number() OVER (PARTITION BY a ORDER BY d, b) AS rank FROM pairs) WHERE rank = 5), e AS (SELECT a, b FROM pairs WHERE d <= (SELECT quantile_cont(d, 0.9) FROM fifth))"""
 
 
-@query("dbscan", "star_id cluster",
-       f"""WITH RECURSIVE {_EPS}, c AS (SELECT a FROM e GROUP BY a HAVING count(*) >= 5),
+_CLUSTERS = f"""WITH RECURSIVE {_EPS}, c AS (SELECT a FROM e GROUP BY a HAVING count(*) >= 5),
        w AS (SELECT a, a AS b FROM c UNION SELECT w.a, e.b FROM w JOIN e ON w.b = e.a JOIN c ON c.a = e.b), l AS (SELECT a, min(b) AS label FROM w GROUP BY a)
-       SELECT t.star_id, min(label) AS cluster FROM t LEFT JOIN e ON t.star_id = e.a LEFT JOIN l ON e.b = l.a GROUP BY t.star_id""")
-def _(spark, d):
+       SELECT t.star_id, min(label) AS cluster FROM t LEFT JOIN e ON t.star_id = e.a LEFT JOIN l ON e.b = l.a GROUP BY t.star_id"""
+
+
+def _dbscan(spark, d):
     df = _feat(spark, d)
     return M.dbscan(df, ["f1", "f2"], M.reach_of(df, ["f1", "f2"]))
 
 
+@query("dbscan", "star_id cluster", _CLUSTERS)
+def _(spark, d):
+    return _dbscan(spark, d)
+
+
+@query("cluster_centres", "cluster n f1* f2*", f"SELECT cluster, count(*) AS n, avg(f1) AS f1, avg(f2) AS f2 FROM ({_CLUSTERS}) c JOIN ({Q.FEAT}) v ON c.star_id = v.star_id GROUP BY cluster")
+def _(spark, d):
+    """Centres and sizes of the clusters, noise included."""
+    return M.cluster_centres(_dbscan(spark, d).join(_feat(spark, d), "star_id"), ["f1", "f2"])
+
+
 @query("iforest", "star_id score* is_outlier")
 def _(spark, d):
     return M.isolation_scores(_feat(spark, d), _F)

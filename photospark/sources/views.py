@@ -22,11 +22,21 @@ def phot_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Epochs of phot_survey at any size of the table.
+EPOCHS = 200
+
+
+def survey_stars(spark: SparkSession, sf_dir: str) -> int:
+    """Stars of phot_survey: they grow with the table, its epochs don't."""
+    return max(1, table(spark, sf_dir, "events").count() // EPOCHS)
+
+
 def phot_survey(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fifty stars at every epoch, from events by number: two hours apart with a gap after each 40, incomplete stars, shifted, noisy and lost epochs,
-    outliers on both sides, low signals, and rows with null, NaN and zero fluxes or errors. For quality control and cleaning."""
+    """Stars at 200 epochs (a last one may be cut short), from events by number: two hours apart with a gap after each 40, incomplete stars, shifted, noisy and
+    lost epochs, outliers on both sides, low signals, and rows with null, NaN and zero fluxes or errors. For quality control and cleaning."""
     n, star, epoch = F.col("event_id"), F.col("star_id"), F.col("epoch")
-    rows = table(spark, sf_dir, "events").select("event_id", (n % 50).alias("star_id"), F.expr("event_id div 50").cast("int").alias("epoch"), "event_type", (F.col("value") - F.floor("value")).alias("part"))
+    stars = survey_stars(spark, sf_dir)
+    rows = table(spark, sf_dir, "events").select("event_id", (n % stars).alias("star_id"), F.expr(f"event_id div {stars}").cast("int").alias("epoch"), "event_type", (F.col("value") - F.floor("value")).alias("part"))
     base = F.lit(100.0) + 10 * (star % 7)
     shape = F.when(epoch % 31 == 11, 0.4).otherwise(0.02) * (F.col("part") - 0.5) + F.when(star % 9 == 4, F.lit(0.1) * (epoch % 36 - 18) / F.lit(18.0)).otherwise(0.0)
     lift = F.when(n % 499 == 3, 1.5).when(n % 701 == 11, 0.3).when(epoch % 29 == 7, 1.2).otherwise(1.0)
@@ -40,7 +50,7 @@ def phot_survey(spark: SparkSession, sf_dir: str) -> DataFrame:
 def star_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The catalog of phot_survey's stars; some near the edge of the frame, some without tic_id."""
     k = F.col("star_id")
-    stars = table(spark, sf_dir, "events").select((F.col("event_id") % 50).alias("star_id")).distinct()
+    stars = spark.range(survey_stars(spark, sf_dir)).select(F.col("id").alias("star_id"))
     return stars.select(
         "star_id", F.when(k % 3 != 0, F.concat(F.lit("T"), k.cast("string"))).alias("tic_id"), (k * 7.0).alias("ra"), (k - 25.0).alias("dec"), (k * 397 % 2048).cast("double").alias("ref_x"), (k * 911 % 2048).cast("double").alias("ref_y")
     )

@@ -282,14 +282,6 @@ def test_dbscan_of_a_long_chain(spark):
     assert got == {i: 0 for i in range(150)} | {500: None}
 
 
-def test_neighbour_blocks_grow_with_the_table(spark, monkeypatch):
-    asked, of = [], type(spark).range
-    monkeypatch.setattr(type(spark), "range", lambda self, n, *rest: asked.append(n) or of(self, n, *rest))
-    stars = of(spark, 9001).select(F.col("id").alias("star_id"), F.col("id").cast("double").alias("x"))
-    ml.neighbours(stars, ["x"], 2)
-    assert asked == [19]
-
-
 def test_command_line(spark, sf, tmp_path):
     from photospark import cli
     from photospark.sources import views
