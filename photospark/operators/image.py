@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -170,20 +170,25 @@ def fits_header(data: bytes) -> tuple[dict[str, object], int]:
     raise ValueError("the header has no end")
 
 
+def image_of(cards: dict[str, object]) -> tuple[int, Callable[[bytes], np.ndarray] | None]:
+    """Bytes of the data of a unit, and what makes its image of them (None for tables and units without data)."""
+    shape = [int(cards[f"NAXIS{i}"]) for i in range(int(cards.get("NAXIS", 0)), 0, -1)]
+    bits, n = int(cards.get("BITPIX", 8)), math.prod(shape) if shape else 0
+    size = abs(bits) // 8 * n + int(cards.get("PCOUNT", 0) or 0)
+    if not shape or cards.get("XTENSION", "IMAGE") != "IMAGE":
+        return size, None
+    kind = {8: ">u1", 16: ">i2", 32: ">i4", 64: ">i8", -32: ">f4", -64: ">f8"}[bits]
+    return size, lambda data: np.frombuffer(data, kind, n).reshape(shape).astype(float) * float(cards.get("BSCALE", 1)) + float(cards.get("BZERO", 0))
+
+
 def fits_units(data: bytes) -> Iterator[tuple[dict[str, object], np.ndarray | None]]:
     """(header, image) of each unit; tables and units without data give None."""
     at = 0
     while at < len(data) and data[at : at + 80].strip():
         cards, n = fits_header(data[at:])
         at += n
-        shape = [int(cards[f"NAXIS{i}"]) for i in range(int(cards.get("NAXIS", 0)), 0, -1)]
-        bits = int(cards.get("BITPIX", 8))
-        size = abs(bits) // 8 * (int(np.prod(shape)) if shape else 0) + int(cards.get("PCOUNT", 0) or 0)
-        image = None
-        if shape and cards.get("XTENSION", "IMAGE") == "IMAGE":
-            kind = {8: ">u1", 16: ">i2", 32: ">i4", 64: ">i8", -32: ">f4", -64: ">f8"}[bits]
-            image = np.frombuffer(data, kind, int(np.prod(shape)), at).reshape(shape).astype(float) * float(cards.get("BSCALE", 1)) + float(cards.get("BZERO", 0))
-        yield cards, image
+        size, make = image_of(cards)
+        yield cards, make and make(data[at : at + size])
         at += -(-size // 2880) * 2880
 
 
