@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from photospark import schema as S
 from photospark.functions.stats import ratio, separation_arcsec
+from photospark.sources.io import stage
 
 #: Beyond this declination one cell holds a whole zone.
 POLE = 89.5
@@ -112,15 +113,15 @@ def neighbours(stars: DataFrame, radius: float = 6.0, inner: float = 4.0) -> Dat
     have one or the cells cover the frame: those are few and lonely, so wide cells stay cheap. A star alone keeps nulls and 0."""
     pairs = _within(stars, stars, radius)
     got = pairs.groupBy("star_id").agg(F.min(F.struct("d", "o_id", "o_flux")).alias("nn"), F.sum(F.when(F.col("d") <= inner, F.col("o_flux"))).alias("s_in"), F.sum("o_flux").alias("s_out"))
+    got = stage(got, "neighbours")  # rounds below look at what was found, and don't find it again
     far = stars.agg(F.max("x") - F.min("x"), F.max("y") - F.min("y")).first()
     extent, reach = math.hypot(*(v or 0.0 for v in far)), radius
     nearest = got.select("star_id", "nn")
-    while reach < extent:
-        lonely = stars.join(nearest, "star_id", "left_anti")
-        if lonely.isEmpty():
-            break
+    lonely = stars.join(nearest, "star_id", "left_anti")
+    while reach < extent and not (lonely := stage(lonely, "lonely")).isEmpty():
         reach *= 4
-        nearest = nearest.union(_within(lonely, stars, reach).groupBy("star_id").agg(F.min(F.struct("d", "o_id", "o_flux")).alias("nn")))
+        found = stage(_within(lonely, stars, reach).groupBy("star_id").agg(F.min(F.struct("d", "o_id", "o_flux")).alias("nn")), "nearest")
+        nearest, lonely = nearest.union(found), lonely.join(found, "star_id", "left_anti")
     out = stars.select("star_id", "flux").join(nearest, "star_id", "left").join(got.drop("nn"), "star_id", "left")
     return out.select(
         "star_id", (F.col("nn.d") * S.ARCSEC_PER_PIXEL).alias("nn_dist_arcsec"), ratio("nn.o_flux", "flux").alias("nn_flux_ratio"), F.coalesce(ratio("s_in", "flux"), F.lit(0.0)).alias("contam_ratio_84arcsec"),

@@ -122,11 +122,20 @@ def master_table(phot: DataFrame, epochs: list[int] | None = None) -> DataFrame:
     return wide.select("star_id", *[c for e in epochs for c in (F.col(f"flux_{e}"), F.col(f"flux_error_{e}"), F.coalesce(f"quality_{e}", F.lit(5)).alias(f"flag_{e}"))])
 
 
-def wide_rows(wide: DataFrame, columns: list[str], keep: list[str]) -> DataFrame:
-    """A wide table as rows: ``keep``, epoch, and each of ``columns`` (flux for flux_0, flux_1, ...)."""
-    epochs = [c.rsplit("_", 1)[1] for c in wide.columns if c.startswith(f"{columns[-1]}_")]
-    cells = [F.struct(F.lit(int(e)).alias("epoch"), *[F.col(f"{c}_{e}").alias(c) for c in columns]) for e in epochs]
-    return wide.select(*keep, F.inline(F.array(*cells)))
+def epoch_maps(phot: DataFrame, least: int = 1) -> DataFrame:
+    """(star_id, n_detections, by_epoch): the wide row as a map from epoch to flux, flux_error and quality (of an epoch's rows the first by tie-break). One shuffle,
+    whatever the number of epochs; no column for each of them."""
+    cells = F.array_sort(F.collect_list(F.when(F.col("epoch").isNotNull(), F.struct("epoch", "btjd", "row", "flux", "flux_error", "quality"))))
+    s = phot.groupBy("star_id").agg(F.count_if(F.col("quality") == 0).alias("n_detections"), cells.alias("s")).where(F.col("n_detections") >= least)
+    first = F.filter("s", lambda v, i: (i == 0) | (F.get("s", i - 1)["epoch"] != v["epoch"]))
+    return s.select("star_id", "n_detections", F.map_from_entries(F.transform(first, lambda v: F.struct(v["epoch"], F.struct(v["flux"].alias("flux"), v["flux_error"].alias("flux_error"), v["quality"].alias("quality"))))).alias("by_epoch"))
+
+
+def epoch_rows(maps: DataFrame, phot: DataFrame) -> DataFrame:
+    """The maps as rows, one for each star and each epoch that any star has: star_id, n_detections, epoch, flux, flux_error, quality (null where the star has none)."""
+    epochs = phot.where("epoch is not null").select("epoch").distinct().agg(F.sort_array(F.collect_list("epoch")).alias("epochs"))  # one row
+    rows = maps.crossJoin(F.broadcast(epochs)).select("star_id", "n_detections", "by_epoch", F.explode("epochs").alias("epoch"))
+    return rows.select("star_id", "n_detections", "epoch", F.try_element_at("by_epoch", F.col("epoch")).alias("cell")).select("star_id", "n_detections", "epoch", "cell.*")
 
 
 def padded_sequences(phot: DataFrame, length: int = 200, zero: bool = True) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 from functools import partial
 
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from photospark.functions.stats import finite, ratio
+from photospark.schema import MAD_TO_SIGMA
 
 
 def _star():
@@ -82,7 +84,7 @@ def _per_star(phot: DataFrame, kernel: Callable[..., list[dict]], types: dict[st
             columns = [pa.array([r.get(c) for r in found], t) for c, t in types.items()]
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner, pa.int64())), *columns], ["star_id", *types])
 
-    names = {pa.int32(): "int", pa.int64(): "long", pa.float64(): "double"}
+    names = {pa.int32(): "int", pa.int64(): "long", pa.float64(): "double", pa.bool_(): "boolean"}
     kind = phot.schema["star_id"].dataType.simpleString()
     return series.mapInArrow(run, ", ".join([f"star_id {kind}", *(f"{c} {names[t]}" for c, t in types.items())]))
 
@@ -228,3 +230,55 @@ def box_least_squares(phot: DataFrame, n_periods: int = 5000, durations: int = 1
     """Per star the best box of least squares on median-normalised good flux: periods from 0.5 to 15 days, durations from 0.01 to 0.2; nulls for fewer than
     20 points or a median that isn't above 0; ties by period, then duration."""
     return _per_star(phot, partial(_boxes, periods=np.linspace(0.5, 15, n_periods), durations=np.linspace(0.01, 0.2, durations)), BOX)
+
+
+DOUBLED = {"n_points": pa.int64(), "i": pa.int32()} | dict.fromkeys(["period", "power", "depth", "depth_opposite", "significance", "best_period"], pa.float64()) | {"is_doubled": pa.bool_()}
+
+
+def _double(t: np.ndarray, y: np.ndarray, error: np.ndarray, freq: np.ndarray, clip: float, least: int, bins: int, sigma: float) -> list[dict]:
+    mid = np.median(y) if y.size else 0.0
+    if y.size < max(1, least) or not mid:
+        return []
+    y = y / mid
+    off = np.abs(y - np.median(y))
+    keep = off < clip * MAD_TO_SIGMA * np.median(off)
+    t, y = t[keep], y[keep]
+    if not y.size or y.min() == y.max():
+        return []
+    x = t - t[0]
+    power = np.round(classic_power(t, y, freq), 9)
+    at = int(power.argmax())
+    period = 1 / freq[at]
+    turn = x / (2 * period)
+    place = np.minimum(2 * bins - 1, np.floor((turn - np.floor(turn)) * (2 * bins)).astype(int))
+    n = np.bincount(place, minlength=2 * bins)
+    centre = np.array([np.median(y[place == b]) if n[b] else np.nan for b in range(2 * bins)])
+    noise = MAD_TO_SIGMA * np.median(np.abs(y - centre[place]))
+    depth, spread = [np.nan, np.nan], [np.nan, np.nan]
+    full = [b for b in range(2 * bins) if n[b] >= 3]
+    if full:
+        first = min(full, key=lambda b: (centre[b], b))
+        across = lambda b: min((b - first) % (2 * bins), (first - b) % (2 * bins))
+        for i, own in enumerate(([first], [b for b in full if across(b) >= bins - bins // 5])):
+            if own:
+                b = min(own, key=lambda b: (centre[b], b))
+                depth[i], spread[i] = np.median(y) - centre[b], 1.2533 * noise / np.sqrt(n[b])
+    width = math.sqrt(spread[0] ** 2 + spread[1] ** 2)
+    found = abs(depth[0] - depth[1]) / width if width > 0 else math.nan
+    doubled = bool(found > sigma)
+    number = lambda v: None if math.isnan(v) else float(v)
+    return [{
+        "n_points": y.size, "i": at, "period": period, "power": power[at], "depth": number(depth[0]), "depth_opposite": number(depth[1]), "significance": number(found), "best_period": 2 * period if doubled else period, "is_doubled": doubled,
+    }]
+
+
+def clipped_search(phot: DataFrame, n: int = 3000, lowest: float = 0.05, highest: float = 5.0, clip: float = 5.0, least: int = 50, bins: int = 10, sigma: float = 3.0) -> DataFrame:
+    """Per star with ``least`` good points: the strongest of ``n`` frequencies of the median-normalised fluxes that lie within ``clip`` robust deviations, and
+    whether the period is twice that.
+
+    For that the points are folded with twice the period into ``2 * bins`` bins. The depth of a bin is the median of all less its own (of three points at least).
+    The deepest bin is compared with the deepest of those about half a turn away (within a tenth): where they differ by over ``sigma`` times their error
+    (from the scatter about the bins' medians) the waves are two, and best_period is twice the period. Null depths where no bin has three points; a
+    constant star, and one of median 0, has no row."""
+    freq = lowest + np.arange(n) * ((highest - lowest) / max(1, n - 1))
+    return _per_star(phot, partial(_double, freq=freq, clip=clip, least=least, bins=bins, sigma=sigma), DOUBLED)

@@ -83,13 +83,13 @@ _FIRST = ", f AS (SELECT star_id, epoch, arg_min(flux, {'t': btjd, 'r': row}) AS
 @query("pivot_wide", "star_id n_detections epoch flux* flux_error* quality", Q.with_p(f"{_FIRST} SELECT * FROM w WHERE n_detections >= 3"))
 def _(spark, d):
     """The wide table of all epochs, shown by rows."""
-    return lightcurve.wide_rows(lightcurve.pivot_epochs(E(spark, d), least=3), ["flux", "flux_error", "quality"], ["star_id", "n_detections"])
+    return lightcurve.epoch_rows(lightcurve.epoch_maps(E(spark, d), 3), E(spark, d))
 
 
 @query("master_table", "star_id epoch flux* flux_error* flag", Q.with_p(f"{_FIRST} SELECT *, coalesce(quality, 5) AS flag FROM w"))
 def _(spark, d):
     """The master table of all epochs, shown by rows."""
-    return lightcurve.wide_rows(lightcurve.master_table(E(spark, d)), ["flux", "flux_error", "flag"], ["star_id"])
+    return lightcurve.epoch_rows(lightcurve.epoch_maps(E(spark, d), 0), E(spark, d)).withColumn("flag", F.coalesce("quality", F.lit(5)))
 
 
 @query("tensor", "star_id n_real total*",
@@ -170,3 +170,28 @@ def _(spark, d):
 @query("bls_full", "star_id period* duration* depth* power*")
 def _(spark, d):
     return period.box_least_squares(E(spark, d))
+
+
+_DOUBLE = f"""WITH p AS ({Q.PHOT_C}), g AS (SELECT star_id, btjd AS t, flux / median(flux) OVER s AS f, count(*) OVER s AS n FROM p WHERE quality = 0 AND flux IS NOT NULL WINDOW s AS (PARTITION BY star_id)),
+m AS (SELECT *, median(f) OVER (PARTITION BY star_id) AS mid FROM g WHERE n >= 50), o AS (SELECT *, median(abs(f - mid)) OVER (PARTITION BY star_id) AS mad FROM m),
+c AS (SELECT star_id, f, t - min(t) OVER s AS x, f - avg(f) OVER s AS y FROM o WHERE abs(f - mid) < 5 * 1.4826 * mad WINDOW s AS (PARTITION BY star_id)),
+k AS (SELECT CAST(i AS INTEGER) AS i, CAST(0.05 AS DOUBLE) + i * (CAST(4.95 AS DOUBLE) / 2999) AS freq FROM (SELECT unnest(range(3000)) AS i)),
+w AS (SELECT star_id, i, freq, y, cos(2 * pi() * freq * x) AS c, sin(2 * pi() * freq * x) AS s FROM c CROSS JOIN k),
+q AS (SELECT star_id, i, freq, sum(y*c) yc, sum(y*s) ys, sum(c*c) cc, sum(s*s) ss, sum(c*s) cs, sum(y*y) yy FROM w GROUP BY star_id, i, freq), a AS (SELECT *, atan2(2 * cs, cc - ss) / 2 AS tau FROM q),
+b AS (SELECT star_id, i, freq, yy, yc * cos(tau) + ys * sin(tau) AS yc2, ys * cos(tau) - yc * sin(tau) AS ys2, cc*cos(tau)*cos(tau) + 2*cs*sin(tau)*cos(tau) + ss*sin(tau)*sin(tau) AS cc2, ss*cos(tau)*cos(tau) - 2*cs*sin(tau)*cos(tau) + cc*sin(tau)*sin(tau) AS ss2 FROM a),
+z AS (SELECT star_id, i, freq, round((CASE WHEN cc2 > 1e-9 THEN yc2*yc2/cc2 ELSE 0 END + CASE WHEN ss2 > 1e-9 THEN ys2*ys2/ss2 ELSE 0 END) / yy, 9) AS power FROM b),
+best AS (SELECT star_id, i, power, 1 / freq AS period FROM (SELECT *, row_number() OVER (PARTITION BY star_id ORDER BY power DESC, i) AS rank FROM z) WHERE rank = 1),
+h AS (SELECT c.star_id, f, least(19, CAST(floor((x / (2 * period) - floor(x / (2 * period))) * 20) AS INTEGER)) AS bin FROM c JOIN best ON c.star_id = best.star_id),
+e AS (SELECT *, median(f) OVER (PARTITION BY star_id, bin) AS centre, count(*) OVER (PARTITION BY star_id, bin) AS n_bin, median(f) OVER (PARTITION BY star_id) AS whole, count(*) OVER (PARTITION BY star_id) AS n_points FROM h),
+v AS (SELECT *, 1.4826 * median(abs(f - centre)) OVER (PARTITION BY star_id) AS noise FROM e),
+r AS (SELECT star_id, bin, any_value(centre) AS centre, any_value(whole) - any_value(centre) AS depth, 1.2533 * any_value(noise) / sqrt(count(*)) AS spread FROM v WHERE n_bin >= 3 GROUP BY star_id, bin),
+l AS (SELECT *, arg_min(bin, {{'c': centre, 'b': bin}}) OVER (PARTITION BY star_id) AS first FROM r), j AS (SELECT *, least((bin - first + 20) % 20, (first - bin + 20) % 20) AS across FROM l),
+u AS (SELECT star_id, max(depth) FILTER (WHERE across = 0) AS depth, max(spread) FILTER (WHERE across = 0) AS s1, arg_min(depth, {{'c': centre, 'b': bin}}) FILTER (WHERE across >= 8) AS depth_opposite, arg_min(spread, {{'c': centre, 'b': bin}}) FILTER (WHERE across >= 8) AS s2 FROM j GROUP BY star_id),
+x AS (SELECT best.*, (SELECT count(*) FROM c WHERE c.star_id = best.star_id) AS n_points, depth, depth_opposite, CASE WHEN sqrt(s1 * s1 + s2 * s2) > 0 THEN abs(depth - depth_opposite) / sqrt(s1 * s1 + s2 * s2) END AS significance FROM best LEFT JOIN u ON best.star_id = u.star_id)
+SELECT *, CASE WHEN coalesce(significance > 3, false) THEN 2 * period ELSE period END AS best_period, coalesce(significance > 3, false) AS is_doubled FROM x"""
+
+
+@query("clipped_search", "star_id n_points i period* power* depth* depth_opposite* significance* best_period* is_doubled", _DOUBLE)
+def _(spark, d):
+    """Clipped search over 3,000 frequencies, and the period against twice the period, for every star of the survey with 50 good points."""
+    return period.clipped_search(views.phot_survey(spark, d))
