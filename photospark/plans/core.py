@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from photospark.functions import surface
 from photospark.operators import features, quality, score
 from photospark.plans import sql as Q
 from photospark.plans.registry import query
@@ -151,3 +152,10 @@ def _(spark, d):
     p = E(spark, d)
     ends = p.agg(F.percentile("flux_error", F.lit(0.99)).alias("e"), F.percentile("flux", F.lit(0.05)).alias("lo"), F.percentile("flux", F.lit(0.95)).alias("hi"))
     return p.crossJoin(F.broadcast(ends)).where("flux_error < e and flux between lo and hi")
+
+
+@query("sql_functions", "star_id scatter* j*", Q.stats(Q.PHOT_E, "SELECT star_id, 1.4826 * mad AS scatter, stetson_j AS j FROM stats WHERE mad IS NOT NULL"))
+def _(spark, d):
+    """Scatter and Stetson's J by the functions that SQL users call."""
+    surface.register(spark)
+    return spark.sql("SELECT star_id, robust_scatter(flux) AS scatter, stetson(btjd, flux, flux_error) AS j FROM {p} WHERE quality = 0 GROUP BY star_id", p=E(spark, d))
