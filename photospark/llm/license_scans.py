@@ -62,9 +62,10 @@ def license_scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPL
     """One row per row of ``docs``: key, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
     All rolling k-gram hashes of a text are joined to those of the notices (a fixed, small table; broadcast). Hits vote for their diagonal, text
-    place less notice place; diagonals of one notice at most ``slack`` apart are merged; a merged span is verified if it holds at least
-    ``coverage`` of the notice's words and is at most ``slack`` words per diagonal longer than the notice. labels are the phrases' and those of
-    verified notices. score: 1 where a phrase stands, else the largest verified coverage, else 0.
+    place less notice place. From each diagonal on, those up to the notice's drift are merged: words put in or left out in all, ``slack`` of them or, for
+    long notices, about a tenth of the notice. So a merged span is never longer than the notice by more than its drift, however many
+    diagonals have votes; it is verified if it holds at least ``coverage`` of the notice's words. labels are the phrases' and those of verified
+    notices. score: 1 where a phrase stands, else the largest verified coverage, else 0.
 
     A null text is empty: no words, no places, null first_word and last_word, empty labels, score 0. Null and repeated keys keep their rows;
     other columns are not read. One scan: a text sends its hits and one row of its own to the votes, and nothing else is shuffled."""
@@ -82,18 +83,28 @@ def license_scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPL
     rows = rows.select("row", "own", F.posexplode(F.concat(F.array(F.lit(None).cast("bigint")), _grams(F.col("words"), k))).alias("place", "gram"))
     hits = rows.join(F.broadcast(known), "gram", "left").where("template is not null or place = 0").select("row", F.when(F.col("place") == 0, F.col("own")).alias("own"), "template", "label", "size", "at", (F.col("place") - 1).alias("place"))
     votes = hits.groupBy("row", "template", (F.col("place") - F.col("at")).alias("diagonal")).agg(
-        F.max("own").alias("own"), F.max("label").alias("label"), F.max("size").alias("size"), F.min("place").alias("start"), F.max("place").alias("end"), *[F.bit_or(F.when(F.expr(f"at div {BITS}") == i, F.expr(f"shiftleft(1L, at % {BITS})")).otherwise(F.lit(0).cast("bigint"))).alias(m) for i, m in enumerate(masks)],
-    )
-    along = Window.partitionBy("row", "template").orderBy("diagonal")
-    votes = votes.withColumn("new", F.coalesce((F.col("diagonal") - F.lag("diagonal").over(along) > slack).cast("int"), F.lit(1))).withColumn("span", F.sum("new").over(along))
-    spans = votes.groupBy("row", "template", "span").agg(
-        F.max("own").alias("own"), F.max("label").alias("label"), F.max("size").alias("size"), *[F.bit_or(m).alias(m) for m in masks], (F.max("end") + k - F.min("start")).alias("length"), F.count("*").alias("diagonals")
+        F.max("own").alias("own"), F.max("label").alias("label"), F.max("size").alias("size"), *[F.bit_or(F.when(F.expr(f"at div {BITS}") == i, F.expr(f"shiftleft(1L, at % {BITS})")).otherwise(F.lit(0).cast("bigint"))).alias(m) for i, m in enumerate(masks)],
     )
+    # Drifts are slack, twice that, and so on: one window for each that the notices need, all in one pass over the sorted votes.
+    along, drift, drifts = Window.partitionBy("row", "template").orderBy("diagonal"), F.lit(slack), [slack]
+    while 20 * drifts[-1] <= longest and slack > 0:
+        drifts.append(2 * drifts[-1])
+        drift = F.when(F.col("size") >= 10 * drifts[-1], drifts[-1]).otherwise(drift)
+
+    def merged(mask: str) -> Column:
+        """Hits of the diagonals from this one up to the notice's drift."""
+        out = F.bit_or(mask).over(along.rangeBetween(0, drifts[0]))
+        for d in drifts[1:]:
+            out = F.when(F.col("drift") == d, F.bit_or(mask).over(along.rangeBetween(0, d))).otherwise(out)
+        return out
+
+    votes = votes.withColumn("drift", drift)
+    spans = votes.select("row", "own", "label", "size", *[merged(m).alias(m) for m in masks])
     # A hit covers k words: its bit and the next k - 1, which may reach into the next long.
     low, over = f"(shiftleft(1L, {BITS}) - 1)", lambda m: "(" + " | ".join(f"shiftleft({m}, {j})" for j in range(k)) + ")"
     words = [F.bit_count(F.expr(f"({over(m)} & {low})" + (f" | shiftright({over(masks[i - 1])}, {BITS})" if i else ""))) for i, m in enumerate(masks)]
     held = sum(words[1:], words[0]) / F.col("size")
-    spans = spans.withColumn("share", F.when((held >= coverage) & (F.col("length") <= F.col("size") + slack * F.col("diagonals")), held))
+    spans = spans.withColumn("share", F.when(held >= coverage, held))
     out = spans.groupBy("row").agg(F.max("own").alias("own"), F.collect_set(F.when(F.col("share").isNotNull(), F.col("label"))).alias("more"), F.max("share").alias("share"))
     return out.select(
         F.col("own.key").alias(key), "own.n_words", "own.n_base", "own.first_word", "own.last_word", F.array_join("own.base", ",").alias("base_labels"),

@@ -109,6 +109,46 @@ def test_long_notices_word_by_word(spark):
         assert math.isclose(got[i].score, share if share >= 0.8 else 0.0) and got[i].labels == ("brief" if i == 5 else "own" if share >= 0.8 else "")
 
 
+def brute_licence(text, templates, k=3, slack=3, coverage=0.8):
+    """Labels and score by all hits of all notices, word by word, over every window of diagonals."""
+    split = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", t.lower())
+    w, labels, best = split(text), set(), 0.0
+    for label, notice in templates:
+        n = split(notice)
+        drift = slack
+        while 20 * drift <= len(n):
+            drift *= 2
+        places = {}
+        for at in range(len(n) - k + 1):
+            places.setdefault(tuple(n[at : at + k]), []).append(at)
+        hits = [(p - at, at) for p in range(len(w) - k + 1) for at in places.get(tuple(w[p : p + k]), [])]
+        for first in {d for d, _ in hits}:
+            share = len({at + j for d, at in hits if first <= d <= first + drift for j in range(k)}) / len(n)
+            if share >= coverage:
+                labels.add(label)
+                best = max(best, share)
+    return ",".join(sorted(labels)), best
+
+
+def test_spans_have_a_bounded_drift(spark):
+    """Junk between the words of a notice is no licence, however its diagonals hang together; a few words put in or left out are."""
+    mit = next(t for label, t in license_scans.TEMPLATES if label == "mit" and "AS IS" in t).split()
+    r = random.Random(5)
+    junk = lambda n: [f"junk{r.randrange(10**6)}" for _ in range(n)]
+
+    def mixed(run, between):
+        return " ".join(x for i in range(0, len(mit), run) for x in mit[i : i + run] + junk(between))
+
+    put_in = mit[:50] + junk(2) + mit[50:100] + junk(3) + mit[100:120] + mit[123:]
+    rows = [mixed(3, 3), mixed(4, 3), mixed(3, 4), mixed(10, 3), mixed(40, 1), " ".join(put_in), " ".join(junk(40) + mit + junk(300) + mit[:90]), " ".join(mit[80:] + mit[:80]), " ".join(mit), " ".join(mit[:60] * 3)]
+    rows += [" ".join(w for w in mit if r.random() > x) for x in (0.02, 0.05, 0.1)]
+    got = {x.doc_id: x for x in license_scans.license_scan(spark.createDataFrame([*enumerate(rows)], "doc_id long, text string")).collect()}
+    for i, text in enumerate(rows):
+        labels, score = brute_licence(text, license_scans.TEMPLATES)
+        assert got[i].labels == labels and math.isclose(got[i].score, score), (i, got[i], labels, score)
+    assert [got[i].labels for i in (0, 1, 2)] == ["", "", ""] and got[5].labels == got[6].labels == got[8].labels == "mit"
+
+
 def test_base_of_real_texts(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     got = sorted(tuple(r)[:6] for r in license_scans.license_scan(docs).collect())
