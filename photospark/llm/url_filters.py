@@ -11,6 +11,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from photospark.llm.common import new_path
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -104,11 +106,17 @@ def labelled_urls(spark: SparkSession, rows: tuple[tuple[str, int], ...] = LABEL
 
 def fit(labelled: DataFrame, most_rows: int = 20_000, buckets: int = 1 << 16, penalty: float = 0.001) -> PipelineModel:
     """Logistic regression over n-grams hashed to ``buckets``, from at most ``most_rows`` rows of ``labelled`` (url, block 0 or 1), those first by hash.
-    Rows without a label, and with a label of another kind, are left out; a null url is as an empty one."""
+    Rows without a label, and with a label of another kind, are left out; a null url is as an empty one.
+
+    The model is written into the shared folder and read back: a fitted one holds the summary of its training and by it the session, which can't go to
+    the tasks once the session has observed a table."""
     host, path = host_and_path(F.coalesce(F.col("url"), F.lit("")))
     rows = labelled.where(F.col("block").isin(0, 1)).orderBy(F.xxhash64("url", "block"), "url", "block").limit(most_rows).select(grams(host, path).alias("grams"), F.col("block").cast("double").alias("label"))
     tf = HashingTF(inputCol="grams", outputCol="features", numFeatures=buckets, binary=True)
-    return Pipeline(stages=[tf, LogisticRegression(regParam=penalty, maxIter=40, tol=1e-6, probabilityCol="chance", standardization=False)]).fit(rows.coalesce(1))
+    model = Pipeline(stages=[tf, LogisticRegression(regParam=penalty, maxIter=40, tol=1e-6, probabilityCol="chance", standardization=False)]).fit(rows.coalesce(1))
+    path = new_path(labelled.sparkSession, "urls")
+    model.save(path)
+    return PipelineModel.load(path)
 
 
 def url_filter(pages: DataFrame, labelled: DataFrame | None = None, rules: tuple[Rule, ...] = RULES, key: str = "page_id", url: str = "url", block_from: float = 0.5, model: PipelineModel | None = None) -> DataFrame:

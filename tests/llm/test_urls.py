@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from photospark.llm import queries, url_filters
@@ -46,6 +47,15 @@ def test_grams_are_of_characters(spark):
     assert row[0].g == ["^aé", "aéb", "éb$", "/:^/b", "/:/b$"] and row[1].g == []
 
 
+def test_after_an_observation(spark):
+    """A session that has observed a table can't be sent to tasks, so the model must not hold it."""
+    seen = Observation()
+    spark.range(3).observe(seen, F.count("*").alias("n")).collect()
+    assert seen.get["n"] == 3
+    asked = spark.createDataFrame([(1, ODD[4]), (2, "http://casino.net/")], "page_id long, url string")
+    assert {r.page_id: r.rule for r in url_filters.url_filter(asked).collect()} == {1: "example.org/es/", 2: None}
+
+
 def test_held_out_accuracy(spark):
     named = [r for r in LABELLED if "://" in r[0] and len(r[0]) > 5]
     hits = n = 0
