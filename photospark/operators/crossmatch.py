@@ -19,25 +19,28 @@ def _zone(dec: Column, height: float) -> Column:
     return F.floor((dec + 90) / F.lit(height)).cast("long")
 
 
-def _cells_in(zone: Column, height: float, tol: float) -> Column:
-    """Number of equal RA cells of a zone, each wider than the tolerance anywhere in the zone and its neighbours."""
+def _cells_in(zone: Column, height: float, width: float) -> Column:
+    """Number of equal RA cells of a zone, each at least ``width`` degrees of the sky wide anywhere in the zone and its neighbours."""
     far = F.least(F.lit(90.0), F.greatest(F.abs((zone - 1) * F.lit(height) - 90), F.abs((zone + 2) * F.lit(height) - 90)))
-    return F.when(far > POLE, 1).otherwise(F.greatest(F.lit(1), F.floor(F.lit(360.0 / (1.5 * tol)) * F.cos(F.radians(far))))).cast("long")
+    return F.when(far > POLE, 1).otherwise(F.greatest(F.lit(1), F.floor(F.lit(360.0 / width) * F.cos(F.radians(far))))).cast("long")
 
 
 def candidate_pairs(left: DataFrame, right: DataFrame, tol_arcsec: float) -> DataFrame:
     """All (left, right) rows within the tolerance, with ``sep`` in arcsec. Columns must differ in name but for ra and dec (l_ra, l_dec, r_ra, r_dec here).
 
-    The right side stands in one cell; the left side looks into its own and the neighbouring zones and cells (RA wraps round; near the poles a zone is one cell)."""
+    The right side stands in one cell; the left side looks into the zones and cells that the tolerance reaches from where it stands (RA wraps round; near the
+    poles a zone is one cell). Cells are four reaches wide or more, so that a row stands in about two cells and not in nine. Neither side is broadcast."""
     tol = tol_arcsec / 3600.0
-    height = max(tol * 1.01, 1 / 60)
-    r = right.withColumn("zone", _zone(F.col("r_dec"), height)).withColumn("n_cells", _cells_in(F.col("zone"), height, tol))
+    height, reach = max(4 * tol, 1 / 60), 1.5 * tol
+    width = max(4 * reach, 1 / 60)
+    r = right.withColumn("zone", _zone(F.col("r_dec"), height)).withColumn("n_cells", _cells_in(F.col("zone"), height, width))
     r = r.withColumn("cell", F.pmod(F.floor(F.col("r_ra") / 360.0 * F.col("n_cells")).cast("long"), F.col("n_cells"))).drop("n_cells")
-    l = left.withColumn("zone", F.explode(F.array(*[_zone(F.col("l_dec"), height) + k for k in (-1, 0, 1)]))).withColumn("n_cells", _cells_in(F.col("zone"), height, tol))
-    here = F.floor(F.col("l_ra") / 360.0 * F.col("n_cells")).cast("long")
-    l = l.withColumn("cell", F.explode(F.array_distinct(F.array(*[F.pmod(here + k, F.col("n_cells")) for k in (-1, 0, 1)])))).drop("n_cells")
+    zones = F.array_distinct(F.array(*[_zone(F.col("l_dec") + k * 1.01 * tol, height) for k in (-1, 1)]))
+    l = left.withColumn("zone", F.explode(zones)).withColumn("n_cells", _cells_in(F.col("zone"), height, width))
+    here = F.col("l_ra") / 360.0 * F.col("n_cells")
+    l = l.withColumn("cell", F.explode(F.array_distinct(F.array(*[F.pmod(F.floor(here + k * reach / width).cast("long"), F.col("n_cells")) for k in (-1, 1)])))).drop("n_cells")
     sep = separation_arcsec(F.col("l_ra"), F.col("l_dec"), F.col("r_ra"), F.col("r_dec"))
-    return l.join(r, ["zone", "cell"]).drop("zone", "cell").withColumn("sep", sep).where(F.col("sep") <= tol_arcsec)
+    return l.join(r.hint("merge"), ["zone", "cell"]).drop("zone", "cell").withColumn("sep", sep).where(F.col("sep") <= tol_arcsec)
 
 
 def nearest(left: DataFrame, right: DataFrame, tol_arcsec: float, strict: bool = False, how: str = "left") -> DataFrame:
@@ -49,7 +52,7 @@ def nearest(left: DataFrame, right: DataFrame, tol_arcsec: float, strict: bool =
     if strict:
         pairs = pairs.where(F.col("sep") < tol_arcsec)
     best = pairs.groupBy("star_id").agg(F.min(F.struct("sep", "match_id")).alias("b"), F.count("*").alias("n_candidates")).select("star_id", "b.match_id", "b.sep", "n_candidates")
-    out = left.join(best, "star_id", how)
+    out = left.join(best.hint("merge"), "star_id", how)
     return out.withColumn("n_candidates", F.coalesce("n_candidates", F.lit(0)))
 
 
@@ -147,7 +150,7 @@ def mutual_nearest(left: DataFrame, right: DataFrame, tol_arcsec: float) -> Data
     """Pairs that are each other's nearest within the tolerance."""
     a = nearest(left, right, tol_arcsec, how="inner").select("star_id", "match_id", "sep")
     b = nearest(right, left, tol_arcsec, how="inner").select(F.col("star_id").alias("match_id"), F.col("match_id").alias("star_id"))
-    return a.join(b, ["star_id", "match_id"])
+    return a.join(b.hint("merge"), ["star_id", "match_id"])
 
 
 def closest_source(sources: DataFrame, x: float, y: float) -> DataFrame:

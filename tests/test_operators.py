@@ -202,6 +202,18 @@ def test_crossmatch_is_brute_force(spark):
         assert r_.n_candidates == len(want[r_.star_id]) and r_.match_id == (want[r_.star_id][0][1] if want[r_.star_id] else None)
 
 
+def test_matches_are_not_broadcast_and_reach_few_cells(spark):
+    stars = spark.range(2000).select(F.col("id").alias("star_id"), (F.col("id") * 0.17).alias("ra"), (F.col("id") * 0.08 - 80).alias("dec"))
+    for df in (crossmatch.nearest(stars, stars, 3.0), crossmatch.mutual_nearest(stars, stars, 3.0)):
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+    left, right = (stars.select(F.col("star_id").alias(f"{s}_id"), F.col("ra").alias(f"{s}_ra"), F.col("dec").alias(f"{s}_dec")) for s in "lr")
+    seen, inner = [], type(left).join
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(type(left), "join", lambda df, *a: seen.append(df.count()) or inner(df, *a))
+        assert crossmatch.candidate_pairs(left, right, 200.0).count() == 2000
+    assert seen[0] < 3 * 2000  # once it was nine rows each
+
+
 def test_median_frame_takes_all_images(spark):
     pixels = spark.range(301).select(F.col("id").cast("int").alias("image"), F.lit(1.0).alias("x"), F.lit(2.0).alias("y"), F.col("id").cast("double").alias("value"))
     assert image.median_frame(pixels).first().value == 150.0  # of the first 100 it would be 49.5
