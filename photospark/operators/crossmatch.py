@@ -101,31 +101,33 @@ def nearest_planar(stars: DataFrame, ra: float, dec: float) -> DataFrame:
     return stars.withColumn("distance", d).orderBy("distance", "star_id").limit(1)
 
 
-def _within(stars: DataFrame, others: DataFrame, radius: float) -> DataFrame:
-    """Rows (star_id, d, o_id, o_flux): others at a distance over 0 and at most ``radius``, by an equi-join on cells of the radius."""
+def _within(places: DataFrame, others: DataFrame, radius: float) -> DataFrame:
+    """Rows (x, y, d, nearest, total): other places at a distance over 0 and at most ``radius``, by an equi-join on cells of the radius."""
     at = lambda c, k=0: (F.floor(F.col(c) / F.lit(radius)) + k).cast("long")
-    right = others.select(F.col("star_id").alias("o_id"), F.col("x").alias("o_x"), F.col("y").alias("o_y"), F.col("flux").alias("o_flux"), at("x").alias("cx"), at("y").alias("cy"))
-    left = stars.withColumn("cx", F.explode(F.array(*[at("x", k) for k in (-1, 0, 1)]))).withColumn("cy", F.explode(F.array(*[at("y", k) for k in (-1, 0, 1)])))
+    right = others.select(F.col("x").alias("o_x"), F.col("y").alias("o_y"), "nearest", "total", at("x").alias("cx"), at("y").alias("cy"))
+    left = places.select("x", "y").withColumn("cx", F.explode(F.array(*[at("x", k) for k in (-1, 0, 1)]))).withColumn("cy", F.explode(F.array(*[at("y", k) for k in (-1, 0, 1)])))
     d = F.hypot(F.col("x") - F.col("o_x"), F.col("y") - F.col("o_y"))
-    return left.join(right, ["cx", "cy"]).withColumn("d", d).where((F.col("d") > 0) & (F.col("d") <= radius)).select("star_id", "d", "o_id", "o_flux")
+    return left.join(right.hint("merge"), ["cx", "cy"]).withColumn("d", d).where((F.col("d") > 0) & (F.col("d") <= radius)).select("x", "y", "d", "nearest", "total")
 
 
 def neighbours(stars: DataFrame, radius: float = 6.0, inner: float = 4.0) -> DataFrame:
     """Pixel-plane neighbours (rows star_id, x, y, flux): distance in arcsec and flux ratio of the nearest, at any distance, and flux sums within the two
-    radii over the own flux. A self-join on cells of the radius. Stars that find none there look again in cells of four times the width, until all
+    radii over the own flux. Stars in one place have the same neighbours, none of them each other: so places meet, each with its first star and the sum
+    of its fluxes, by a self-join on cells of the radius. Places that find none there look again in cells of four times the width, until all
     have one or the cells cover the frame: those are few and lonely, so wide cells stay cheap. A star alone keeps nulls and 0."""
-    pairs = _within(stars, stars, radius)
-    got = pairs.groupBy("star_id").agg(F.min(F.struct("d", "o_id", "o_flux")).alias("nn"), F.sum(F.when(F.col("d") <= inner, F.col("o_flux"))).alias("s_in"), F.sum("o_flux").alias("s_out"))
+    places = stage(stars.where("x is not null and y is not null").groupBy("x", "y").agg(F.min(F.struct(F.col("star_id").alias("o_id"), F.col("flux").alias("o_flux"))).alias("nearest"), F.sum("flux").alias("total")), "places")
+    nn = F.min(F.struct("d", "nearest.o_id", "nearest.o_flux")).alias("nn")
+    got = _within(places, places, radius).groupBy("x", "y").agg(nn, F.sum(F.when(F.col("d") <= inner, F.col("total"))).alias("s_in"), F.sum("total").alias("s_out"))
     got = stage(got, "neighbours")  # rounds below look at what was found, and don't find it again
-    far = stars.agg(F.max("x") - F.min("x"), F.max("y") - F.min("y")).first()
+    far = places.agg(F.max("x") - F.min("x"), F.max("y") - F.min("y")).first()
     extent, reach = math.hypot(*(v or 0.0 for v in far)), radius
-    nearest = got.select("star_id", "nn")
-    lonely = stars.join(nearest, "star_id", "left_anti")
+    nearest = got.select("x", "y", "nn")
+    lonely = places.join(nearest, ["x", "y"], "left_anti")
     while reach < extent and not (lonely := stage(lonely, "lonely")).isEmpty():
         reach *= 4
-        found = stage(_within(lonely, stars, reach).groupBy("star_id").agg(F.min(F.struct("d", "o_id", "o_flux")).alias("nn")), "nearest")
-        nearest, lonely = nearest.union(found), lonely.join(found, "star_id", "left_anti")
-    out = stars.select("star_id", "flux").join(nearest, "star_id", "left").join(got.drop("nn"), "star_id", "left")
+        found = stage(_within(lonely, places, reach).groupBy("x", "y").agg(nn), "nearest")
+        nearest, lonely = nearest.union(found), lonely.join(found, ["x", "y"], "left_anti")
+    out = stars.select("star_id", "flux", "x", "y").join(nearest.hint("merge"), ["x", "y"], "left").join(got.drop("nn").hint("merge"), ["x", "y"], "left")
     return out.select(
         "star_id", (F.col("nn.d") * S.ARCSEC_PER_PIXEL).alias("nn_dist_arcsec"), ratio("nn.o_flux", "flux").alias("nn_flux_ratio"), F.coalesce(ratio("s_in", "flux"), F.lit(0.0)).alias("contam_ratio_84arcsec"),
         F.coalesce(ratio("s_out", "flux"), F.lit(0.0)).alias("contam_ratio_126arcsec"),

@@ -214,6 +214,16 @@ def test_matches_are_not_broadcast_and_reach_few_cells(spark):
     assert seen[0] < 3 * 2000  # once it was nine rows each
 
 
+def test_stars_in_one_place_meet_once(spark):
+    rows = [(i, float(i % 4), 0.0, 1.0) for i in range(2000)]
+    met, inner = [], crossmatch._within
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(crossmatch, "_within", lambda a, b, r: met.append(inner(a, b, r).count()) or inner(a, b, r))
+        got = {r.star_id: r for r in crossmatch.neighbours(spark.createDataFrame(rows, "star_id long, x double, y double, flux double")).collect()}
+    assert max(met) == 12 and len(got) == 2000
+    assert got[1996].nn_dist_arcsec == 21 and got[1996].contam_ratio_84arcsec == 1500.0
+
+
 def test_median_frame_takes_all_images(spark):
     pixels = spark.range(301).select(F.col("id").cast("int").alias("image"), F.lit(1.0).alias("x"), F.lit(2.0).alias("y"), F.col("id").cast("double").alias("value"))
     assert image.median_frame(pixels).first().value == 150.0  # of the first 100 it would be 49.5
