@@ -172,8 +172,9 @@ def _tie(group: np.ndarray, doc: np.ndarray, few: int) -> tuple[np.ndarray, np.n
 def _seed_blocks(batches: Iterator[pa.RecordBatch], s: Settings, buckets: int, most: int = 2_000_000) -> Iterator[pa.RecordBatch]:
     """Rows (key, mark, text) to rows (bucket, seeds, ties).
 
-    Combined before the shuffle: of equal texts of a task one has seeds, and the others are tied to it as a whole; of a seed with over ``few``
-    places here, one goes on and the others are tied to it. So a common text or line sends a few rows per task."""
+    Combined before the shuffle: of equal texts of a task the one of the smallest key has seeds, and the others are tied to it as a whole; of a seed
+    with over ``few`` places here, one goes on and the others are tied to it and to the place before. So a common text or line sends a few rows
+    per task."""
     held: list[tuple] = []
 
     def flush() -> Iterator[pa.RecordBatch]:
@@ -181,6 +182,12 @@ def _seed_blocks(batches: Iterator[pa.RecordBatch], s: Settings, buckets: int, m
         h, doc, place, words = (np.concatenate([x[i] for x in held]) for i in (2, 3, 4, 5))
         later, earlier, n = (np.concatenate([x[i] for x in held]) for i in (6, 7, 8))
         same_doc = np.unique(np.stack([keys, marks], axis=1), axis=0, return_inverse=True)[1].reshape(-1)  # equal for rows that repeat
+        # Copies come in any order: the seeds of a text belong to its smallest key, or what that shares with smaller ones would be lost.
+        smallest = np.arange(keys.size)
+        for x, y in zip(later.tolist(), earlier.tolist(), strict=True):
+            if same_doc[x] < same_doc[smallest[y]]:
+                smallest[y] = x
+        doc, later, earlier = smallest[doc], np.where(smallest[earlier] == later, earlier, later), smallest[earlier]
         order = np.argsort(h, kind="stable")
         begin, size = _groups(h[order][1:] == h[order][:-1]) if h.size else (np.zeros(0, np.int64),) * 2
         often = size > s.few
@@ -189,7 +196,7 @@ def _seed_blocks(batches: Iterator[pa.RecordBatch], s: Settings, buckets: int, m
         by = np.lexsort((place[at], same_doc[doc[at]], of))
         at, of = at[by], of[by]
         go = np.ones(h.size, bool)
-        x_of, y_of = _tie_to_heads(of, same_doc[doc[at]], False) if at.size else (at, at)
+        x_of, y_of = _tie_to_heads(of, same_doc[doc[at]], True) if at.size else (at, at)
         x_of, y_of = at[x_of], at[y_of]
         go[x_of] = False
         a, b = np.append(doc[x_of], later), np.append(doc[y_of], earlier)

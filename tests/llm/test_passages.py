@@ -190,6 +190,19 @@ def test_passages(spark, odd_docs, no_docs):
     assert passages.cut_repeats(odd_docs).columns == odd_docs.columns and passages.cut_repeats(odd_docs).count() == odd_docs.count()
 
 
+def test_copies_in_any_order_keep_their_links(spark):
+    """The larger key of two copies comes first in its task: what the smaller one shares with a third text is told all the same."""
+    shared = prose(90, 60)
+    text = prose(91, 30) + " " + shared + " " + prose(92, 30)
+    docs = [(9, text), (5, text), (1, shared + " " + prose(93, 20)), (7, prose(94, 15) + " " + shared)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    try:
+        got = {(r.doc_id, r.source_doc_id) for r in passages.repeated_passages(spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == {(5, 1), (7, 1), (7, 5), (9, 5)}
+
+
 def test_rows_of_one_key_are_cut_by_their_own_text(spark):
     p = prose(80, 60)
     rows = [(1, p), (2, p + " " + prose(81, 30)), (2, prose(82, 120)), (2, prose(82, 120)), (None, p)]
