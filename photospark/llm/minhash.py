@@ -84,7 +84,7 @@ def _verify(batches: Iterator[pa.RecordBatch], k: int, least: float) -> Iterator
         yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(keep)), batch.column(1).take(pa.array(keep)), pa.array(np.array(found)[keep], pa.float64())], ["a", "b", "similarity"])
 
 
-def _shared_weight(sets: list[tuple[np.ndarray, np.ndarray]], columns: int = 20_000) -> np.ndarray:
+def _shared_weight(sets: list[tuple[np.ndarray, np.ndarray]], columns: int = 2_000) -> np.ndarray:
     """[x, y]: the share of x's weight on elements that y has too, for weighted sets (sorted distinct elements, weights), by products of incidence
     matrices, ``columns`` elements at a time; elements of one set alone are left out."""
     flat, of = np.concatenate([e for e, _ in sets]), np.repeat(np.arange(len(sets)), [e.size for e, _ in sets])
