@@ -127,3 +127,23 @@ def test_queries_use_all_stars_and_frames(spark, sf, name):
 
     got = registry.QUERIES[name](spark, sf).select("image", "star_id").toPandas()
     assert got.image.nunique() == 5 and len(got) == 5 * got.star_id.nunique() == len(got.drop_duplicates())
+
+
+def test_places_taken_back_to_the_sky_in_one_pass(spark):
+    r = random.Random(5)
+    rows = [(i, 1, 359.95 + r.uniform(-8, 8), -66.5 + r.uniform(-8, 8), 5.0, None) for i in range(200)] + [(200, 1, None, 3.0, 5.0, 6.0), (201, 2, 359.95, -66.5, None, None)]
+    stars = spark.createDataFrame(rows, "star_id int, field int, ra double, dec double, ref_x double, ref_y double")
+    frames = images(spark, [HEADER, None, HEADER | {"CRVAL1": 0.5}])
+    got = wcs.star_positions(stars, frames, ["field"], 2048, 2048, sky=True)
+    assert got.count() == 3 * 201  # a field without images has no rows
+    rows = wcs.pixel_to_sky(got.join(frames.select("image", "wcs"), "image")).where("source = 'wcs'").collect()
+    assert len(rows) > 20 and all(abs(a.ra - a.sky_ra) < 1e-9 and abs(a.dec - a.sky_dec) < 1e-9 for a in rows)
+    assert got.where("sky_ra is not null and source is distinct from 'wcs'").count() == 0
+
+
+@pytest.mark.parametrize("name", ["wcs_positions", "wcs_sky", "edge_margin"])
+def test_pairs_of_one_field_are_made_in_many_tasks(spark, sf, name):
+    from photospark.plans import registry
+
+    tasks = registry.QUERIES[name](spark, sf).groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert len(tasks) > 1, tasks
