@@ -147,3 +147,29 @@ def test_pairs_of_one_field_are_made_in_many_tasks(spark, sf, name):
 
     tasks = registry.QUERIES[name](spark, sf).groupBy(F.spark_partition_id().alias("task")).count().collect()
     assert len(tasks) > 1, tasks
+
+
+def test_apertures_over_tiles_make_no_row_of_place_and_pixel(spark):
+    """A frame of several tiles with a lost, a double and some null pixels, against sums over the columns of with_overlaps."""
+    r = random.Random(7)
+    rows = [(1, x, y, None if (x * 31 + y) % 97 == 0 else r.uniform(0, 9)) for x in range(150) for y in range(70) if (x, y) != (64, 64)] + [(1, 63, 30, 5.5)]
+    pixels = spark.createDataFrame(rows, "image int, x int, y int, value double")
+    at = [(1, i, r.uniform(0, 150), r.uniform(0, 70)) for i in range(150)] + [(1, 900 + i, 64.0 * i, 32.0) for i in range(3)] + [(1, 950, 63.5, 63.5)]
+    places = spark.createDataFrame(at, "image int, star_id int, x double, y double")
+    got = aperture.aperture_photometry(pixels, places, spark.createDataFrame([(1, 150, 70, 5.0, 1.0, 5.2, 1.0)], META))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "cx" not in plan
+    dx, dy = F.col("p.x") - F.col("s.x"), F.col("p.y") - F.col("s.y")
+    pairs = places.alias("s").join(pixels.alias("p"), (F.abs(dx) < 8.5) & (F.abs(dy) < 8.5)).select("star_id", "value", dx.alias("dx"), dy.alias("dy"))
+    pairs = aperture.with_overlaps(pairs, {"w": 3.0, "i": 5.0, "o": 8.0}).withColumn("ring", F.greatest(F.lit(0.0), F.col("o") - F.col("i")))
+    total = lambda w: F.when(F.count_if((F.col(w) > 1e-9) & F.col("value").isNull()) == 0, F.sum(F.when(F.col(w) > 1e-9, F.col(w) * F.col("value"))))
+    want = {x.star_id: x for x in pairs.groupBy("star_id").agg(total("w").alias("w"), total("ring").alias("ring"), F.sum("ring").alias("area")).collect()}
+    rows, full = got.collect(), 0
+    assert len(rows) == len(at)
+    for g in rows:
+        w = want[g.star_id]
+        assert (g.background is None) == (w.ring is None) and (g.flux is None) == (w.w is None or w.ring is None)
+        if g.flux is not None:
+            full += 1
+            assert abs(g.background - w.ring / w.area) < 1e-9 and abs(g.flux - (w.w - w.ring / w.area * math.pi * 9)) < 1e-9
+    assert full > 5
