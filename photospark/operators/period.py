@@ -187,7 +187,81 @@ def box_search(phot: DataFrame, periods: list[float], width: float = 0.02, n_pha
 BOX = dict.fromkeys(["period", "t0", "duration", "depth", "power"], pa.float64())
 
 
-def _boxes(t: np.ndarray, y: np.ndarray, error: np.ndarray, periods: np.ndarray, durations: np.ndarray, cells: int = 300_000) -> list[dict]:
+#: Powers closer than this share of them are equal: sums in another order differ by less.
+EQUAL = 1e-11
+
+
+def _short_boxes(phase: np.ndarray, period: np.ndarray, w: np.ndarray, wy: np.ndarray, durations: np.ndarray, best: float, most: float) -> tuple[float, list[tuple[np.ndarray, ...]]] | None:
+    """The best strength from ``best`` on, and (strength, period's place, duration's place, start, depth) of boxes about as strong, or None where the boxes hold
+    over ``most`` points in all.
+
+    A box from each point takes in the next ones, one after the other, as long as one lies within the longest duration: where boxes are short that is far less
+    than a search per duration. A box is that of the shortest duration which holds its points, if one ends before the next point. Boxes that are weaker than
+    the best one known aren't looked at further."""
+    m, n = phase.shape
+    longest, found = durations[-1], []
+    twice = [np.hstack([phase, phase + period]), np.hstack([w, w]), np.hstack([wy, wy])]
+    r, s, own = np.zeros((m, n)), np.zeros((m, n)), np.zeros((m, n))
+    place, start = None, phase
+    for step in range(n):
+        most -= r.size
+        if most < 0:
+            return None
+        if place is None:
+            ends, more_r, more_s = (c[:, step + shift : step + shift + n] for c, shift in zip(twice, (1, 0, 0), strict=True))
+        else:
+            ends, more_r, more_s = (c.ravel()[place + step + shift] for c, shift in zip(twice, (1, 0, 0), strict=True))
+        r, s = r + more_r, s + more_s
+        later = ends - start if step + 1 < n else np.full(r.shape, np.inf)
+        power = s * s / (r * (1 - r))
+        good = (power >= best * (1 - EQUAL)) & (s < 0) & (own <= longest) & (r > 0) & (r < 1 - 1e-12)
+        if good.any():
+            k = np.searchsorted(durations, own[good])
+            fits = durations[k] < later[good]
+            at = np.flatnonzero(good)[fits]
+            if len(at):
+                p, rr, ss = (c.ravel()[at] for c in (power, r, s))
+                where = at if place is None else place[at]
+                width = n if place is None else 2 * n
+                best = max(best, p.max())
+                strong = p >= best * (1 - EQUAL)
+                found.append(tuple(c[strong] for c in (p, where // width, k[fits], where % width, -ss / (rr * (1 - rr)))))
+        on = later <= longest
+        share = np.count_nonzero(on) / on.size
+        if not share:
+            break
+        own = later
+        if share < 0.4:
+            # Few are left: these by themselves.
+            place = (np.arange(m)[:, None] * (2 * n) + np.arange(n))[on] if place is None else place[on]
+            r, s, own, start = r[on], s[on], own[on], start[on]
+    return best, found
+
+
+def _searched_boxes(phase: np.ndarray, period: np.ndarray, w: np.ndarray, wy: np.ndarray, durations: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The same by a search for the end of each duration's boxes."""
+    m, n = phase.shape
+    each, zero = np.arange(m), np.zeros((m, 1))
+    cw, cy = (np.hstack([zero, np.cumsum(np.hstack([c, c]), axis=1)]) for c in (w, wy))
+    # The phases of each period, twice round, in a stretch of their own, so that one search serves all periods.
+    shift = each[:, None] * (3 * period.max())
+    rounds = (np.hstack([phase, phase + period]) + shift).ravel()
+    strength = np.empty((m, durations.size))
+    at, depth = np.empty(strength.shape, int), np.empty(strength.shape)
+    for k, d in enumerate(durations):
+        end = np.searchsorted(rounds, (phase + d + shift).ravel(), "right").reshape(phase.shape) - each[:, None] * (2 * n)
+        r, s = np.take_along_axis(cw, end, axis=1) - cw[:, :n], np.take_along_axis(cy, end, axis=1) - cy[:, :n]
+        ok = (r > 0) & (r < 1 - 1e-12) & (s < 0)
+        spread = np.where(ok, r * (1 - r), 1)
+        p = np.where(ok, s * s / spread, -np.inf)
+        at[:, k] = p.argmax(axis=1)
+        strength[:, k] = p.max(axis=1)
+        depth[:, k] = np.take_along_axis(-s / spread, at[:, k, None], axis=1)[:, 0]
+    k = strength.argmax(axis=1)
+    return strength[each, k], k, at[each, k], depth[each, k]
+
+
+def _boxes(t: np.ndarray, y: np.ndarray, error: np.ndarray, periods: np.ndarray, durations: np.ndarray, cells: int = 20_000, short: int = 30) -> list[dict]:
     n, mid = t.size, np.median(y) if t.size else 0
     if n < 20 or not mid > 0:
         return [{}]
@@ -195,35 +269,30 @@ def _boxes(t: np.ndarray, y: np.ndarray, error: np.ndarray, periods: np.ndarray,
     known = np.isfinite(error) & (error > 0)
     w = np.where(known, 1 / np.where(known, error, 1) ** 2, 0)
     w = w / w.sum() if w.sum() > 0 else np.full(n, 1 / n)
-    y0 = y - (w * y).sum()
-    best, out = -np.inf, {}
-    for i in range(0, periods.size, max(1, cells // n)):
-        period = periods[i : i + max(1, cells // n), None]
-        phase = x % period
-        order = np.argsort(phase, axis=1)
-        phase = np.take_along_axis(phase, order, axis=1)
-        zero = np.zeros((period.size, 1))
-        cw = np.hstack([zero, np.cumsum(np.tile(w[order], 2), axis=1)])
-        cy = np.hstack([zero, np.cumsum(np.tile((w * y0)[order], 2), axis=1)])
-        # The phases of each period, twice round, in a stretch of their own, so that one search serves all periods.
-        shift = np.arange(period.size)[:, None] * (3 * period.max())
-        rounds = (np.hstack([phase, phase + period]) + shift).ravel()
-        strength = np.empty((period.size, durations.size))
-        at, depth = np.empty(strength.shape, int), np.empty(strength.shape)
-        for k, d in enumerate(durations):
-            end = np.searchsorted(rounds, (phase + d + shift).ravel(), "right").reshape(phase.shape) - np.arange(period.size)[:, None] * (2 * n)
-            r, s = np.take_along_axis(cw, end, axis=1) - cw[:, :n], np.take_along_axis(cy, end, axis=1) - cy[:, :n]
-            ok = (r > 0) & (r < 1 - 1e-12) & (s < 0)
-            spread = np.where(ok, r * (1 - r), 1)
-            p = np.where(ok, s * s / spread, -np.inf)
-            at[:, k] = p.argmax(axis=1)
-            strength[:, k] = p.max(axis=1)
-            depth[:, k] = np.take_along_axis(-s / spread, at[:, k, None], axis=1)[:, 0]
-        j, k = np.unravel_index(strength.argmax(), strength.shape)
-        if strength[j, k] > best:
-            best = strength[j, k]
-            out = {"power": best, "period": period[j, 0], "t0": start + phase[j, at[j, k]] + durations[k] / 2, "duration": durations[k], "depth": depth[j, k]}
-    return [out]
+    wy = w * (y - (w * y).sum())
+    best, held = 0.0, []
+    with np.errstate(all="ignore"):
+        for i in range(0, periods.size, max(1, cells // n)):
+            period = periods[i : i + max(1, cells // n), None]
+            phase = x % period
+            order = np.argsort(phase, axis=1)
+            phase = np.take_along_axis(phase, order, axis=1)
+            found = None
+            if n * durations[-1] < short * period[0, 0]:
+                found = _short_boxes(phase, period, w[order], wy[order], durations, best, short * phase.size)
+            if found is None:
+                strength, k, at, depth = _searched_boxes(phase, period, w[order], wy[order], durations)
+                found = max(best, strength.max()), [(strength, np.arange(len(strength)), k, at, depth)]
+            best = found[0]
+            for p, row, k, at, depth in found[1]:
+                strong = np.flatnonzero((p > 0) & (p >= best * (1 - EQUAL)))
+                held += [(p[e], i + row[e], k[e], at[e], depth[e], phase[row[e], at[e]]) for e in strong]
+            held = [h for h in held if h[0] >= best * (1 - EQUAL)]
+    if not held:
+        return [{}]
+    # Of boxes as strong the first by period, then duration, then start.
+    power, j, k, _, depth, begin = min(held, key=lambda h: h[1:4])
+    return [{"power": power, "period": periods[j], "t0": start + begin + durations[k] / 2, "duration": durations[k], "depth": depth}]
 
 
 def box_least_squares(phot: DataFrame, n_periods: int = 5000, durations: int = 10) -> DataFrame:
