@@ -51,14 +51,26 @@ class Tree:
 
     def within(self, x: np.ndarray, bound: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(row, leaf) of all leaves whose box is within the row's bound."""
-        row, node = np.arange(len(x)), np.zeros(len(x), np.int64)
-        for level in range(self.depth + 1):
+        row, leaf = zip((np.zeros(0, np.int64), np.zeros(0, np.int64)), *self.reached(x, bound), strict=True)
+        return np.concatenate(row), np.concatenate(leaf)
+
+    def reached(self, x: np.ndarray, bound: np.ndarray, most: int = 50_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The same, some at a time: where a step down the tree would hold over ``most`` pairs of row and node,
+        halves of them go down by themselves, so that what is held doesn't grow with the leaves that rows reach."""
+        waiting = [(0, np.arange(len(x)), np.zeros(len(x), np.int64))]
+        while waiting:
+            level, row, node = waiting.pop()
+            if len(row) > most:
+                half = len(row) // 2
+                waiting += [(level, row[half:], node[half:]), (level, row[:half], node[:half])]
+                continue
             off = np.maximum(0, np.maximum(self.low[node] - x[row], x[row] - self.high[node]))
             near = np.sqrt((off * off).sum(axis=1)) <= bound[row] + SLACK
             row, node = row[near], node[near]
-            if level < self.depth:
-                row, node = np.repeat(row, 2), np.stack([2 * node + 1, 2 * node + 2], axis=1).ravel()
-        return row, node - len(self.axis)
+            if level == self.depth:
+                yield row, node - len(self.axis)
+            elif len(row):
+                waiting.append((level + 1, np.repeat(row, 2), np.stack([2 * node + 1, 2 * node + 2], axis=1).ravel()))
 
 
 def make_tree(sample: np.ndarray, depth: int) -> Tree:
@@ -131,10 +143,10 @@ def _of_points(points: DataFrame, n: int, d: int, k: int, block_rows: int, most_
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            row, leaf = tree.within(_matrix(b.column(1)), np.asarray(b.column(2)))
-            for at in range(0, len(row), 20_000):
-                some = b.take(pa.array(row[at : at + 20_000]))
-                yield pa.RecordBatch.from_arrays([pa.array(leaf[at : at + 20_000]), *some.columns], ["leaf", "id", "v", "bound"])
+            for row, leaf in tree.reached(_matrix(b.column(1)), np.asarray(b.column(2))):
+                for at in range(0, len(row), 20_000):
+                    some = b.take(pa.array(row[at : at + 20_000]))
+                    yield pa.RecordBatch.from_arrays([pa.array(leaf[at : at + 20_000]), *some.columns], ["leaf", "id", "v", "bound"])
 
     bounded = data.groupBy("leaf", "block").applyInArrow(bounds, "id long, v array<double>, bound double")
     asked = stage(bounded.mapInArrow(ask, "leaf long, id long, v array<double>, bound double"), "asked")

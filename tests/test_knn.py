@@ -64,3 +64,31 @@ def test_leaves_out_of_reach_are_not_asked():
 def test_reach(spark):
     df = spark.createDataFrame([(i, float(i)) for i in range(11)], "star_id long, a double")
     assert ml.reach_of(df, ["a"], 3, 0.5) == 1.0 and ml.reach_of(df, ["a"], 3, 1.0) == 2.0
+
+
+def test_the_walk_down_the_tree_is_bounded_in_memory():
+    """What asking for leaves holds does not grow with the leaves that rows reach."""
+    import tracemalloc
+
+    x = np.random.default_rng(1).normal(0, 0.125, (8192, 8))
+    tree = knn.make_tree(x, 9)
+    leaf = tree.leaves(x)
+    low, high = np.full((512, 8), np.inf), np.full((512, 8), -np.inf)
+    np.minimum.at(low, leaf, x)
+    np.maximum.at(high, leaf, x)
+    tree = tree.boxed(low, high)
+    tracemalloc.start()
+    pairs, most = set(), 0
+    for row, found in tree.reached(x[:2000], np.full(2000, 0.25), most=5_000):
+        most = max(most, len(row))
+        pairs |= {(int(r), int(f)) for r, f in zip(row[::50], found[::50])}
+    tracemalloc.stop()
+    assert most <= 5_000 and pairs
+    tracemalloc.start()
+    total = sum(len(row) for row, _ in tree.reached(x, np.full(len(x), 0.25)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert total > 500_000 and peak < 40_000_000, (total, peak)
+    row, found = tree.within(x[:500], np.full(500, 0.25))
+    off = np.maximum(0, np.maximum(low[None] - x[:500, None], x[:500, None] - high[None]))
+    assert sorted(zip(row, found)) == sorted(zip(*np.nonzero(np.sqrt((off * off).sum(-1)) <= 0.25)))
