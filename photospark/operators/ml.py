@@ -10,7 +10,7 @@ from pyspark.sql.window import Window
 
 from photospark.functions.stats import finite, pct, ratio
 from photospark.operators.knn import neighbours
-from photospark.sources.io import shared_dir, stage
+from photospark.sources.io import stage
 
 
 def impute(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -62,34 +62,53 @@ def reach_of(df: DataFrame, columns: list[str], k: int = 5, share: float = 0.9)
     return far.agg(pct("distance", share)).first()[0]
 
 
+def _components(edges: DataFrame) -> DataFrame:
+    """(id, component) of each id with an edge: the smallest id that edges (a, b) lead to. Alternating large-star and small-star steps over a staged table, whose
+    rounds grow with the logarithm of the longest way. No table of ids is broadcast, so nothing that grows with them comes to the driver."""
+    now, seen = stage(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges"), None
+    while True:
+        both = now.union(now.select("b", "a"))
+        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        large = both.where("b > a").join(least.hint("merge"), "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
+        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        small = large.join(low.hint("merge"), "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
+        now = stage(small.select("e.*").where("a <> b").distinct(), "edges")
+        found = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+        if found == seen:
+            break
+        seen = found
+    ends = now.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("component"))
+    return ends.union(now.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
+
+
 def dbscan(df: DataFrame, columns: list[str], eps: float, least: int = 5) -> DataFrame:
     """(star_id, cluster): the smallest core id of the cluster, null for noise. Links within ``eps`` come from cells of that width in the first two columns;
-    a point counts itself; border points go to the smallest core cluster. Labels spread along links, and each
-    takes the label of the core it names, so that long ways take few rounds, until none changes (they only fall, so they end)."""
+    a point counts itself; border points go to the smallest core cluster. Rows with equal values are one point of their number's weight. Cores of a cell so small
+    that all are within ``eps`` are one node, and clusters are the components of the nodes."""
     at = lambda c, k=0: (F.floor(F.col(c) / F.lit(eps)) + k).cast("long")
     two = columns[:2]
-    right = df.select(F.col("star_id").alias("o"), *[F.col(c).alias(f"o_{c}") for c in columns], *[at(c).alias(f"cell_{c}") for c in two])
-    left = df.select("star_id", *columns)
+    rows = df.select("star_id", *[finite(F.col(c).cast("double")).alias(c) for c in columns])
+    points = stage(rows.dropna(subset=columns).groupBy(*columns).agg(F.min("star_id").alias("id"), F.count("*").alias("w")), "points")
+    right = points.select(F.col("id").alias("b"), "w", *[F.col(c).alias(f"o_{c}") for c in columns], *[at(c).alias(f"cell_{c}") for c in two])
+    left = points.select(F.col("id").alias("a"), *columns)
     for c in two:
         left = left.withColumn(f"cell_{c}", F.explode(F.array(*[at(c, k) for k in (-1, 0, 1)])))
     d2 = sum(((F.col(c) - F.col(f"o_{c}")) * (F.col(c) - F.col(f"o_{c}")) for c in columns), F.lit(0.0))
-    links = left.join(right, [f"cell_{c}" for c in two]).where(F.sqrt(d2) <= eps).select("star_id", "o")
-    core = links.groupBy("star_id").count().where(F.col("count") >= least).select("star_id")
-    if not df.sparkSession.sparkContext.getCheckpointDir():
-        df.sparkSession.sparkContext.setCheckpointDir(shared_dir(df.sparkSession))
-    edges = links.join(core.withColumnRenamed("star_id", "o"), "o").checkpoint()
-    label = core.withColumn("label", F.col("star_id"))
-    seen = None
-    while True:
-        label = edges.join(label.withColumnRenamed("star_id", "o"), "o").groupBy("star_id").agg(F.min("label").alias("label")).join(core, "star_id", "left_semi").checkpoint()
-        named = label.select(F.col("star_id").alias("label"), F.col("label").alias("further"))
-        label = label.join(named, "label").select("star_id", F.col("further").alias("label")).checkpoint()
-        total = label.agg(F.sum(F.col("label").cast("decimal(38,0)"))).first()[0]
-        if total == seen:
-            break
-        seen = total
-    cluster = edges.join(label.withColumnRenamed("star_id", "o"), "o").groupBy("star_id").agg(F.min("label").alias("cluster"))
-    return df.select("star_id").join(cluster, "star_id", "left")
+    links = stage(left.join(right.hint("merge"), [f"cell_{c}" for c in two]).where(F.sqrt(d2) <= eps).select("a", "b", "w"), "links")
+    core = links.groupBy(F.col("a").alias("id")).agg(F.sum("w").alias("n")).where(F.col("n") >= least).select("id")
+    # A little less than the widest cell whose corners are within eps, for rounding.
+    inner = eps / len(columns) ** 0.5 * (1 - 1e-6)
+    cells = core.join(points.hint("merge"), "id").select("id", *[(F.floor(F.col(c) / F.lit(inner)) if eps > 0 else F.col(c)).alias(f"c{i}") for i, c in enumerate(columns)])
+    cells = stage(cells, "cells")
+    named = cells.groupBy(*[f"c{i}" for i in range(len(columns))]).agg(F.min("id").alias("node"))
+    nodes = stage(cells.join(named.hint("merge"), [f"c{i}" for i in range(len(columns))]).select("id", "node"), "nodes")
+    end = lambda c: nodes.select(F.col("id").alias(c), F.col("node").alias(f"node_{c}")).hint("merge")
+    edges = links.where("a < b").join(end("a"), "a").join(end("b"), "b").select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+    found = _components(edges).withColumnRenamed("id", "node")
+    label = nodes.join(found.hint("merge"), "node", "left").select(F.col("id").alias("b"), F.coalesce("component", "node").alias("label"))
+    cluster = links.join(label.hint("merge"), "b").groupBy(F.col("a").alias("id")).agg(F.min("label").alias("cluster"))
+    of_point = points.join(cluster.hint("merge"), "id").select(*columns, "cluster")
+    return rows.join(of_point.hint("merge"), columns, "left").select("star_id", "cluster")
 
 
 TREE = "tree int, feature array<int>, at array<double>, left array<int>, right array<int>, length array<double>"

@@ -331,6 +331,25 @@ def test_dbscan_of_a_long_chain(spark):
     assert got == {i: 0 for i in range(150)} | {500: None}
 
 
+def test_dbscan_of_equal_rows_broadcasts_no_table(spark):
+    """Equal rows count as often as they stand there; no join's side, which grows with the table, is collected at the driver."""
+    import random
+
+    r = random.Random(4)
+    places = [(r.gauss(0, 1), r.gauss(0, 1)) for _ in range(150)] + [(9.0, 9.0)] * 40 + [(9.5, 9.0), (20.0, 0.0)] + [(30.0, 0.0)] * 3
+    stars = spark.createDataFrame([(1000 - i, x, y) for i, (x, y) in enumerate(places)] + [(5, None, 0.0)], "star_id long, x double, y double")
+    frame = ml.dbscan(stars, ["x", "y"], 0.5, 4)
+    got = {x.star_id: x.cluster for x in frame.collect()}
+    assert "Broadcast" not in frame._jdf.queryExecution().executedPlan().toString()
+    ids = [1000 - i for i in range(len(places))]
+    near = {a: {b for b, q in zip(ids, places) if math.hypot(p[0] - q[0], p[1] - q[1]) <= 0.5} for a, p in zip(ids, places)}
+    core = {a for a in ids if len(near[a]) >= 4}
+    label = {a: a for a in core}
+    while (new := {a: min(label[b] for b in near[a] & core) for a in core}) != label:
+        label = new
+    assert got == {a: min((label[b] for b in near[a] & core), default=None) for a in ids} | {5: None}
+
+
 def test_command_line(spark, sf, tmp_path):
     from photospark import cli
     from photospark.sources import views
