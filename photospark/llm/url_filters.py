@@ -4,15 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import HashingTF
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from photospark.llm.common import new_path
-
 
 @dataclass(frozen=True)
 class Rule:
@@ -104,22 +100,43 @@ def labelled_urls(spark: SparkSession, rows: tuple[tuple[str, int], ...] = LABEL
     return spark.range(1).select(F.inline(F.array(*[F.struct(F.lit(u).alias("url"), F.lit(float(b)).alias("block")) for u, b in rows])))
 
 
-def fit(labelled: DataFrame, most_rows: int = 20_000, buckets: int = 1 << 16, penalty: float = 0.001) -> PipelineModel:
+def _buckets(words: Column, n: int) -> Column:
+    """The distinct numbers below n that the words hash to."""
+    return F.array_distinct(F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(n)).cast("int")))
+
+
+@dataclass(frozen=True)
+class Model:
+    """Logistic regression over hashed n-grams: a weight for each bucket."""
+
+    weights: tuple[float, ...]
+    intercept: float
+
+    def chance(self, words: Column) -> Column:
+        """The probability that ``words`` are to be blocked, in expressions of Spark alone: no fitted object goes to the tasks."""
+        # One constant: the optimizer makes the array of the text once.
+        weights = F.split(F.lit(",".join(map(repr, self.weights))), ",").cast("array<double>")
+        total = F.aggregate(_buckets(words, len(self.weights)), F.lit(self.intercept), lambda a, b: a + F.get(weights, b))
+        return 1 / (1 + F.exp(-total))
+
+
+def fit(labelled: DataFrame, most_rows: int = 20_000, buckets: int = 1 << 16, penalty: float = 0.001) -> Model:
     """Logistic regression over n-grams hashed to ``buckets``, from at most ``most_rows`` rows of ``labelled`` (url, block 0 or 1), those first by hash.
     Rows without a label, and with a label of another kind, are left out; a null url is as an empty one.
 
-    The model is written into the shared folder and read back: a fitted one holds the summary of its training and by it the session, which can't go to
-    the tasks once the session has observed a table."""
+    Only the weights are kept: a fitted object can hold the session, which can't go to the tasks."""
     host, path = host_and_path(F.coalesce(F.col("url"), F.lit("")))
-    rows = labelled.where(F.col("block").isin(0, 1)).orderBy(F.xxhash64("url", "block"), "url", "block").limit(most_rows).select(grams(host, path).alias("grams"), F.col("block").cast("double").alias("label"))
-    tf = HashingTF(inputCol="grams", outputCol="features", numFeatures=buckets, binary=True)
-    model = Pipeline(stages=[tf, LogisticRegression(regParam=penalty, maxIter=40, tol=1e-6, probabilityCol="chance", standardization=False)]).fit(rows.coalesce(1))
-    path = new_path(labelled.sparkSession, "urls")
-    model.save(path)
-    return PipelineModel.load(path)
+    rows = labelled.where(F.col("block").isin(0, 1)).orderBy(F.xxhash64("url", "block"), "url", "block").limit(most_rows)
+    rows = rows.select(_buckets(grams(host, path), buckets).cast("array<string>").alias("words"), F.col("block").cast("double").alias("label")).coalesce(1)
+    counts = CountVectorizer(inputCol="words", outputCol="features", vocabSize=buckets, binary=True).fit(rows)
+    model = LogisticRegression(regParam=penalty, maxIter=40, tol=1e-6, standardization=False).fit(counts.transform(rows))
+    weights = [0.0] * buckets
+    for bucket, weight in zip(counts.vocabulary, model.coefficients.toArray().tolist(), strict=True):
+        weights[int(bucket)] = weight
+    return Model(tuple(weights), float(model.intercept))
 
 
-def url_filter(pages: DataFrame, labelled: DataFrame | None = None, rules: tuple[Rule, ...] = RULES, key: str = "page_id", url: str = "url", block_from: float = 0.5, model: PipelineModel | None = None) -> DataFrame:
+def url_filter(pages: DataFrame, labelled: DataFrame | None = None, rules: tuple[Rule, ...] = RULES, key: str = "page_id", url: str = "url", block_from: float = 0.5, model: Model | None = None) -> DataFrame:
     """One row per row of ``pages``: key, host, path, rule, verdict, score.
 
     The longest rule that fits decides (``rules`` is a short list, which becomes one expression); where none does, the model: block if its
@@ -134,6 +151,6 @@ def url_filter(pages: DataFrame, labelled: DataFrame | None = None, rules: tuple
     rows = rows.withColumn("ruled", rule_of(F.col("host"), F.col("path"), rules))
     # Rows that a rule decides have no n-grams to count.
     rows = rows.withColumn("grams", F.when(F.col("ruled").isNull(), grams(F.col("host"), F.col("path"))).otherwise(F.array().cast("array<string>")))
-    score = F.when(F.col("ruled").isNull(), vector_to_array("chance")[1])
-    out = model.transform(rows).select(F.col("key").alias(key), "host", "path", F.col("ruled.rule").alias("rule"), F.col("ruled.verdict").alias("decided"), score.alias("score"))
+    score = F.when(F.col("ruled").isNull(), model.chance(F.col("grams")))
+    out = rows.select(F.col("key").alias(key), "host", "path", F.col("ruled.rule").alias("rule"), F.col("ruled.verdict").alias("decided"), score.alias("score"))
     return out.select(key, "host", "path", "rule", F.coalesce("decided", F.when(F.col("score") >= block_from, "block").otherwise("allow")).alias("verdict"), "score")

@@ -56,6 +56,17 @@ def test_after_an_observation(spark):
     assert {r.page_id: r.rule for r in url_filters.url_filter(asked).collect()} == {1: "example.org/es/", 2: None}
 
 
+def test_no_fitted_object_goes_to_the_tasks(spark):
+    """Functions of a fitted model can hold the session, which can't be sent; the plan has expressions only."""
+    asked = spark.createDataFrame([(1, "http://casino.net/"), (2, "http://school.edu/")], "page_id long, url string")
+    got = url_filters.url_filter(asked)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "UDF" not in plan and "$Lambda" not in plan
+    model = url_filters.fit(url_filters.labelled_urls(spark))
+    assert not any(isinstance(v, object) and hasattr(v, "_java_obj") for v in vars(model).values())
+    assert all(0 < r.score < 1 for r in got.collect())
+
+
 def test_held_out_accuracy(spark):
     named = [r for r in LABELLED if "://" in r[0] and len(r[0]) > 5]
     hits = n = 0
