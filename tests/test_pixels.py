@@ -149,6 +149,46 @@ def test_pairs_of_one_field_are_made_in_many_tasks(spark, sf, name):
     assert len(tasks) > 1, tasks
 
 
+def test_rows_of_a_star_stand_together(spark, sf):
+    """Written, its number and reference place pack into little; image by image they took 16 bytes a row and more."""
+    from photospark.plans import registry
+
+    rows = registry.QUERIES["wcs_positions"](spark, sf).select("star_id", F.spark_partition_id().alias("task")).toPandas()
+    runs = (rows != rows.shift()).any(axis=1).sum()
+    assert rows.star_id.nunique() <= runs < 1.1 * rows.star_id.nunique()
+
+
+def test_places_of_images_with_wcs_of_their_own(spark):
+    """Against the columns of sky_to_pixel, with and without the pairs that are left out beforehand."""
+    r = random.Random(11)
+    headers = [HEADER, HEADER | {"A_2_0": 9e-6, "CD1_2": 0.002}, None, HEADER | {"CRVAL2": -62.0, "B_2_1": -5e-9}, HEADER | {"CRVAL1": 180.0}, HEADER | {"CRPIX1": -300.0, "CRPIX2": 2500.0}]
+    rows = [(i, 1, None if i % 17 == 4 else (359.95 + r.uniform(-16, 16)) % 360, -66.5 + r.uniform(-7, 7), None if i % 5 == 2 else r.uniform(-50, 2100), None if i % 7 == 2 else r.uniform(0, 2048)) for i in range(600)]
+    stars, frames = spark.createDataFrame(rows, "star_id int, field int, ra double, dec double, ref_x double, ref_y double"), images(spark, headers)
+    plain = wcs.sky_to_pixel(stars.crossJoin(frames.select("image", "wcs")))
+    inside = lambda x, y: (x >= 0) & (y >= 0) & (x < 2048) & (y < 2048)
+    by = F.coalesce(inside(F.col("x"), F.col("y")), F.lit(False))
+    plain = plain.withColumns({"by": by, "px": F.when(by, F.col("x")).otherwise(F.coalesce("ref_x", "x")), "py": F.when(by, F.col("y")).otherwise(F.coalesce("ref_y", "y"))})
+    want = {(w.image, w.star_id): w for w in plain.withColumn("source", F.when(F.col("by"), "wcs").when(inside(F.col("px"), F.col("py")), "reference")).collect()}
+    assert 100 < sum(w.by for w in want.values()) < 3000
+    for settled in (True, False):
+        got = wcs.star_positions(stars, frames, ["field"], 2048, 2048, settled=settled).collect()
+        assert len(got) == len(want) == 3600
+        for g in got:
+            w = want[g.image, g.star_id]
+            assert g.source == w.source and (not settled or g.settled == w.settled)
+            assert all((a is None and b is None) or abs(a - b) < 1e-8 for a, b in ((g.x, w.px), (g.y, w.py)))
+
+
+def test_rounding_in_tasks_is_that_of_columns(spark):
+    from photospark.plans import registry
+
+    r = random.Random(12)
+    ties = [k / 1e6 + 5e-7 - registry.NUDGE for k in range(-300, 300)] + [r.randrange(10**9) / 1e6 + 4.63e-7 for _ in range(2000)]
+    values = [*ties, *(r.uniform(-3000, 3000) for _ in range(2000)), *(10.0 ** r.uniform(-9, 22) for _ in range(500)), 0.0, -0.0, -1e-8, float("nan"), float("inf"), float("-inf")]
+    want = [x[0] for x in spark.createDataFrame([(v,) for v in values], "v double").select(F.round(F.col("v") + F.lit(registry.NUDGE), 6)).collect()]
+    assert np.array_equal(registry.rounded(np.array(values)), np.array(want), equal_nan=True)
+
+
 def test_apertures_over_tiles_make_no_row_of_place_and_pixel(spark):
     """A frame of several tiles with a lost, a double and some null pixels, against sums over the columns of with_overlaps."""
     r = random.Random(7)
