@@ -179,6 +179,33 @@ def test_places_of_images_with_wcs_of_their_own(spark):
             assert all((a is None and b is None) or abs(a - b) < 1e-8 for a, b in ((g.x, w.px), (g.y, w.py)))
 
 
+def test_pairs_outside_the_frame_are_left_out_beforehand():
+    """None that a WCS places inside is lost, at the pole and behind the meridian too; of stars far away no pair is left to work on."""
+    r = random.Random(13)
+    headers = [None, HEADER] + [HEADER | {"CRVAL1": r.uniform(0, 360), "CRVAL2": r.choice([90.0, -89.9, r.uniform(-80, 80)]), "CRPIX1": r.uniform(-500, 2500), "A_2_0": r.uniform(-2e-5, 2e-5), "CD1_1": r.choice([-0.0057, 0.01])} for _ in range(40)]
+    frames = wcs.Frames([wcs.wcs_of(h) if h else None for h in headers], 2048, 2048)
+    inside = 0
+    for h in headers[1:]:
+        ra, dec = (np.array([h[k] + r.gauss(0, 8) for _ in range(150)]) for k in ("CRVAL1", "CRVAL2"))
+        some, every = (frames.places(ra, np.clip(dec, -90, 90), np.full(150, always)) for always in (False, True))
+        key = lambda c: set(zip(c[0][c[4]], c[1][c[4]], strict=True))
+        assert key(some) == key(every) and len(every[0]) == 150 * 41 > 2 * len(some[0])
+        inside += len(key(every))
+    assert inside > 1000
+    one = wcs.Frames([wcs.wcs_of(HEADER)] * 3, 2048, 2048)
+    assert [len(c) for c in one.places(np.array([200.0, np.nan, 359.95]), np.array([-66.5, -66.5, 40.0]), np.zeros(3, bool))] == [0] * 7
+
+
+def test_only_places_by_wcs(spark):
+    r = random.Random(14)
+    rows = [(i, 1, 359.95 + r.uniform(-16, 16), -66.5 + r.uniform(-7, 7), 5.0, None) for i in range(300)]
+    stars, frames = spark.createDataFrame(rows, "star_id int, field int, ra double, dec double, ref_x double, ref_y double"), images(spark, [HEADER, None, HEADER | {"CRVAL2": -62.0}])
+    place = lambda **more: {(x.image, x.star_id): x for x in wcs.star_positions(stars, frames, ["field"], 2048, 2048, sky=True, **more).where("source = 'wcs'").collect()}
+    every, only = place(), place(by_wcs=True)
+    assert every.keys() == only.keys() and len(only) > 50
+    assert all(a.settled == only[k].settled and all(abs(a[c] - only[k][c]) < 1e-9 for c in ("x", "y", "sky_ra", "sky_dec")) for k, a in every.items())
+
+
 def test_rounding_in_tasks_is_that_of_columns(spark):
     from photospark.plans import registry
 
