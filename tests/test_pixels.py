@@ -240,3 +240,39 @@ def test_apertures_over_tiles_make_no_row_of_place_and_pixel(spark):
             full += 1
             assert abs(g.background - w.ring / w.area) < 1e-9 and abs(g.flux - (w.w - w.ring / w.area * math.pi * 9)) < 1e-9
     assert full > 5
+
+
+def test_places_are_used_where_they_are_made(spark, sf):
+    """No place is sent on: nothing stands between the tasks that make them and the result."""
+    from photospark.plans import registry
+
+    plan = registry.QUERIES["aperture_exact"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    above = plan[: plan.index("MapInArrow")]
+    assert "Exchange" not in above and "Join" not in above, above
+
+
+def test_apertures_of_stars_on_images(spark):
+    """Against apertures over a table of places: a drifting WCS, one per image or none, images without pixels, lost, double and null pixels, odd statistics."""
+    r = random.Random(15)
+    base = {"CRPIX1": 20.0, "CRPIX2": 15.0, "CRVAL1": 100.0, "CRVAL2": 10.0, "CD1_1": -0.0057, "CD1_2": 0.0, "CD2_1": 0.0, "CD2_2": 0.0058, "A_2_0": 2e-4, "B_1_1": -1e-4}
+    headers = [None if i % 3 == 1 else base | {"CRVAL1": 100.0 + 0.01 * i, "B_1_1": -1e-4 * (i % 2)} for i in range(12)]
+    odd = {2: {"exposure": None}, 3: {"exposure": 0.0}, 4: {"gain": 0.0}, 5: {"deviation": None}, 6: {"median": None}, 7: {"gain": None}}
+    stats = [{"width": 40, "height": 30, "median": 5.0, "deviation": 1.0, "gain": 5.2, "exposure": 2.0} | odd.get(i, {}) for i in range(12)]
+    names = list(stats[0])
+    frames = spark.createDataFrame([(i, 1, wcs.wcs_of(h) if h else None, *[t[c] for c in names]) for i, (h, t) in enumerate(zip(headers, stats, strict=True))], f"image int, field int, wcs {wcs.WCS}, width int, height int, median double, deviation double, gain double, exposure double")
+    value = lambda x, y, i: None if (x * 7 + y * 3 + i) % 211 == 0 else r.uniform(0, 9) - 4 * (i == 9)
+    rows = [(i, x, y, value(x, y, i)) for i in range(11) for x in range(40) for y in range(30) if not (i == 8 and x < 25)] + [(2, 5, 5, 3.0), (3, -4, 2, 50.0), (3, 44, 29, float("inf"))]
+    pixels = spark.createDataFrame(rows, "image int, x int, y int, value double")
+    near = lambda lo, hi: None if r.random() < 0.1 else r.uniform(lo, hi)
+    some = [(k, 1, near(99.85, 100.2), near(9.9, 10.1), near(-5, 45), near(-5, 35)) for k in range(300)] + [(300, 1, None, None, 0.0, 0.0), (301, 2, 100.0, 10.0, 5.0, 5.0), (302, 1, None, None, float("nan"), 3.0)]
+    stars = spark.createDataFrame(some, "star_id int, field int, ra double, dec double, ref_x double, ref_y double")
+    places = wcs.star_positions(stars, frames, ["field"], 40, 30)
+    want = {(x.image, x.star_id): x for x in aperture.aperture_photometry(pixels, places, frames).collect()}
+    got = aperture.star_apertures(pixels, stars, frames, ["field"], 40, 30).collect()
+    assert len(got) == len(want) == 12 * 302
+    same = lambda a, b: (a is None and b is None) or (a is not None and b is not None and (abs(a - b) < 1e-9 or a != a and b != b))
+    for g in got:
+        w = want[g.image, g.star_id]
+        assert g.quality == w.quality and all(same(g[c], w[c]) for c in ("x", "y", "background", "flux_r2", "flux_r3", "flux_r4", "flux_error_r2", "flux_error_r3", "flux_error_r4")), (g, w)
+        assert same(g.flux_r3, w.flux)
+    assert {g.quality for g in got} == {0, 1, 2, 3} and sum(g.flux_r3 is None for g in got if g.quality < 3) > 50 and sum(g.flux_r3 is not None for g in got) > 500
